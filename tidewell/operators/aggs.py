@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, attach, chunked, overall, running, scan
+from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, attach, chunked, overall, running, scan, summarize
 from tidewell.operators.grid import GRID_BLOCK, complete, index_time, _grid
 from tidewell.schema import MICROS, micros, ntz
 
@@ -142,7 +142,7 @@ def outcome_summary(df, keys=("station", "subloc", "param")) -> DataFrame:
 def value_buckets(v, keys, value="v", buckets=32) -> DataFrame:
     """Place distinct values of a series (one row each) in chunks of ascending
     value, cut at approximate quantiles of the series."""
-    cuts = v.groupBy(*keys).agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], F.lit(buckets * 20)).alias("__cuts"))
+    cuts = summarize(v, keys, [F.percentile_approx(value, [i / buckets for i in range(1, buckets)], F.lit(buckets * 20)).alias("__cuts")])
     spread = attach(chunked(v, keys, by=F.pmod(F.xxhash64(value), F.lit(64))), cuts, keys)
     below = F.size(F.filter("__cuts", lambda c: c <= F.col(value))).cast("long")
     return chunked(spread.withColumn("__b", below).drop("__cuts"), keys, by=F.col("__b")).drop("__b")

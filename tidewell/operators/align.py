@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.operators.chunks import DEFAULT_SECONDS, prev, scan
+from tidewell.operators.chunks import DEFAULT_SECONDS, prev, scan, summarize
 from tidewell.operators.grid import GRID_BLOCK, _grid
 from tidewell.schema import MICROS, from_micros, micros
 
@@ -36,7 +36,8 @@ def value_asof(df, keys, step_seconds: int, value="value", ts="ts", seconds=DEFA
     grid time, from ceil(first) to floor(last)."""
     step = F.lit(step_seconds * MICROS)
     us = micros(ts)
-    spans = df.groupBy(*keys).agg(F.ceil(F.min(us) / step).alias("lo"), F.floor(F.max(us) / step).alias("hi")).filter("lo <= hi")
+    df = df.select(*keys, ts, value)
+    spans = summarize(df, keys, [F.ceil(F.min(us) / step).alias("lo"), F.floor(F.max(us) / step).alias("hi")]).filter("lo <= hi")
     grid = _grid(spans, keys, GRID_BLOCK).select(*keys, from_micros(F.col("__i") * step).alias(ts),
                                                  F.lit(None).cast(df.schema[value].dataType).alias(value), F.lit(1).alias("__g"))
     u = df.select(*keys, ts, value, F.lit(0).alias("__g")).unionByName(grid)

@@ -44,11 +44,32 @@ def plan_chunk(df: DataFrame, ts: str = "ts", target_rows: int = TARGET_ROWS) ->
 def chunked(
     df: DataFrame, keys: Sequence[str], seconds: int = DEFAULT_SECONDS, ts: str = "ts", by: Column | None = None
 ) -> DataFrame:
-    """Place rows by (series, chunk).  Does nothing if they already are."""
+    """Place rows by (series, chunk).  Does nothing if they already are.
+
+    Keys and times are never NULL in this data model.  Saying so here keeps the
+    two branches of a scan alike (the join on these columns would add the same
+    filter to one of them only), so they share one exchange.
+    """
     if CHUNK in df.columns:
         return df
     part = by if by is not None else F.floor(micros(ts) / F.lit(seconds * MICROS)).cast("long")
-    return df.withColumn(CHUNK, part).repartition(*keys, CHUNK)
+    d = df.withColumn(CHUNK, part)
+    for c in (*keys, CHUNK):
+        d = d.filter(F.col(c).isNotNull())
+    return d.repartition(*keys, CHUNK)
+
+
+def summarize(df: DataFrame, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """``df.groupBy(by).agg(aggs)`` for a frame that a second branch of the plan
+    reads as well.
+
+    The filter (always true) makes the aggregate read every column of ``df``.
+    Without it column pruning would give the two branches different inputs, and
+    Spark could not reuse one exchange for both: whatever is below would run
+    once per branch, and a chain of operators would double it at every step.
+    """
+    rows = F.greatest(F.count(F.lit(1)), *[F.count(F.col(c)) for c in df.columns])
+    return df.groupBy(*by).agg(*aggs, rows.alias("__rows")).filter("__rows >= 0").drop("__rows")
 
 
 class Spec(NamedTuple):
@@ -118,7 +139,7 @@ def scan(
             aggs.append(F.sum(s.expr).alias(f"{name}__v"))
         elif s.kind.startswith("all_"):
             aggs.append(_AGG[s.kind[4:]](s.expr).alias(f"{name}__v"))
-    summary = base.groupBy(*keys, CHUNK).agg(*aggs)
+    summary = summarize(base, [*keys, CHUNK], aggs)
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(_UP, -1)
     later = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(_UP, -1)
     whole = Window.partitionBy(*keys)
@@ -178,7 +199,7 @@ def attach(
     meets them in many tasks and the rows are not moved to a series-wide one.
     """
     base = chunked(df, keys, seconds, ts)
-    spread = base.select(*keys, CHUNK).distinct().join(facts, list(keys))
+    spread = summarize(base, [*keys, CHUNK], []).join(facts, list(keys))
     out = base.join(spread, [*keys, CHUNK], "left")
     return out if keep_chunk else out.drop(CHUNK)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, chunked, following, overall, prev, scan
+from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, chunked, following, overall, prev, scan, summarize
 from tidewell.operators.windows import interpolate
 from tidewell.schema import MICROS, from_micros, micros
 from tidewell.session import stage
@@ -17,13 +17,12 @@ def infer_freq(df, keys, ts="ts", share=0.9, seconds=DEFAULT_SECONDS) -> DataFra
     """TIM-1.  Dominant step of each series in whole seconds; NULL (irregular)
     when it covers less than ``share`` of the steps.  Ties: the smaller step."""
     s = scan(df.select(*keys, ts), keys, {"__p": prev(ts)}, (ts,), seconds)
-    s = s.filter("__p IS NOT NULL").select(*keys, (micros(ts) - micros("__p")).alias("us"))
-    n = s.groupBy(*keys, "us").count()
+    n = s.groupBy(*keys, (micros(ts) - micros("__p")).alias("us")).count()  # us is NULL at the first row
+    step = F.col("us").isNotNull()
     best = n.groupBy(*keys).agg(
-        F.min_by("us", F.struct(-F.col("count"), F.col("us"))).alias("us"),
-        F.max("count").alias("top"), F.sum("count").alias("steps"))
-    steps = best.select(*keys, F.when(F.col("top") >= share * F.col("steps"), F.col("us") / MICROS).cast("long").alias("freq"), "steps")
-    return df.select(*keys).distinct().join(steps, list(keys), "left").withColumn("steps", F.coalesce("steps", F.lit(0).cast("long")))
+        F.min_by("us", F.when(step, F.struct(-F.col("count"), F.col("us")))).alias("us"),
+        F.max(F.when(step, F.col("count"))).alias("top"), F.coalesce(F.sum(F.when(step, F.col("count"))), F.lit(0)).alias("steps"))
+    return best.select(*keys, F.when(F.col("top") >= share * F.col("steps"), F.col("us") / MICROS).cast("long").alias("freq"), "steps")
 
 
 def grid_index(ts, step_seconds: int) -> Column:
@@ -47,25 +46,23 @@ def index_time(i, step_seconds: int) -> Column:
     return from_micros(F.col(i) * F.lit(step_seconds * MICROS) if isinstance(i, str) else i * F.lit(step_seconds * MICROS))
 
 
-def _grid(spans: DataFrame, keys, block: int) -> DataFrame:
+def _grid(spans: DataFrame, keys, block: int, extra=()) -> DataFrame:
     """Rows (keys, __block, __i) for every index in [lo, hi]: the blocks of a
     series first, then the points of each block, so no task holds a whole series."""
-    b = spans.select(*keys, "lo", "hi", F.explode(F.sequence(
+    b = spans.select(*keys, *extra, "lo", "hi", F.explode(F.sequence(
         F.floor(F.col("lo") / block), F.floor(F.col("hi") / block))).alias("__block")).repartition(*keys, "__block")
-    return b.select(*keys, "__block", F.explode(F.sequence(
+    return b.select(*keys, *extra, "__block", F.explode(F.sequence(
         F.greatest("lo", F.col("__block") * block),
         F.least("hi", F.col("__block") * block + (block - 1)))).alias("__i"))
 
 
-def complete(df, keys, idx: str, values, lo: Column | None = None, hi: Column | None = None,
-             block: int = GRID_BLOCK, max_expand: int = 100_000) -> DataFrame:
+def complete(df, keys, idx: str, values, block: int = GRID_BLOCK, max_expand: int = 100_000) -> DataFrame:
     """Every grid point from the first to the last index, NULL where absent.
 
     A series whose grid would be more than ``max_expand`` times its rows is an
     error: its step is wrong.
     """
-    spans = df.groupBy(*keys).agg((lo if lo is not None else F.min(idx)).alias("lo"),
-                                  (hi if hi is not None else F.max(idx)).alias("hi"), F.count(F.lit(1)).alias("n"))
+    spans = summarize(df, keys, [F.min(idx).alias("lo"), F.max(idx).alias("hi"), F.count(F.lit(1)).alias("n")])
     spans = spans.withColumn("hi", F.when(
         F.col("hi") - F.col("lo") > F.col("n") * max_expand,
         F.raise_error(F.lit("grid is far larger than the series: check the step")).cast("long")).otherwise(F.col("hi")))
@@ -93,15 +90,14 @@ def asfreq(df, keys, step_seconds: int, values=("value",), ts="ts") -> DataFrame
     """TIM-3.  Grid of ``step`` from the first to the last time of the series,
     exact matches only.  The grid starts at the first time of the series."""
     step = F.lit(step_seconds * MICROS)
-    s = scan(df.select(*keys, ts, *values), keys, {"__t0": overall("min", micros(ts)), "__t1": overall("max", micros(ts))}, (ts,))
-    off = micros(ts) - F.col("__t0")
-    on = s.filter(F.pmod(off, step) == 0).select(
-        *keys, "__t0", "__t1", (off / step).cast("long").alias("__i"), *values)
-    full = complete(on, keys, "__i", ["__t0", *values], lo=F.lit(0).cast("long"),
-                    hi=F.max(F.floor((F.col("__t1") - F.col("__t0")) / step)))
-    start = on.groupBy(*keys).agg(F.min("__t0").alias("__s"))
-    return full.drop("__t0").join(start, list(keys)).select(
-        *keys, from_micros(F.col("__s") + F.col("__i") * step).alias(ts), *values)
+    d = df.select(*keys, micros(ts).alias("__us"), *values)
+    spans = summarize(d, keys, [F.min("__us").alias("__t0"), F.max("__us").alias("__t1")])
+    spans = spans.withColumn("lo", F.lit(0).cast("long")).withColumn("hi", F.floor((F.col("__t1") - F.col("__t0")) / step))
+    grid = _grid(spans, keys, GRID_BLOCK, ["__t0"]).select(
+        *keys, (F.col("__t0") + F.col("__i") * step).alias("__us"), *[F.lit(None).cast(df.schema[v].dataType).alias(v) for v in values], F.lit(1).alias("__g"))
+    both = d.withColumn("__g", F.lit(0)).unionByName(grid)
+    at = both.groupBy(*keys, "__us").agg(*[F.max(v).alias(v) for v in values], F.max("__g").alias("__g"))
+    return at.filter("__g = 1").select(*keys, from_micros(F.col("__us")).alias(ts), *values)
 
 
 def interp_to(df, keys, step_seconds: int, decimals: DataFrame | None = None, value="value", ts="ts",
@@ -110,8 +106,9 @@ def interp_to(df, keys, step_seconds: int, decimals: DataFrame | None = None, va
     valid values, rounded to the decimals of the series (keys, decimals)."""
     step = F.lit(step_seconds * MICROS)
     us = micros(ts)
-    valid = df.filter(F.col(value).isNotNull()).select(*keys, us.alias("__us"), F.col(value).cast("double").alias(value))
-    spans = df.groupBy(*keys).agg(F.floor(F.min(us) / step).alias("lo"), F.ceil(F.max(us) / step).alias("hi"))
+    d = df.select(*keys, us.alias("__us"), F.col(value).cast("double").alias(value))
+    valid = d.filter(F.col(value).isNotNull())
+    spans = summarize(d, keys, [F.floor(F.min("__us") / step).alias("lo"), F.ceil(F.max("__us") / step).alias("hi")])
     grid = _grid(spans, keys, GRID_BLOCK).select(*keys, (F.col("__i") * step).alias("__us"),
                                                  F.lit(None).cast("double").alias(value), F.lit(1).alias("__g"))
     both = valid.withColumn("__g", F.lit(0)).unionByName(grid)

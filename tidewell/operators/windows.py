@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidewell.operators.chunks import (
-    CHUNK, DEFAULT_SECONDS, chunked, following, framed, halo_blocks, overall, position, prev, running, scan,
+    CHUNK, DEFAULT_SECONDS, chunked, following, framed, halo_blocks, overall, position, prev, running, scan, summarize,
 )
 from tidewell.schema import MICROS, micros
 
@@ -111,9 +111,9 @@ def runs(df, keys, key: Column, out="run_len", order=("ts",), seconds=DEFAULT_SE
     base = base.withColumn("__rn", rn).withColumn("__new", new)
     at_new = F.when(F.col("__new"), F.col("__rn"))
 
-    summary = base.groupBy(*keys, CHUNK).agg(
+    summary = summarize(base, [*keys, CHUNK], [
         F.count(F.lit(1)).alias("n"), F.min_by("__k", "__rn").alias("k0"), F.max_by("__k", "__rn").alias("k1"),
-        F.min(F.when(F.col("__rn") > 1, at_new)).alias("second"), F.max(at_new).alias("last"))
+        F.min(F.when(F.col("__rn") > 1, at_new)).alias("second"), F.max(at_new).alias("last")])
     one = F.col("last") == 1
     ends = summary.select(*keys, CHUNK, F.explode(F.when(one, F.array(
         F.struct(F.lit(0).alias("e"), F.col("k0").alias("k"), F.col("n").alias("len"), F.lit(False).alias("cut")))).otherwise(F.array(
