@@ -369,13 +369,13 @@ e AS (SELECT *, CASE WHEN ts - tp = INTERVAL 1 DAY THEN (p + a) / 2 ELSE a END A
 m AS (SELECT *, (r0 - a) * (a - l0) <= 0 AS flat, (r0 - l0) * 6 * (a - (l0 + r0) / 2) AS wb, (r0 - l0) * (r0 - l0) AS ww FROM e),
 n AS (SELECT *, CASE WHEN flat THEN a WHEN wb > ww THEN 3 * a - 2 * r0 ELSE l0 END AS l, CASE WHEN flat THEN a WHEN wb < -ww THEN 3 * a - 2 * l0 ELSE r0 END AS r FROM m),
 o AS (SELECT *, 6 * (a - (l + r) / 2) AS c FROM n),
-fine AS (SELECT station, param, ts + to_hours(6 * j) AS ts, ((l * x1 + (r - l) * x1 * x1 / 2 + c * (x1 * x1 / 2 - x1 * x1 * x1 / 3)) - (l * x0 + (r - l) * x0 * x0 / 2 + c * (x0 * x0 / 2 - x0 * x0 * x0 / 3))) * 4 AS value
- FROM (SELECT o.*, j, j / 4.0::DOUBLE AS x0, (j + 1) / 4.0::DOUBLE AS x1 FROM o, range(4) t(j)))"""
+fine AS (SELECT station, param, ts + to_seconds(9600 * j) AS ts, ((l * x1 + (r - l) * x1 * x1 / 2 + c * (x1 * x1 / 2 - x1 * x1 * x1 / 3)) - (l * x0 + (r - l) * x0 * x0 / 2 + c * (x0 * x0 / 2 - x0 * x0 * x0 / 3))) * 9 AS value
+ FROM (SELECT o.*, j, j / 9.0::DOUBLE AS x0, (j + 1) / 9.0::DOUBLE AS x1 FROM o, range(9) t(j)))"""
 
 
 @query("tim8_disaggregate", f"WITH {DAILY}, {DISAGG} SELECT station, param, ts, round(value, 5) AS value FROM fine")
 def _(spark, sf):
-    return G.disaggregate(daily(spark, sf), K, 86400, 6 * 3600).withColumn("value", F.round("value", 5))
+    return G.disaggregate(daily(spark, sf), K, 86400, 9600).withColumn("value", F.round("value", 5))
 
 
 @query("tim9_coarsen")
