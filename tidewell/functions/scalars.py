@@ -114,8 +114,15 @@ DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yy H:mm", "yyyy-MM-dd HH:mm:ss", "M/d/yyyy
 
 
 def parse_any_datetime(text, formats=DATE_FORMATS) -> Column:
-    """FN-11.  First format that parses, else NULL."""
-    return F.coalesce(*[F.try_to_timestamp(F.trim(col(text)), F.lit(f)).cast("timestamp_ntz") for f in formats])
+    """FN-11.  First format that parses, else NULL.  Two-digit years 69 to 99 are
+    of the last century."""
+    out = []
+    for f in formats:
+        t = F.try_to_timestamp(F.trim(col(text)), F.lit(f)).cast("timestamp_ntz")
+        if "yy" in f and "yyyy" not in f:
+            t = F.when(F.year(t) > 2068, t - F.expr("INTERVAL 100 YEARS")).otherwise(t)
+        out.append(t)
+    return F.coalesce(*out)
 
 
 def append_note(comment, text) -> Column:

@@ -24,23 +24,30 @@ def _repo(spark, path: str, schema: str) -> DataFrame:
 
 
 def topoff_batch(staged: DataFrame, batch_id: int, path: str, keys, prefer="staged") -> None:
-    """Apply one batch.  Rows of the batch replace or extend the rows of the
-    touched shards; a batch that was applied before gives the same content again.
+    """Apply one batch.  Its rows replace or extend the rows of the touched
+    shards; a batch applied twice gives the same content.
 
-    A row-level merge by time: a batch holds corrections of single times, so the
-    repository keeps its own rows between them (REC-8 merges whole shards)."""
+    The merge is by time, not by span: a batch holds corrections of single times,
+    so the repository keeps its own rows between them, and the way the input is
+    cut into batches does not matter.  A batch that changes nothing writes nothing.
+    """
     spark = staged.sparkSession
     cols = [*keys, "shard", "ts", "value"]
     new = stage(staged.select(*cols).groupBy(*keys, "shard", "ts").agg(F.max("value").alias("value")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema.fields)
-    touched = new.select(*keys, "shard").distinct()
+    parts = new.select("param", "shard").distinct()
     old = _repo(spark, path, schema).select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in cols])
-    parts = touched.select("param", "shard").distinct()
     old = old.join(parts, ["param", "shard"], "left_semi")  # whole partitions are rewritten
     rank = 0 if prefer == "staged" else 1
-    both = new.select(*cols, F.lit(rank).alias("r")).unionByName(old.select(*cols, F.lit(1 - rank).alias("r")))
-    merged = both.groupBy(*keys, "shard", "ts").agg(F.min_by("value", F.when(F.col("value").isNotNull(), F.col("r"))).alias("value"))
-    overwrite_shards(stage(merged), path)
+    both = new.withColumn("r", F.lit(rank)).unionByName(old.withColumn("r", F.lit(1 - rank)))
+    at = F.when(F.col("value").isNotNull(), F.col("r"))
+    merged = stage(both.groupBy(*keys, "shard", "ts").agg(
+        F.min_by("value", at).alias("value"), F.max(F.when(F.col("r") != rank, F.struct("value"))).alias("was")))
+    changed = F.col("was").isNull() | ~F.col("value").eqNullSafe(F.col("was")["value"])
+    live = merged.filter(changed).select("param", "shard").distinct()
+    out = merged.join(live, ["param", "shard"], "left_semi").drop("was")
+    if not out.isEmpty():
+        overwrite_shards(out, path)
 
 
 def stream_topoff(staged_stream: DataFrame, path: str, checkpoint: str, keys, prefer="staged"):
