@@ -111,10 +111,10 @@ def split_bypass_flow(toe, elev, total, keys, elev_top=11.5, flow_top=4000.0, ca
     return a.select(*keys, "ts", "active", "toe_eff", F.when(low, F.lit(0.0)).otherwise(F.greatest(rest, F.lit(0.0))).alias("bypass_eff"))
 
 
-def exports(events, second, keys, status_map, step_seconds: int, sigma_steps: float, seconds=DEFAULT_SECONDS) -> DataFrame:
+def exports(events, second, keys, status_map, step_seconds: int, sigma_steps: float, seconds=DEFAULT_SECONDS, tie="unit") -> DataFrame:
     """PRD-9.  Pump events to a smooth level on a grid, plus a second series; in
     cubic feet and cubic metres per second."""
-    level = cumulative_level(events, keys, status_map=status_map, seconds=seconds)
+    level = cumulative_level(events, keys, status_map=status_map, tie=tie, seconds=seconds)
     grid = value_asof(level.withColumnRenamed("level", "value"), keys, step_seconds, seconds=seconds)
     smooth = gaussian_smooth(grid, keys, step_seconds, sigma_steps).select(*keys, "ts", F.col("filtered").alias("value"))
     total = series_arith(smooth, second, "+", keys)

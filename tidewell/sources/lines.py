@@ -9,17 +9,16 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewell.operators.checks import require_empty
-from tidewell.operators.filters import accept_quality
+from tidewell.session import stage
 
 # Texts that mean a missing value
 NULL_TOKENS = ("m", "---", "", "Eqp", "Ssn", "Dis", "Mnt", "***", "ART", "BRT", "ZFL")
 # Instrument status codes that stand in a value column
 STATUS_TOKENS = ("Fld", "Eqp", "Dis", "Mnt", "Ssn", "Dry", "Pr", "Pmp", "Rat", "Zfl", "Tst", "***")
-ISO_FORMATS = ("yyyy-MM-dd'T'HH:mm[:ss]", "yyyy-MM-dd HH:mm[:ss]", "yyyy-MM-dd")
-US_FORMATS = ("M/d/yyyy H:mm[:ss]", "M/d/yyyy")
+TIME_FORMATS = ("yyyy-MM-dd[['T'][' ']HH:mm[:ss]]", "M/d/yyyy[ H:mm[:ss]]", "yyyyMMdd[' ']HH[':']mm[ss]")
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
@@ -34,25 +33,25 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 class Layout(NamedTuple):
     """How the data lines of a file are read.
 
-    ``time``: field positions (0-based) joined by ``glue``, or a column name.
-    Names are looked up in the header line of each file, which is the last line
-    before the data that matches ``header``.
+    Fields are given by position (0-based) or by name; names are looked up in
+    the first line of the file that matches ``header``.  ``pattern`` makes every
+    column whose name matches a sensor, with its quality column named by
+    replacing ``quality_of[0]`` by ``quality_of[1]`` in the name.
     """
 
     name: str
     sep: str = ","
     time: tuple = (0,)
     glue: str = ""
-    formats: tuple = ISO_FORMATS + US_FORMATS
-    value: int | str = 1
+    value: int | str | None = 1
+    pattern: str | None = None
     quality: int | str | None = None
-    codes: tuple = ()
+    quality_of: tuple = ("$", "")
+    codes: tuple | None = None
     zone: int | str | None = None
     header: str | None = None
     data: str = r"^\s*\"?\d"
     pad_time: bool = False
-    value_is: str = "name"
-    zone_daylight: str = "PDT"
 
 
 _A, _B = ("e", "1", "2", "25", "70"), ("e", "1", "2", "25", "75")
@@ -63,24 +62,24 @@ LAYOUTS = {l.name: l for l in (
     Layout("hydstra_json", quality=2, codes=_A),
     Layout("hydstra_csv", quality=2, codes=_A),
     Layout("des_std", time=("time",), value="value", quality="qaqc_flag_id", codes=("U", "G", "A"), header=r"(?i)^[^#]*\bvalue\b"),
-    Layout("des", time=("DATETIME",), value="VALUE", quality="QAQC Flag", codes=("U", "G", "A"), header=r"(?i)result_id"),
-    Layout("cdec_csv2", time=(5,), formats=("yyyyMMdd HHmm",), value=6, quality=7, codes=("e", "ART", "BRT"),
+    Layout("des", time=("DATETIME",), value="VALUE", quality="QAQC Flag", codes=("U", "G", "A"), header=r"(?i)^.*\bdatetime\b.*\bvalue\b"),
+    Layout("cdec_csv2", time=(5,), value=6, quality=7, codes=("e", "ART", "BRT"),
            data=r"^[^,]*,[^,]*,\d"),
-    Layout("cdec_csv1", time=(0, 1), formats=("yyyyMMddHHmm",), value=2, data=r"^\d{8},"),
+    Layout("cdec_csv1", time=(0, 1), glue=" ", value=2, data=r"^\d{8},"),
     Layout("wdl", quality=2, codes=_A),
     Layout("wdl2", quality=2, codes=_B),
     Layout("wdl3", quality=2, codes=_B),
-    Layout("usgs_json", time=("datetime",), value=r"_value$", quality=r"_qualifiers", header=r"^datetime", value_is="pattern",
+    Layout("usgs_json", time=("datetime",), value=None, pattern=r"_value$", quality_of=("_value$", "_qualifiers"), header=r"^datetime",
            codes=_APPROVED + ("A,[99]", "A:[92]", "A,[91]", "A,[92]", "A:[93]", "A,[93]", "A,R")),
-    Layout("usgs_rdb", sep="\t", time=("datetime",), value=r"^\d+_\d{5}(_\d{5})?$", quality="_cd", zone="tz_cd",
-           header=r"^agency_cd", data=r"^USGS\t", codes=_APPROVED, value_is="pattern"),
-    Layout("usgs_daily", sep="\t", time=("datetime",), value=r"^\d+_\d{5}(_\d{5})?$", quality="_cd",
-           header=r"^agency_cd", data=r"^USGS\t", codes=_APPROVED + ("A:e",), value_is="pattern"),
-    Layout("usgs_unit", sep="\t", time=("DATE", "TIME"), glue=" ", formats=("yyyyMMdd HHmmss",), value="VALUE", quality="QA",
+    Layout("usgs_rdb", sep="\t", time=("datetime",), value=None, pattern=r"^\d+_\d{5}(_\d{5})?$", quality_of=("$", "_cd"), zone="tz_cd",
+           header=r"^agency_cd", data=r"^USGS\t", codes=_APPROVED),
+    Layout("usgs_daily", sep="\t", time=("datetime",), value=None, pattern=r"^\d+_\d{5}(_\d{5})?$", quality_of=("$", "_cd"),
+           header=r"^agency_cd", data=r"^USGS\t", codes=_APPROVED + ("A:e",)),
+    Layout("usgs_unit", sep="\t", time=("DATE", "TIME"), glue=" ", value="VALUE", quality="QA",
            zone="TZCD", header=r"^DATE\t", data=r"^\d{8}\t", codes=("A", "P", "A:[99]", "A:R", "Approved")),
     Layout("usgs_csv", time=(1,), value="Value", quality="Approval Level", header=r"(?i)^iso", codes=("A", "P", "Approved", "Working", "A:[99]", "A:R")),
     Layout("noaa", time=("Date Time",), value=1, quality="Quality", header=r"^Date", codes=("0", "p", "v")),
-    Layout("vtide", sep=r"\s+", time=(0, 1), glue=" ", formats=("yyyyMMdd HH:mm", "yyyyMMdd HHmm", "yyyy-MM-dd HH:mm"), value=2, pad_time=True),
+    Layout("vtide", sep=r"\s+", time=(0, 1), glue=" ", value=2, pad_time=True),
     Layout("any_csv"),
 )}
 
@@ -107,21 +106,28 @@ SIGNATURES: list[tuple[str, list[tuple[str, int, bool]]]] = [
 ]
 
 
-def detect_layout(lines: DataFrame) -> DataFrame:
-    """SRC-3.  (file, layout).  One aggregation by file: the first line at which
-    each pattern occurs, relative to the first line of the file."""
-    pats = sorted({p for _, sig in SIGNATURES for p, _, _ in sig})
+def describe_files(lines: DataFrame, layout: str | None = None) -> DataFrame:
+    """SRC-3.  (file, layout, header line) in one aggregation by file: the first
+    line at which each pattern occurs, relative to the first line of the file."""
+    pats = sorted({p for _, sig in SIGNATURES for p, _, _ in sig}) if layout is None else []
+    line, no = F.col("line"), F.col("line_no")
     seen = lines.groupBy("file").agg(
-        F.min("line_no").alias("first"),
-        *[F.min(F.when(F.col("line").rlike(p), F.col("line_no"))).alias(f"p{i}") for i, p in enumerate(pats)])
-    out = None
-    for name, sig in SIGNATURES:
+        F.min("line_no").alias("first"), *[F.min(F.when(line.rlike(p), no)).alias(f"p{i}") for i, p in enumerate(pats)],
+        *[F.min_by("line", F.when(line.rlike(h), no)).alias(f"h{i}") for i, h in enumerate(HEADERS)])
+    out = F.lit(layout) if layout is not None else None
+    for name, sig in SIGNATURES if layout is None else ():
         fits = F.lit(True)
         for p, n, wanted in sig:
             hit = F.coalesce(F.col(f"p{pats.index(p)}") - F.col("first") < n, F.lit(False))
             fits = fits & (hit if wanted else ~hit)
         out = F.when(fits, name) if out is None else out.when(fits, name)
-    return seen.select("file", out.otherwise("any_csv").alias("layout"))
+    found = seen.withColumn("layout", out if layout is not None else out.otherwise("any_csv"))
+    return found.select("file", "layout", *[f"h{i}" for i in range(len(HEADERS))])
+
+
+def detect_layout(lines: DataFrame) -> DataFrame:
+    """SRC-3.  (file, layout)."""
+    return describe_files(lines).select("file", "layout")
 
 
 def null_tokens(text, tokens=NULL_TOKENS) -> Column:
@@ -146,66 +152,86 @@ def _parse_time(text: Column, formats) -> Column:
     return F.coalesce(*t) if len(t) > 1 else t[0]
 
 
-def parse_lines(lines: DataFrame, layout: Layout, tokens=None) -> DataFrame:
-    """SRC-2.  Data lines of files of one layout: file, sensor, line_no, ts,
+HEADERS = sorted({l.header for l in LAYOUTS.values() if l.header})
+
+
+def layout_table(spark: SparkSession) -> DataFrame:
+    """The layouts as rows: one small table of fixed size."""
+    pos = lambda x: x if isinstance(x, int) else None
+    name = lambda x: x if isinstance(x, str) else None
+    rows = [(l.name, l.sep, l.glue, [pos(t) for t in l.time], [name(t) for t in l.time], pos(l.value), name(l.value), l.pattern,
+             pos(l.quality), name(l.quality), *l.quality_of, pos(l.zone), name(l.zone), HEADERS.index(l.header) + 1 if l.header else None,
+             l.data, [c.strip() for c in l.codes] if l.codes is not None else None, l.pad_time) for l in LAYOUTS.values()]
+    return spark.createDataFrame(rows, """layout string, sep string, glue string, ti array<int>, tn array<string>, vi int, vn string, pattern string,
+        qi int, qn string, q_from string, q_to string, zi int, zn string, head int, data string, codes array<string>, pad boolean""")
+
+
+def _unquoted(c: Column) -> Column:
+    return F.regexp_replace(F.trim(c), r'^"|"$', "")
+
+
+def file_fields(described: DataFrame) -> DataFrame:
+    """Where the fields are: one row per (file, sensor) with 0-based positions
+    ``t0``, ``t1``, ``vpos``, ``qpos``, ``zpos`` and the rules of the layout."""
+    d = described.join(F.broadcast(layout_table(described.sparkSession)), "layout")
+    header = F.try_element_at(F.array(*[F.col(f"h{i}") for i in range(len(HEADERS))]), F.col("head"))
+    d = d.withColumn("h", F.coalesce(F.transform(F.split(header, F.col("sep")), _unquoted), F.array().cast("array<string>")))
+    at = lambda i, n: F.coalesce(i, F.nullif(F.array_position("h", n), F.lit(0)).cast("int") - 1)
+    nth = lambda c, k: F.try_element_at(c, F.lit(k))
+    d = d.select("file", "layout", "sep", "glue", "data", "codes", "pad", "h", "pattern", "q_from", "q_to",
+                 at(nth("ti", 1), nth("tn", 1)).alias("t0"), at(nth("ti", 2), nth("tn", 2)).alias("t1"), at(F.col("zi"), F.col("zn")).alias("zpos"),
+                 at(F.col("vi"), F.col("vn")).alias("vpos"), at(F.col("qi"), F.col("qn")).alias("qpos"))
+    keep = ["file", "sep", "glue", "data", "codes", "pad", "t0", "t1", "zpos"]
+    plain = d.filter("pattern IS NULL").select(*keep, F.lit("value").alias("sensor"), "vpos", "qpos")
+    many = d.filter("pattern IS NOT NULL").drop("vpos", "qpos").select("*", F.posexplode("h").alias("vpos", "name")).filter(F.expr("name RLIKE pattern"))
+    many = many.withColumn("q", F.expr("regexp_replace(name, q_from, q_to)"))
+    many = many.select(*keep, F.regexp_replace("name", "_value$", "").alias("sensor"), "vpos", at(F.lit(None).cast("int"), F.col("q")).alias("qpos"))
+    return plain.unionByName(many)
+
+
+SMALL_ROWS = 200_000
+
+
+def with_file_facts(lines: DataFrame, facts: DataFrame) -> DataFrame:
+    """Lines with the facts of their file.  The facts are written once and
+    counted: a small table is broadcast, so the text is not shuffled; a larger
+    one is joined by file, where adaptive execution splits a hot file."""
+    kept = stage(facts)
+    small = kept.count() <= SMALL_ROWS
+    return lines.join(F.broadcast(kept) if small else kept, "file")
+
+
+def parse_lines(lines: DataFrame, described: DataFrame, tokens=None) -> DataFrame:
+    """SRC-2.  Data lines of all files in one pass: file, sensor, line_no, ts,
     raw (text of the value), quality, accepted (value text or NULL).
 
-    Header lines do not look like data lines, so nothing is skipped by count.
+    The layout of a line is a column; what differs between layouts is chosen by
+    it.  Header lines do not look like data lines, so nothing is skipped by count.
     """
     tokens = NULL_TOKENS + STATUS_TOKENS if tokens is None else tokens
-    unquoted = lambda c: F.regexp_replace(F.trim(c), r'^"|"$', "")
-    fields = F.transform(F.split(F.col("line"), layout.sep), unquoted)
-    body = lines.filter(F.col("line").rlike(layout.data) & ~F.col("line").startswith("#")).select(
-        "file", "line_no", fields.alias("f"))
-    by_name = [x for x in (*layout.time, layout.value, layout.quality, layout.zone) if isinstance(x, str)]
-    if by_name:
-        head = lines.filter(F.col("line").rlike(layout.header)).select("file", "line_no", fields.alias("h"))
-        head = head.groupBy("file").agg(F.min_by("h", F.coalesce("line_no", F.lit(2**62))).alias("h"))
-        body = body.join(head, "file")
-
-    def field(which):
-        if which is None:
-            return F.lit(None).cast("string")
-        if isinstance(which, int):
-            return F.try_element_at("f", F.lit(which + 1))
-        return F.try_element_at("f", F.nullif(F.array_position("h", which), F.lit(0)).cast("int"))
-
-    if layout.value_is == "pattern":
-        body = body.select("*", F.posexplode("h").alias("i", "sensor")).filter(F.col("sensor").rlike(layout.value))
-        raw = F.try_element_at("f", F.col("i") + 1)
-        partner = F.regexp_replace("sensor", "_value$", layout.quality) if layout.quality.startswith("_q") else F.concat("sensor", F.lit(layout.quality))
-        quality = F.try_element_at("f", F.nullif(F.expr("array_position(h, __partner)"), F.lit(0)).cast("int"))
-        body = body.withColumn("__partner", partner)
-        sensor = F.regexp_replace("sensor", "_value$", "")
-    else:
-        raw, quality, sensor = field(layout.value), field(layout.quality), F.lit("value")
-    text = [field(t) for t in layout.time]
-    if layout.pad_time:
-        text[1] = F.when(text[1].contains(":"), text[1]).otherwise(F.lpad(text[1], 4, "0"))
-    when = F.concat_ws(layout.glue, *text) if len(text) > 1 else text[0]
-    ts = _parse_time(when, layout.formats)
-    if layout.zone is not None:
-        ts = F.when(field(layout.zone) == layout.zone_daylight, ts - F.expr("INTERVAL 1 HOUR")).otherwise(ts)
-    d = body.select("file", sensor.alias("sensor"), "line_no", ts.alias("ts"), null_tokens(raw, tokens).alias("raw"), quality.alias("quality"))
-    kept = accept_quality("raw", "quality", layout.codes) if layout.quality is not None else F.col("raw")
-    return d.withColumn("accepted", kept)
-
-
-def read_provider(lines: DataFrame, layouts: DataFrame | str | None = None, names: list[str] | None = None, strict=True) -> DataFrame:
+    body = with_file_facts(lines, file_fields(described)).filter(~F.col("line").startswith("#") & F.expr("line RLIKE data"))
+    body = body.withColumn("f", F.split("line", F.col("sep")))
+    field = lambda pos: _unquoted(F.try_element_at("f", F.col(pos) + 1))
+    clock = F.when(F.col("pad") & ~field("t1").contains(":"), F.lpad(field("t1"), 4, "0")).otherwise(field("t1"))
+    d = body.select("file", "sensor", "line_no", "codes", 
+                    F.when(F.col("t1").isNull(), field("t0")).otherwise(F.concat(field("t0"), F.col("glue"), clock)).alias("t"),
+                    null_tokens(field("vpos"), tokens).alias("raw"), field("qpos").alias("quality"), field("zpos").alias("zone"))
+    ts = _parse_time(F.col("t"), TIME_FORMATS)
+    hour = F.expr("INTERVAL 1 HOUR")
+    blank = F.col("quality").isNull() | (F.col("quality") == "")
+    ok = F.col("codes").isNull() | blank | F.array_contains("codes", F.col("quality"))
+    return d.select("file", "sensor", "line_no", F.when(F.col("zone") == "PDT", ts - hour).otherwise(ts).alias("ts"), "raw", "quality",
+                    F.when(ok, F.col("raw")).alias("accepted"))
+
+
+def read_provider(lines: DataFrame, layout: str | None = None, described: DataFrame | None = None, strict=True) -> DataFrame:
     """SRC-2.  All files, whatever their layouts: (file, sensor, ts, value,
     quality), first line kept where a time occurs twice in a file.
 
-    ``layouts``: a layout name, or (file, layout) as from ``detect_layout``."""
-    if isinstance(layouts, str):
-        parsed = parse_lines(lines, LAYOUTS[layouts])
-    else:
-        lay = detect_layout(lines) if layouts is None else layouts
-        tagged = lines.join(lay, "file")
-        todo = names or [r[0] for r in lay.select("layout").distinct().collect()]  # at most the known layouts
-        parsed = None
-        for n in todo:
-            p = parse_lines(tagged.filter(F.col("layout") == n).drop("layout"), LAYOUTS[n])
-            parsed = p if parsed is None else parsed.unionByName(p)
+    ``layout`` names the layout of all files; ``described`` replaces what
+    ``describe_files`` finds."""
+    known = described if described is not None else describe_files(lines, layout)
+    parsed = parse_lines(lines, known)
     if strict:
         d = strict_cast(parsed, "accepted")
     else:
