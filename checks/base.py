@@ -53,7 +53,7 @@ def hourly_rows(spark, sf) -> DataFrame:
 
 def hourly(spark, sf) -> DataFrame:
     """Hourly maximum on the complete grid of each series, gaps as NULL."""
-    i = F.floor(micros("ts") / F.lit(3600 * MICROS)).alias("__i")
+    i = F.floor(micros("ts") / F.lit(3600 * MICROS).cast("long")).alias("__i")
     h = obs(spark, sf).groupBy(*K, i).agg(F.max("value").alias("value"))
     return complete(h, K, "__i", ["value"]).select(*K, index_time("__i", 3600).alias("ts"), "value")
 

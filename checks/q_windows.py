@@ -365,7 +365,7 @@ def _(spark, sf):
 
 
 DISAGG = """s AS (SELECT station, param, ts, value AS a, lag(value) OVER w AS p, lag(ts) OVER w AS tp, lead(value) OVER w AS q, lead(ts) OVER w AS tq FROM daily WINDOW w AS (PARTITION BY station, param ORDER BY ts)),
-e AS (SELECT *, CASE WHEN ts - tp = INTERVAL 1 DAY THEN (p + a) / 2 ELSE a END AS l0, CASE WHEN tq - ts = INTERVAL 1 DAY THEN (q + a) / 2 ELSE a END AS r0 FROM s),
+e AS (SELECT *, coalesce(CASE WHEN ts - tp = INTERVAL 1 DAY THEN (p + a) / 2 END, a) AS l0, coalesce(CASE WHEN tq - ts = INTERVAL 1 DAY THEN (q + a) / 2 END, a) AS r0 FROM s),
 m AS (SELECT *, (r0 - a) * (a - l0) <= 0 AS flat, (r0 - l0) * 6 * (a - (l0 + r0) / 2) AS wb, (r0 - l0) * (r0 - l0) AS ww FROM e),
 n AS (SELECT *, CASE WHEN flat THEN a WHEN wb > ww THEN 3 * a - 2 * r0 ELSE l0 END AS l, CASE WHEN flat THEN a WHEN wb < -ww THEN 3 * a - 2 * l0 ELSE r0 END AS r FROM m),
 o AS (SELECT *, 6 * (a - (l + r) / 2) AS c FROM n),

@@ -11,7 +11,7 @@ from tidewell.schema import MICROS, micros, ntz
 
 def resample_mean(df, keys, step_seconds: int, value="value", ts="ts", fill=True) -> DataFrame:
     """AGG-1.  Mean per bin, empty bins between first and last as NULL."""
-    i = F.floor(micros(ts) / F.lit(step_seconds * MICROS)).alias("__i")
+    i = F.floor(micros(ts) / F.lit(step_seconds * MICROS).cast("long")).alias("__i")
     m = df.groupBy(*keys, i).agg(F.avg(value).alias(value))
     m = complete(m, keys, "__i", [value]) if fill else m
     return m.select(*keys, index_time("__i", step_seconds).alias(ts), value)
@@ -92,7 +92,7 @@ def lag_correlation(x, y, keys, max_lag: int, step_seconds: int, value="value",
     """
     from tidewell.operators.chunks import halo_blocks
 
-    i = (micros(ts) / F.lit(step_seconds * MICROS)).cast("long").alias("__i")
+    i = (micros(ts) / F.lit(step_seconds * MICROS).cast("long")).cast("long").alias("__i")
     u = x.select(*keys, i, F.col(value).alias("x"), F.lit(None).cast("double").alias("y")).unionByName(
         y.select(*keys, i, F.lit(None).cast("double").alias("x"), F.col(value).alias("y")))
     u = u.groupBy(*keys, "__i").agg(F.max("x").alias("x"), F.max("y").alias("y"))

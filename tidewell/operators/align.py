@@ -34,7 +34,7 @@ def reindex_like(df, other, keys=(), value="value", ts="ts") -> DataFrame:
 def value_asof(df, keys, step_seconds: int, value="value", ts="ts", seconds=DEFAULT_SECONDS) -> DataFrame:
     """JOIN-13.  A step series on a regular grid: last value at or before each
     grid time, from ceil(first) to floor(last)."""
-    step = F.lit(step_seconds * MICROS)
+    step = F.lit(step_seconds * MICROS).cast("long")
     us = micros(ts)
     df = df.select(*keys, ts, value)
     spans = summarize(df, keys, [F.ceil(F.min(us) / step).alias("lo"), F.floor(F.max(us) / step).alias("hi")]).filter("lo <= hi")

@@ -52,7 +52,7 @@ def chunked(
     """
     if CHUNK in df.columns:
         return df
-    part = by if by is not None else F.floor(micros(ts) / F.lit(seconds * MICROS)).cast("long")
+    part = by if by is not None else F.floor(micros(ts) / F.lit(seconds * MICROS).cast("long")).cast("long")
     d = df.withColumn(CHUNK, part)
     for c in (*keys, CHUNK):
         d = d.filter(F.col(c).isNotNull())

@@ -27,7 +27,7 @@ def infer_freq(df, keys, ts="ts", share=0.9, seconds=DEFAULT_SECONDS) -> DataFra
 
 def grid_index(ts, step_seconds: int) -> Column:
     """Nearest grid index in integer microseconds, ties to the even index."""
-    step = F.lit(step_seconds * MICROS)
+    step = F.lit(step_seconds * MICROS).cast("long")
     us = micros(ts)
     rest = F.pmod(us, step)
     q = ((us - rest) / step).cast("long")
@@ -37,13 +37,13 @@ def grid_index(ts, step_seconds: int) -> Column:
 
 def exact_index(ts, step_seconds: int) -> Column:
     """Grid index of a time on the grid, NULL off it."""
-    step = F.lit(step_seconds * MICROS)
+    step = F.lit(step_seconds * MICROS).cast("long")
     us = micros(ts)
     return F.when(F.pmod(us, step) == 0, (us / step).cast("long"))
 
 
 def index_time(i, step_seconds: int) -> Column:
-    return from_micros(F.col(i) * F.lit(step_seconds * MICROS) if isinstance(i, str) else i * F.lit(step_seconds * MICROS))
+    return from_micros(F.col(i) * F.lit(step_seconds * MICROS).cast("long") if isinstance(i, str) else i * F.lit(step_seconds * MICROS).cast("long"))
 
 
 def _grid(spans: DataFrame, keys, block: int, extra=()) -> DataFrame:
@@ -89,7 +89,7 @@ def regularize(df, keys, step_seconds: int, value="value", ts="ts", fill=True) -
 def asfreq(df, keys, step_seconds: int, values=("value",), ts="ts") -> DataFrame:
     """TIM-3.  Grid of ``step`` from the first to the last time of the series,
     exact matches only.  The grid starts at the first time of the series."""
-    step = F.lit(step_seconds * MICROS)
+    step = F.lit(step_seconds * MICROS).cast("long")
     d = df.select(*keys, micros(ts).alias("__us"), *values)
     spans = summarize(d, keys, [F.min("__us").alias("__t0"), F.max("__us").alias("__t1")])
     spans = spans.withColumn("lo", F.lit(0).cast("long")).withColumn("hi", F.floor((F.col("__t1") - F.col("__t0")) / step))
@@ -104,7 +104,7 @@ def interp_to(df, keys, step_seconds: int, decimals: DataFrame | None = None, va
               seconds=DEFAULT_SECONDS) -> DataFrame:
     """TIM-4.  Grid from floor(first) to ceil(last), linear in time between the
     valid values, rounded to the decimals of the series (keys, decimals)."""
-    step = F.lit(step_seconds * MICROS)
+    step = F.lit(step_seconds * MICROS).cast("long")
     us = micros(ts)
     d = df.select(*keys, us.alias("__us"), F.col(value).cast("double").alias(value))
     valid = d.filter(F.col(value).isNotNull())
@@ -257,13 +257,13 @@ def disaggregate(df, keys, period_seconds: int, step_seconds: int, value="value"
         return F.col("l") * x + (F.col("r") - F.col("l")) * x * x / 2 + F.col("c") * (x * x / 2 - x * x * x / 3)
 
     x0, x1 = F.col("j") / n, (F.col("j") + 1) / n
-    return j.select(*keys, from_micros(us + F.col("j") * F.lit(step_seconds * MICROS)).alias(ts),
+    return j.select(*keys, from_micros(us + F.col("j") * F.lit(step_seconds * MICROS).cast("long")).alias(ts),
                     ((area(x1) - area(x0)) * n).alias(value))
 
 
 def last_per_cell(df, keys, grid_seconds: int, value="value", ts="ts"):
     """Last valid value per grid cell, stamped with the cell start."""
-    step = F.lit(grid_seconds * MICROS)
+    step = F.lit(grid_seconds * MICROS).cast("long")
     us = micros(ts)
     cell = us - F.pmod(us, step)
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, from_micros(cell).alias(ts)).agg(F.max_by(value, ts).alias(value))
@@ -365,7 +365,7 @@ def freq_class(src: Column, dst: Column) -> Column:
 
 def floor_to_cycle(ts, hours: int, how="floor") -> Column:
     """TIM-13.  Time of the model cycle at or before (floor) or after (ceil)."""
-    step = F.lit(hours * 3600 * MICROS)
+    step = F.lit(hours * 3600 * MICROS).cast("long")
     us = micros(ts)
     rest = F.pmod(us, step)
     down = us - rest

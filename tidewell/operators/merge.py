@@ -148,7 +148,7 @@ def ts_blend(primary, secondary, keys, length_seconds: int, value="value", ts="t
     has = F.col("p").isNotNull()
     g = scan(p, keys, {"a": prev(edge, when=has), "b": following(edge, when=has)}, (ts,), seconds)
     a, b, t = F.col("a"), F.col("b"), micros(ts)
-    full = F.least(F.lit(length_seconds * MICROS), b["t"] - a["t"])  # least skips nulls
+    full = F.least(F.lit(length_seconds * MICROS).cast("long"), b["t"] - a["t"])  # least skips nulls
     wa = F.greatest(1 - (t - a["t"]) / full, F.lit(0.0))
     wb = F.greatest(1 - (b["t"] - t) / full, F.lit(0.0))
     shifted = F.col("s") + F.coalesce(wa * a["d"], F.lit(0.0)) + F.coalesce(wb * b["d"], F.lit(0.0))

@@ -47,7 +47,7 @@ def neighbour_fill(y, x, keys, max_lag: int, step_seconds: int, seconds=DEFAULT_
     """PRD-3.  The neighbour shifted by its best lag, fitted, fills the gaps."""
     lag = lag_correlation(x, y, keys, max_lag, step_seconds)
     moved = attach(x, lag, keys, seconds).withColumn(
-        "ts", from_micros(micros("ts") + F.coalesce("lag", F.lit(0)) * F.lit(step_seconds * MICROS)))
+        "ts", from_micros(micros("ts") + F.coalesce("lag", F.lit(0)) * F.lit(step_seconds * MICROS).cast("long")))
     return regression_impute(y, moved.select(*keys, "ts", "value"), keys, seconds=seconds)
 
 
@@ -57,7 +57,7 @@ def flow_difference(down, tributary, keys, shift_seconds=-3 * 3600, limit=4, sec
     d = series_arith(down, tributary, "-", keys)
     if strict:
         require_empty(d.filter("value < 0"), "tributary larger than downstream flow")
-    moved = d.withColumn("ts", from_micros(micros("ts") + F.lit(shift_seconds * MICROS)))
+    moved = d.withColumn("ts", from_micros(micros("ts") + F.lit(shift_seconds * MICROS).cast("long")))
     return _filled(moved, keys, limit, seconds)
 
 

@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a union of placed branches is not zipped by partition: adaptive execution may
+    # coalesce them to different numbers of partitions
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -29,8 +32,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Clock arithmetic runs on naive timestamps, so the session clock is UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Settings that results depend on, for a session made elsewhere.  Clock
+    arithmetic runs on naive timestamps, so the session clock is UTC."""
+    for k in ("spark.sql.session.timeZone", "spark.sql.unionOutputPartitioning"):
+        spark.conf.set(k, SETTINGS[k])
     return spark
 
 
