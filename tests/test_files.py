@@ -73,8 +73,8 @@ def test_rdb_with_two_sensors(spark, tmp_path):
     (tmp_path / "r.rdb").write_text("# //waterdata.usgs.gov\nagency_cd\tsite_no\tdatetime\ttz_cd\t11_00060\t11_00060_cd\t12_00065\t12_00065_cd\n5s\t15s\t20d\t6s\t14n\t10s\t14n\t10s\n"
                                     "USGS\t1\t2024-11-03 01:30\tPDT\t5\tA\tIce\tP\nUSGS\t1\t2024-11-03 01:30\tPST\t6\tX\t7.5\tP\n")
     lines = L.read_lines(spark, str(tmp_path))
-    with pytest.raises(ValueError, match="numeric"):
-        L.read_provider(lines)
+    with pytest.raises(Exception, match="numeric column of r.rdb: Ice"):
+        L.read_provider(lines).collect()
     d = {(r.sensor, r.ts.hour): r.value for r in L.read_provider(lines, strict=False).collect()}
     assert d == {("11_00060", 0): 5.0, ("11_00060", 1): None, ("12_00065", 0): None, ("12_00065", 1): 7.5}
 

@@ -11,7 +11,6 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewell.operators.checks import require_empty
 from tidewell.session import stage
 
 # Texts that mean a missing value
@@ -138,13 +137,14 @@ def null_tokens(text, tokens=NULL_TOKENS) -> Column:
 
 def strict_cast(df: DataFrame, raw: str, out="value", quarantine=False):
     """SRC-5.  Text to number.  A text that is no number is an error that names
-    its file, or the rows come back apart as (good, bad)."""
-    d = df.withColumn(out, F.col(raw).try_cast("double"))
-    bad = d.filter(F.col(out).isNull() & F.col(raw).isNotNull())
+    its file (raised while the rows are read, without a pass of its own), or the
+    rows come back apart as (good, bad)."""
+    number = F.col(raw).try_cast("double")
+    bad = number.isNull() & F.col(raw).isNotNull()
     if quarantine:
-        return d.filter(~(F.col(out).isNull() & F.col(raw).isNotNull())).drop(raw), bad.drop(out)
-    require_empty(bad.select("file", raw), "text in a numeric column")
-    return d.drop(raw)
+        return df.filter(~bad).withColumn(out, number).drop(raw), df.filter(bad)
+    stop = F.raise_error(F.concat(F.lit("text in a numeric column of "), F.col("file"), F.lit(": "), F.col(raw))).cast("double")
+    return df.withColumn(out, F.when(bad, stop).otherwise(number)).drop(raw)
 
 
 def _parse_time(text: Column, formats) -> Column:
