@@ -133,7 +133,12 @@ def _(spark, sf):
                              F.max(F.col("args")["bounds"]).alias("bounds"))
 
 
-@query("scr11_auto_screen")
+_SP1 = "(station = 'signup' AND param = 'p1')"
+_BY_SERIES = _SCREEN.split(",\nflagged AS")[0].replace("value BETWEEN 1 AND 140", f"value BETWEEN CASE WHEN {_SP1} THEN 0 WHEN param = 'p1' THEN 5 ELSE 1 END AND CASE WHEN {_SP1} THEN 50 WHEN param = 'p1' THEN 90 ELSE 140 END")
+
+
+@query("scr11_auto_screen", f"""WITH {_BY_SERIES} SELECT station, param, ts, value, CASE WHEN bounds_test OR (short_run_test AND NOT {_SP1}) OR (repeat_test AND NOT {_SP1} AND NOT (station = 'view' AND param = 'p2'))
+ OR (median_test_twoside AND param <> 'p1') THEN CAST(1 AS TINYINT) END AS user_flag FROM scr""")
 def _(spark, sf):
     return S.auto_screen(hourly(spark, sf), CONFIG, contexts(spark, sf), seconds=width(spark, sf))
 

@@ -80,3 +80,21 @@ def test_protocol_cascade():
     assert lab("xyz", "elev", "delta") == ["dip_test"]
     with pytest.raises(ValueError):
         S.register_method("dip_test", lambda: None)
+
+
+def test_inventory_equals_one_screen_per_series(spark):
+    pdf = random_series(21, names=("a", "b", "c"), digits=1)
+    d = to_spark(spark, pdf).withColumn("param", F.lit("p"))
+    steps = [{"method": "bounds_test", "args": {"bounds": [-3, 3]}, "apply_immediately": True}, {"method": "repeat_test", "args": {"max_repeat": 1}},
+             {"method": "short_run_test", "args": {"small_gap_len": 1, "min_run_len": 2}, "apply_immediately": True}, {"method": "dip_test", "args": {"low": 0.0, "dip": 1.0}}]
+    cfg = {"defaults": {"global": {"steps": steps}}, "stations": {
+        "b": {"params": {"p": {"inherits_global": True, "omit_steps": ["short_run_test"], "modify_steps": [{"method": "bounds_test", "args": {"bounds": [-1, 4]}}]}}},
+        "c": {"params": {"p": {"inherits_global": False, "steps": [{"method": "bounds_test", "args": {"bounds": [0, 2]}}]}}}}}
+    K2 = ["station", "param"]
+    got = S.auto_screen(d, cfg, [(x, "p", "default") for x in "abc"], seconds=13 * 3600).toPandas().sort_values(["station", "ts"])
+    for x in "abc":
+        one = S.screen(d.filter(F.col("station") == x), K2, S.resolve_protocol(cfg, x, "p"), labels=False).toPandas().sort_values("ts")
+        a, b = got[got.station == x].user_flag.fillna(-1).tolist(), one.user_flag.fillna(-1).tolist()
+        assert a == b and 1 in a
+    shared, _ = S.step_uses(cfg, [(x, "p", "default") for x in "aabbc"])
+    assert len(shared) == 4 + 3 + 1

@@ -227,23 +227,71 @@ def protocol_table(spark, config: dict, contexts: list[tuple[str, str, str]]) ->
     return spark.createDataFrame(rows, "station string, param string, region string, ord int, method string, label string, apply_immediately boolean, args map<string,string>")
 
 
-def protocol_groups(config: dict, contexts: list[tuple[str, str, str]]) -> list[tuple[list[dict], list[tuple[str, str]]]]:
-    """Series (station, param) that share one resolved protocol."""
-    groups: dict[str, tuple[list[dict], list[tuple[str, str]]]] = {}
-    for st, p, rg in contexts:
-        steps = resolve_protocol(config, st, p, rg)
-        groups.setdefault(repr(steps), (steps, []))[1].append((st, p))
-    return list(groups.values())
+def step_uses(config: dict, contexts: list[tuple[str, str, str]]) -> tuple[list[tuple[dict, int]], list[tuple[str, str, list[int]]]]:
+    """Distinct (step, phase) over all series, and the ids each series uses.
+
+    The phase of a step is the number of immediate steps before it: steps of one
+    phase see the same values, so a step that many protocols share runs once."""
+    ids: dict[str, int] = {}
+    steps: list[tuple[dict, int]] = []
+    members = []
+    for station, param, region in contexts:
+        phase, mine = 0, []
+        for step in resolve_protocol(config, station, param, region):
+            key = f"{phase}{step!r}"
+            if key not in ids:
+                ids[key] = len(steps)
+                steps.append((step, phase))
+            mine.append(ids[key])
+            phase += bool(step.get("apply_immediately"))
+        members.append((station, param, mine))
+    return steps, members
+
+
+MEMBERS_BROADCAST = 200_000
 
 
 def auto_screen(df, config: dict, contexts: list[tuple[str, str, str]], keys=("station", "param"), seconds=DEFAULT_SECONDS) -> DataFrame:
-    """SCR-11.  Screen every series of the inventory, one plan per distinct
-    protocol, whatever the number of series.  ``contexts`` are the (station,
-    param, region) rows of the inventory, a small table."""
-    spark = df.sparkSession
-    parts = []
-    for steps, members in protocol_groups(config, contexts):
-        chosen = spark.createDataFrame(members, "station string, param string")
-        sub = df.join(chosen, ["station", "param"], "left_semi")
-        parts.append(screen(sub, keys, steps, seconds, labels=False))
-    return reduce(DataFrame.unionByName, parts)
+    """SCR-11.  Screen every series of the inventory: (keys, ts, value, user_flag).
+
+    ``contexts`` are the (station, param, region) rows of the inventory, a small
+    table.  The plan has one test per distinct step, whatever the number of series
+    and protocols.  Bounds are tested in the row; the other tests give their few
+    hits, which meet the rows in one join."""
+    steps, members = step_uses(config, contexts)
+    unknown = [s["method"] for s, _ in steps if s["method"] not in METHODS]
+    if unknown:
+        raise ValueError(f"unknown screening methods {unknown}")
+    m = df.sparkSession.createDataFrame(members, "station string, param string, __use array<int>")
+    m = F.broadcast(m) if len(members) <= MEMBERS_BROADCAST else m
+    work = df.select(*keys, "ts", "value").join(m, ["station", "param"]).withColumn("__raw", F.col("value")).withColumn("__row", F.lit(False))
+    hits: list[DataFrame] = []
+    uses = lambda i: F.array_contains("__use", i)
+    for phase in range(max((p for _, p in steps), default=0) + 1):
+        now = [(i, s) for i, (s, p) in enumerate(steps) if p == phase]
+        bounds = [(i, s) for i, s in now if s["method"] == "bounds_test"]
+        out = lambda s: F.col("value").isNotNull() & mask_range("value", *s.get("args", {}).get("bounds", (None, None))).isNull()
+        any_of = lambda some: reduce(lambda x, y: x | y, [uses(i) & out(s) for i, s in some], F.lit(False))
+        placed = None
+        instant = []
+        for i, s in now:
+            if s["method"] == "bounds_test":
+                continue
+            placed = chunked(work.select(*keys, "ts", "value", "__use"), keys, seconds) if placed is None else placed
+            part = placed.filter(uses(i)).select(*keys, "ts", "value", CHUNK)
+            t = METHODS[s["method"]](part, keys, "__hit", "value", seconds, **s.get("args", {})).filter("__hit").select(*keys, "ts")
+            (instant if s.get("apply_immediately") else hits).append(t)
+        row = work.withColumn("__row", F.col("__row") | F.coalesce(any_of(bounds), F.lit(False)))
+        gone = F.coalesce(any_of([b for b in bounds if b[1].get("apply_immediately")]), F.lit(False))
+        work = row.withColumn("value", F.when(~gone, F.col("value")))
+        if instant:
+            h = reduce(DataFrame.unionByName, instant).distinct().withColumn("__now", F.lit(True))
+            j = work.join(h, [*keys, "ts"], "left").withColumn("__now", F.coalesce("__now", F.lit(False)))
+            work = j.withColumn("__row", F.col("__row") | F.col("__now")).withColumn("value", F.when(~F.col("__now"), F.col("value"))).drop("__now")
+    done = work.select(*keys, "ts", F.col("__raw").alias("value"), "__row")
+    flag = F.col("__row")
+    if hits:
+        h = reduce(DataFrame.unionByName, hits).distinct().withColumn("__late", F.lit(True))
+        done = done.join(h, [*keys, "ts"], "left")
+        flag = flag | F.coalesce("__late", F.lit(False))
+    return done.select(*keys, "ts", "value", F.when(flag, F.lit(1)).cast("tinyint").alias("user_flag"))
