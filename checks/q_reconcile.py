@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from checks.base import K, hourly_rows, obs, query, table
@@ -11,7 +9,7 @@ from tidewell.operators import reconcile as R
 from tidewell.operators.checks import split
 from tidewell.operators.grid import asfreq
 from tidewell.schema import ntz
-from tidewell.session import checkpoint_dir, stage
+from tidewell.session import scratch, stage
 from tidewell.streaming.topoff import stream_topoff, topoff_batch
 
 YEAR = 2002
@@ -228,7 +226,7 @@ def _batches(spark, sf):
 
 @query("str1_stream_topoff", _TOP)
 def _(spark, sf):
-    root = tempfile.mkdtemp(prefix="topoff-", dir=checkpoint_dir(spark).removeprefix("file:"))
+    root = scratch(spark, "topoff")
     h = stage(_batches(spark, sf))
     for b in range(4):
         h.filter(F.col("b") == b).drop("b").coalesce(1).write.parquet(f"{root}/in/part={b}")

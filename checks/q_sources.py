@@ -3,20 +3,23 @@ read back by the readers, so the work grows with the tables."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from checks.base import DAILY, K, OBS, daily, obs, query, table, width
 from tidewell.operators import screen as S
 from tidewell.sources import lines as L, payloads as P, shards as SH
-from tidewell.session import checkpoint_dir
+from tidewell.session import scratch
 
 
 def _fmt(pattern, c="ts"):
     return F.date_format(c, pattern)
 
 
+def _batch(key):
+    """A payload holds at most 64 points, however many a site has."""
+    return F.floor(F.col(key) / 64).alias("batch")
+
+
 def rows(spark, sf):
     e = table(spark, sf, "events")
     q = F.element_at(F.array(*[F.lit(x) for x in ("1", "70", "e", "X", "")]), (F.col("event_id") % 5 + 1).cast("int"))
@@ -73,7 +76,7 @@ _KIND_SQL = "(VALUES " + ", ".join(f"({i}, '{k}', {'true' if k in _OPEN else 'fa
 @query("src1_read_canonical", f"WITH {OBS} SELECT station || '.csv' AS file, ts, max(value) AS value FROM (SELECT station, date_trunc('hour', ts) AS ts, value FROM obs) GROUP BY ALL")
 def _(spark, sf):
     o = obs(spark, sf).groupBy("station", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.max("value").alias("value"))
-    root = tempfile.mkdtemp(prefix="canon-", dir=checkpoint_dir(spark).removeprefix("file:"))
+    root = scratch(spark, "canon")
     names = [r[0] for r in o.select("station").distinct().collect()]
     o.select("station", _fmt("yyyy-MM-dd HH:mm").alias("datetime"), "value", F.lit(None).cast("string").alias("user_flag")) \
         .write.partitionBy("station").option("header", True).csv(f"{root}/t")
@@ -140,7 +143,7 @@ _SPARSE = "sp AS (SELECT CAST(o_custkey % 40 AS VARCHAR) AS station, o_orderstat
 
 @query("src8_write_shards", f"WITH {_SPARSE} SELECT station, param, ts, value, shard_year FROM sy WHERE (station, param, shard_year) IN (SELECT (station, param, shard_year) FROM sy GROUP BY station, param, shard_year HAVING count(value) >= 16)")
 def _(spark, sf):
-    root = tempfile.mkdtemp(prefix="shards-", dir=checkpoint_dir(spark).removeprefix("file:"))
+    root = scratch(spark, "shards")
     SH.write_shards(_sparse(spark, sf), f"{root}/store", K, block_years=2)
     d = SH.read_shards(spark, f"{root}/store")
     return d.select(F.col("station").cast("string").alias("station"), F.col("param").cast("string").alias("param"), "ts", "value", F.col("shard_year").cast("int").alias("shard_year"))
@@ -159,7 +162,7 @@ def _(spark, sf):
     utc = F.col("ts") + F.expr("INTERVAL 8 HOURS")
     point = F.struct(F.col("value").cast("string").alias("value"), F.concat(F.date_format(utc - F.expr("INTERVAL 7 HOURS"), "yyyy-MM-dd HH:mm:ss"), F.lit(".000-07:00")).alias("dateTime"),
                      F.when(F.col("event_id") % 2 == 0, F.array(F.lit("A"), F.lit("R"))).otherwise(F.array(F.lit("P"))).alias("qualifiers"))
-    vals = e.groupBy("user_id", (F.col("event_id") % 3).alias("m"), "event_type", F.date_trunc("day", "ts").alias("d")).agg(F.collect_list(point).alias("value"))
+    vals = e.groupBy("user_id", (F.col("event_id") % 3).alias("m"), "event_type", _batch("event_id")).agg(F.collect_list(point).alias("value"))
     vals = vals.select("user_id", F.struct(F.array(F.struct((F.col("m") + 10).alias("methodID"), F.col("event_type").alias("methodDescription"))).alias("method"), "value").alias("b"))
     ts = F.array(F.struct(F.struct(F.array(F.struct(F.col("user_id").cast("string").alias("value"))).alias("siteCode"),
                                    F.struct(F.struct(F.lit("-08:00").alias("zoneOffset")).alias("defaultTimeZone")).alias("timeZoneInfo")).alias("sourceInfo"),
@@ -172,7 +175,7 @@ def _(spark, sf):
     o = table(spark, sf, "orders")
     t = F.when(F.col("o_orderkey") % 8 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("")
     f = F.struct(F.struct(t.alias("time"), F.when(F.col("o_orderkey") % 9 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("value")).alias("properties"))
-    p = o.groupBy("o_orderpriority", F.month("o_orderdate").alias("m")).agg(F.collect_list(f).alias("features"))
+    p = o.groupBy("o_orderpriority", _batch("o_orderkey")).agg(F.collect_list(f).alias("features"))
     return P.flatten_usgs_daily_json(p.select(F.col("o_orderpriority").alias("station"), F.to_json(F.struct("features")).alias("payload")), keep=("station",))
 
 
@@ -180,7 +183,7 @@ def _(spark, sf):
 def _(spark, sf):
     e = table(spark, sf, "events")
     r = F.struct(F.date_format("ts", "yyyyMMddHHmmss").alias("t"), F.when(F.col("event_id") % 10 == 0, "").otherwise(F.col("value").cast("string")).alias("v"), (F.col("event_id") % 4).cast("string").alias("q"))
-    g = e.groupBy("user_id", F.date_trunc("day", "ts").alias("d")).agg(F.collect_list(r).alias("trace"))
+    g = e.groupBy("user_id", _batch("event_id")).agg(F.collect_list(r).alias("trace"))
     tr = F.array(F.struct(F.col("user_id").cast("string").alias("site"), "trace"))
     return P.flatten_trace_json(g.select(F.to_json(F.struct(F.struct(tr.alias("traces")).alias("return"))).alias("payload")))
 
@@ -192,7 +195,7 @@ def _(spark, sf):
     t = F.struct(F.concat("o_orderstatus", F.when(F.col("o_orderpriority") < "4", "_RAW").otherwise("_QC")).alias("trace"), F.date_format(y, "yyyy-MM-dd HH:mm:ss").alias("start_time"),
                  F.date_format(y + F.expr("INTERVAL 300 DAYS"), "yyyy-MM-dd HH:mm:ss").alias("end_time"))
     k = F.col("o_custkey") % 300
-    s = o.groupBy(k.alias("k"), F.month("o_orderdate").alias("m")).agg(F.collect_list(t).alias("traces"))
+    s = o.groupBy(k.alias("k"), _batch("o_orderkey")).agg(F.collect_list(t).alias("traces"))
     site = F.struct(F.when(F.col("k") != 7, F.concat(F.lit("B"), F.col("k").cast("string"))).alias("site"), "traces")
     return P.flatten_inventory_json(s.select(F.to_json(F.struct(F.struct(F.array(site).alias("sites")).alias("return"))).alias("payload")))
 

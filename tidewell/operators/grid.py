@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, chunked, following, overall, prev, scan, summarize
+from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, attach, chunked, following, overall, prev, scan, summarize
 from tidewell.operators.windows import interpolate
 from tidewell.schema import MICROS, from_micros, micros
 from tidewell.session import stage
@@ -176,7 +176,7 @@ def resolve_freq(df, keys, freqs: DataFrame, policy: str | None, steps: tuple[in
     per step over all the series that use it.
     """
     choice = freq_choice(freqs, keys, policy, part)
-    tagged = df.join(choice.select(*keys, "freq"), list(keys))
+    tagged = attach(df, choice.select(*keys, "freq"), keys, ts=ts)
     parts = []
     for s in steps:
         sub = tagged.filter(F.col("freq") == s).drop("freq")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewell.operators.checks import require_empty
 from tidewell.schema import DEFAULT_SUBLOC
@@ -74,14 +74,17 @@ def superseded(files, keys, file="file") -> DataFrame:
     """JOIN-11.  Files whose year span lies inside the span of another file of the
     series; of equal spans the lexically last file stays.
 
-    A file is superseded exactly when, with the spans of its series in order of
-    (start, longest first, last name first), an earlier one ends at or after it:
-    a running maximum, not a self join.
+    The files are first reduced to the distinct spans of a series, few whatever
+    the number of files.  A span is inside another one exactly when, in order of
+    (start, longest first), an earlier one ends at or after it: a running
+    maximum, not a self join.
     """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy("syear", F.desc("eyear"), F.desc(file)).rowsBetween(Window.unboundedPreceding, -1)
-    return files.withColumn("__end", F.max("eyear").over(w)).filter(F.col("__end") >= F.col("eyear")).drop("__end")
+    spans = files.groupBy(*keys, "syear", "eyear").agg(F.max(file).alias("__last"))
+    w = Window.partitionBy(*keys).orderBy("syear", F.desc("eyear")).rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("__end", F.max("eyear").over(w))
+    j = files.join(spans, [*keys, "syear", "eyear"])
+    inside = F.coalesce(F.col("__end") >= F.col("eyear"), F.lit(False)) | (F.col(file) < F.col("__last"))
+    return j.filter(inside).select(*files.columns)
 
 
 def build_request(registry, sublocs, mapping, agency: str, param: str, held: DataFrame, source: str, on_missing="drop") -> DataFrame:

@@ -13,6 +13,7 @@ from tidewell.operators.windows import bfill, ffill, fill_sweep
 from tidewell.plans.steps import apply_transform, register_transform
 
 KEY = ["entry"]
+MAX_SPLICED = 500  # a splice has a span per file; more files are an error, never cut off
 
 register_transform("convert_units", lambda df, from_unit, to_unit: df.withColumn("value", convert_units("value", from_unit, to_unit)))
 register_transform("linear", lambda df, scale=1.0, offset=0.0: df.withColumn("value", linear("value", scale, offset)))
@@ -43,12 +44,13 @@ def collect_files(files: DataFrame, spec: dict) -> DataFrame:
     """
     mode = spec.get("mode", "none")
     d = files.filter(F.col("file").rlike(glob_pattern(spec["pattern"]))).withColumn("entry", F.lit(spec["name"]))
-    names = [r[0] for r in d.select("file").distinct().orderBy("file").limit(10_001).collect()]
-    if not names:
+    found = d.select("file").distinct()
+    n = found.count()
+    if n == 0:
         raise ValueError(f"no file matches {spec['pattern']}")
     if mode == "none":
-        if len(names) > 1:
-            raise ValueError(f"{spec['pattern']} matches {len(names)} files, one expected")
+        if n > 1:
+            raise ValueError(f"{spec['pattern']} matches {n} files, one expected")
         return d.select("entry", "ts", "value")
     if mode == "time_shard":
         require_empty(shard_overlaps(d, KEY, "file"), "files overlap in time")
@@ -59,6 +61,9 @@ def collect_files(files: DataFrame, spec: dict) -> DataFrame:
     if spec.get("combine", "splice") == "merge":
         pick = F.min_by if first else F.max_by
         return d.groupBy("entry", "ts").agg(pick("value", F.when(F.col("value").isNotNull(), F.col("file"))).alias("value"))
+    if n > MAX_SPLICED:
+        raise ValueError(f"{n} files to splice: bring them to time shards first")
+    names = sorted(r[0] for r in found.collect())
     ranks = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
     ranked = d.withColumn("__prio", ranks[F.col("file")]).select("entry", "ts", "value", "__prio")
     return splice_ranked(ranked, KEY, len(names), "first" if first else "last").drop("__prio")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder name in the shared folder, for files written by Spark."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df):
     """Write a costly intermediate once, so that later branches read it back.
 
