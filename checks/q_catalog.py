@@ -154,14 +154,14 @@ def _(spark, sf):
     return g.unionByName(lost.select("file", "station_id", n("string").alias("station_name"), n("string").alias("agency"), n("double").alias("x"), n("double").alias("y"), F.lit("cfs").alias("unit"), F.lit(False).alias("registered")))
 
 
-@query("cat15_resolve_sentinels", f"""WITH {FILES}, {REG} SELECT n.file, CASE WHEN o_custkey % 3 = 0 THEN 'x' || n.agency_id ELSE n.station_id END AS station_id, 'flow' AS param, CASE WHEN o_custkey % 3 = 0 THEN 'dwr' ELSE r.agency END AS agency
+@query("cat15_resolve_sentinels", f"""WITH {FILES}, {REG} SELECT n.file, CASE WHEN o_custkey % 3 = 0 THEN 'x' || n.agency_id ELSE n.station_id END AS station_id, 'flow' AS param, CASE WHEN o_custkey % 3 = 0 THEN 'usbr' ELSE r.agency END AS agency
 FROM named n JOIN reg r USING (station_id)""")
 def _(spark, sf):
     p = file_names(spark, sf).select("o_custkey", "file", N.parse_name("file").alias("parsed")).filter("o_custkey % 300 < 290")
     c = F.col("o_custkey") % 3
     d = p.select("file", "parsed", F.col("parsed.agency_id").alias("agency_id"),
                  F.when(c == 0, F.concat(F.lit("x"), "parsed.agency_id")).when(c == 1, "infer_from_agency_id").otherwise("infer_from_filename").alias("station_id"),
-                 F.lit("infer_from_filename").alias("param"), F.when(c == 0, "dwr").otherwise("registry_lookup").alias("agency"))
+                 F.lit("infer_from_filename").alias("param"), F.when(c == 0, "usbr").otherwise("registry_lookup").alias("agency"))
     return C.resolve_meta_sentinels(d, registry(spark, sf), ["param", "agency"]).select("file", "station_id", "param", "agency")
 
 
@@ -169,7 +169,7 @@ def _(spark, sf):
 SELECT c_custkey, 'missing_source' AS problem FROM m WHERE source IS NULL UNION ALL SELECT c_custkey, 'not_lower_param' FROM m WHERE param = 'FLOW' UNION ALL SELECT c_custkey, 'bad_time_zone' FROM m WHERE z = 'Mars' UNION ALL SELECT c_custkey, 'no_coordinates' FROM m WHERE far""")
 def _(spark, sf):
     k = F.col("c_custkey")
-    d = table(spark, sf, "customer").select("c_custkey", F.lit("st").alias("station_id"), F.when(k % 5 != 0, "usgs").alias("source"), F.lit("dwr").alias("agency"), F.when(k % 7 == 0, "FLOW").otherwise("flow").alias("param"),
+    d = table(spark, sf, "customer").select("c_custkey", F.lit("st").alias("station_id"), F.when(k % 5 != 0, "usgs").alias("source"), F.lit("usbr").alias("agency"), F.when(k % 7 == 0, "FLOW").otherwise("flow").alias("param"),
                                             F.lit("ft").alias("unit"), F.when(k % 11 == 0, "Mars").otherwise("Etc/GMT+8").alias("time_zone"), F.when(k % 13 == 0, -9999.0).otherwise(38.0).alias("latitude"), F.lit(-121.0).alias("longitude"))
     return C.meta_problems(d, ["Etc/GMT+8", "America/Los_Angeles"], key="c_custkey")
 
