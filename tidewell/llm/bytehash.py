@@ -32,7 +32,7 @@ def _powers(n: int, base: np.uint64) -> np.ndarray:
     k = 1
     while k < n:
         m = min(k, n - k)
-        out[k:k + m] = out[:m] * (out[k - 1] * base)
+        out[k:k + m] = out[:m] * (out[k - 1:k] * base)  # arrays wrap around without a warning
         k += m
     return out
 

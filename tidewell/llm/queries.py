@@ -28,3 +28,15 @@ def op1_toxicity(spark, sf):
     from tidewell.llm import toxicity
     docs = table(spark, sf, "documents")
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf, "labels")))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark, sf):
+    from tidewell.llm import suffix_dedup
+    return suffix_dedup.removal_digest(table(spark, sf, "documents"), length=400)
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark, sf):
+    from tidewell.llm import jaccard_join
+    return jaccard_join.similar_groups(table(spark, sf, "documents"), percent=80, words=5)
