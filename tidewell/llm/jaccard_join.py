@@ -45,6 +45,8 @@ from tidewell.session import stage
 BLOCK_BYTES = 8 << 20  # text of a block
 BUCKET_SHINGLES = 4 << 20  # hashes a bucket counts at once
 CELL_ROWS = 4096  # rows of a list that one cell holds of either side
+GROUP_ROWS = 100_000  # rows of short lists that are worked on together
+PAIRS_AT_ONCE = 1 << 20
 SLAB = 1 << 20
 
 
@@ -212,42 +214,54 @@ def _compare_differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("na"), b.column("nb"), pa.array(out, pa.int32())], names=["a", "b", "na", "nb", "o"])
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) with first[i] <= j < last[i], about PAIRS_AT_ONCE of them at a time."""
+    size = np.maximum(0, last - first)
+    total = np.cumsum(size)
+    i = 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS_AT_ONCE, side="right")))
+        n = size[i:j]
+        owner = np.repeat(np.arange(i, j), n)
+        yield owner, first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        i = j
+
+
 def _cells(percent: int):
-    """Pairs of a cell's rows that no filter refutes; decided ones carry sure = true."""
-    def run(table: pd.DataFrame) -> pd.DataFrame:
-        t = table.sort_values(["n", "pos", "comp", "k"], kind="stable").reset_index(drop=True)
-        n, pos, comp = t["n"].to_numpy(), t["pos"].to_numpy(), pd.factorize(t["comp"])[0]
-        same_cell = bool((t["i"] == t["j"]).all())
-        side = (t["chunk"] == t["i"]).to_numpy()
-        starts = np.flatnonzero(np.r_[True, (n[1:] != n[:-1]) | (pos[1:] != pos[:-1]) | (comp[1:] != comp[:-1])])
+    """Pairs that no filter refutes, over all cells of a group at once; kind 2 ones link for sure."""
+    def run(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.sort_values(["token", "i", "j", "n", "pos", "comp", "k"], kind="stable").reset_index(drop=True)
+        n, pos, comp = t["n"].to_numpy().astype(np.int64), t["pos"].to_numpy(), pd.factorize(t["comp"])[0]
+        cell = t[["token", "i", "j"]].to_numpy()
+        new_cell = np.r_[True, (cell[1:] != cell[:-1]).any(1)]
+        number = np.cumsum(new_cell)
+        starts = np.flatnonzero(new_cell | np.r_[True, (n[1:] != n[:-1]) | (pos[1:] != pos[:-1]) | (comp[1:] != comp[:-1])])
         ends = np.r_[starts[1:], len(t)]
-        bn, bp, bc = n[starts], pos[starts], comp[starts]
-        left, right = [], []
-        for i in range(len(starts)):
-            stop = np.searchsorted(bn, bn[i] * 100 // percent, side="right")  # longer sets than this cannot link
-            js = np.arange(i + 1, stop)
-            js = js[(bc[js] != bc[i]) & (np.minimum(bn[i] - bp[i], bn[js] - bp[js]) >= overlap_needed(bn[i], bn[js], percent))]
-            for j in js.tolist():
-                a, b = np.meshgrid(np.arange(starts[i], ends[i]), np.arange(starts[j], ends[j]), indexing="ij")
-                left.append(a.ravel())
-                right.append(b.ravel())
-        if not left:
-            return pd.DataFrame({"a": t["k"][:0], "b": t["k"][:0], "na": n[:0], "nb": n[:0], "kind": np.empty(0, np.int32)})
-        a, b = np.concatenate(left), np.concatenate(right)
-        if not same_cell:
-            keep = side[a] != side[b]
-            a, b = a[keep], b[keep]
-        o, leader = t["o"].to_numpy(), pd.factorize(t["leader"])[0]
-        need = overlap_needed(n[a], n[b], percent)
-        near = leader[a] == leader[b]
-        most = np.minimum(o[a], o[b]) + np.minimum(n[a] - o[a], n[b] - o[b])
-        kind = np.where(near, np.where(o[a] + o[b] - t["nl"].to_numpy()[a] >= need, 2, 1), 0)
-        ok = ~near | (most >= need)
-        a, b, kind = a[ok], b[ok], kind[ok]
+        bn, bp, bc, bl = n[starts], pos[starts], comp[starts], number[starts]
+        wide = np.int64(1) << 32
+        # blocks of a cell ascend by size: those from the next one to the largest size that can link
+        stop = np.searchsorted(bl * wide + bn, bl * wide + bn * 100 // percent, side="right")
+        side, one_chunk = (t["chunk"] == t["i"]).to_numpy(), (t["i"] == t["j"]).to_numpy()
+        o, nl, leader = t["o"].to_numpy().astype(np.int64), t["nl"].to_numpy().astype(np.int64), pd.factorize(t["leader"])[0]
         k = t["k"].to_numpy()
-        swap = k[a] > k[b]
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        return pd.DataFrame({"a": k[a], "b": k[b], "na": n[a], "nb": n[b], "kind": kind.astype(np.int32)})
+        out = []
+        for x, y in _ranges(np.arange(1, len(starts) + 1), stop):
+            ok = (bc[x] != bc[y]) & (np.minimum(bn[x] - bp[x], bn[y] - bp[y]) >= overlap_needed(bn[x], bn[y], percent))
+            x, y = x[ok], y[ok]
+            rows = np.repeat(np.arange(len(x)), ends[x] - starts[x])
+            a_all = starts[x][rows] + np.arange(len(rows)) - np.repeat(np.cumsum(ends[x] - starts[x]) - (ends[x] - starts[x]), ends[x] - starts[x])
+            for r, b in _ranges(starts[y][rows], ends[y][rows]):
+                a = a_all[r]
+                keep = one_chunk[a] | (side[a] != side[b])
+                need = overlap_needed(n[a], n[b], percent)
+                near = leader[a] == leader[b]
+                keep &= ~near | (np.minimum(o[a], o[b]) + np.minimum(n[a] - o[a], n[b] - o[b]) >= need)
+                kind = np.where(near, np.where(o[a] + o[b] - nl[a] >= need, 2, 1), 0)[keep]
+                a, b = a[keep], b[keep]
+                swap = k[a] > k[b]
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+                out.append(pd.DataFrame({"a": k[a], "b": k[b], "na": n[a].astype(np.int32), "nb": n[b].astype(np.int32), "kind": kind.astype(np.int32)}).drop_duplicates())
+        return pd.concat(out) if out else pd.DataFrame({"a": k[:0], "b": k[:0], "na": np.empty(0, np.int32), "nb": np.empty(0, np.int32), "kind": np.empty(0, np.int32)})
     return run
 
 
@@ -279,12 +293,15 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     known = answers.select(F.col("b").alias("k"), F.col("a").alias("leader"), "o", F.col("na").alias("nl"))
     lists2 = (lists.join(so_far.withColumnRenamed("id", "k"), "k", "left").join(known, "k", "left")
               .select("token", "k", "n", "pos", F.coalesce("component", "k").alias("comp"), F.coalesce("leader", "k").alias("leader"), F.coalesce("o", "n").alias("o"), F.coalesce("nl", "n").alias("nl")))
+    lists2 = stage(lists2)
     open_lists = lists2.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     chunks = F.ceil(F.col("m") / CELL_ROWS).cast("int")
     # every pair of chunks of a list is one cell; a row goes to the cells of its chunk
     dealt = (lists2.join(open_lists.select("token", chunks.alias("g")), "token").withColumn("chunk", F.pmod(F.xxhash64("k"), F.col("g")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
-    pairs = stage(dealt.groupBy("token", "i", "j").applyInPandas(_cells(percent), f"a {kind}, b {kind}, na int, nb int, kind int").filter("a != b").distinct())
+    groups = max(1, math.ceil((open_lists.agg(F.sum(F.col("m") * chunks)).first()[0] or 0) / GROUP_ROWS))
+    dealt = dealt.withColumn("g", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups))).drop("other")
+    pairs = stage(dealt.groupBy("g").applyInPandas(_cells(percent), f"a {kind}, b {kind}, na int, nb int, kind int").filter("a != b").distinct())
     diffs = answers.select(F.col("b").alias("k"), "minus", "plus", F.col("na").alias("nl")).unionByName(
         sets.select("k", F.lit(b"").alias("minus"), F.lit(b"").alias("plus"), F.col("n").alias("nl")).join(answers.select(F.col("b").alias("k")), "k", "left_anti"))
     by_diff = (pairs.filter("kind = 1").join(diffs.select(F.col("k").alias("a"), F.col("minus").alias("minus_a"), F.col("plus").alias("plus_a"), "nl"), "a")
