@@ -34,8 +34,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidewell.llm.bytehash import PLACE_BITS, Rolling, U, joined, mix, slabs, sliding_argmin
@@ -167,9 +167,9 @@ def _spans(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _decide(length: int, keep: str):
     def run(table: pa.Table) -> pa.Table:
-        t = table.select(["block", "k", "r", "s", "size", "single"]).to_pandas()
+        t = table.select(["block", "r", "s", "size", "single"]).to_pandas()
         order = np.empty(len(t), np.int64)
-        order[t.sort_values(["k", "r", "s"], kind="stable").index.to_numpy()] = np.arange(len(t))
+        order[pc.sort_indices(table, [("k", "ascending"), ("r", "ascending"), ("s", "ascending")], null_placement="at_start").to_numpy()] = np.arange(len(t))
         body, place, lpf, llf = suffix_factors(table.column("body").to_pylist(), t["size"].to_numpy(), order, length)
         hit = lpf >= length if keep == "first" else (lpf >= length) | (llf >= length)
         if keep != "first":
