@@ -45,7 +45,7 @@ _PUNCTUATION = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~\t\n\r\x0b\x0c"
 _FULL_WIDTH = {chr(0xFF41 + i): chr(97 + i) for i in range(26)}
 _TABLE = str.maketrans(HOMOGLYPHS | SUBSTITUTES | _FULL_WIDTH | dict.fromkeys(_PUNCTUATION, " ") | {"$": " ", "@": " "})
 _SIGN = re.compile(r"(?<=[^\W\d_])[$@](?=[^\W\d_])")
-_INVISIBLE = re.compile("[­​-‏⁠﻿]")
+_INVISIBLE = re.compile("[\xad​-‏⁠﻿]")
 STEMS = range(4, 8)
 
 
