@@ -41,12 +41,13 @@ _INVERSE = U(pow(int(_ODD), -1, 2**64))
 
 
 class Rolling:
-    """Hash of any byte range of one buffer from prefix sums."""
+    """Hash of any range of one buffer, of bytes or of other numbers, from prefix sums."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
         self.prefix = np.zeros(n + 1, U)
-        np.cumsum(_BYTE[data] * _powers(n, _ODD), out=self.prefix[1:])
+        letters = _BYTE[data] if data.dtype == np.uint8 else mix(data.astype(U) + _ODD)
+        np.cumsum(letters * _powers(n, _ODD), out=self.prefix[1:])
         self.inverse = _powers(n + 1, _INVERSE)
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
