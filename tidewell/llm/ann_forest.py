@@ -203,7 +203,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
         return pa.table({"query_id": np.concatenate([o[0] for o in out]), "vec_id": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out])})
 
     wide = asked.join(levels, "id").withColumn("span", F.greatest(F.lit(0), F.lit(depth) - F.col("level")))
-    around = F.transform(F.sequence(F.lit(0).cast("long"), F.shiftleft(F.lit(1).cast("long"), F.col("span")) - 1), lambda i: F.expr("shiftleft(shiftright(shard, span), span)") + i)
+    around = F.expr("transform(sequence(0L, shiftleft(1L, span) - 1), i -> shiftleft(shiftright(shard, span), span) + i)")
     wide = wide.withColumn("shard", F.explode(around)).drop("span")
     found = (chunk_of(placed).groupBy(*keys).cogroup(to_chunks(wide).groupBy(*keys)).applyInArrow(visit, "query_id long, vec_id long, score double"))
     found = written(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "found")

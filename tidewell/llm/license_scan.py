@@ -128,7 +128,7 @@ def scan_sql(base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES, per
     return f"""WITH d AS (SELECT row_number() OVER () AS rn, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table}),
   base(words, label) AS (VALUES {base_rows}), known(words, label, need) AS (VALUES {known}),
-  places AS (SELECT rn, label, unnest(list_filter(range(1, len(w) + 1), i -> w[i:i + len(words) - 1] = words)) - 1 AS p FROM d, base WHERE len(list_intersect(w, words)) = len(words)),
+  places AS (SELECT rn, label, unnest(list_filter(range(1, len(w) + 1), lambda i: w[i:i + len(words) - 1] = words)) - 1 AS p FROM d, base WHERE len(list_intersect(w, words)) = len(words)),
   blocks AS (SELECT rn, list_distinct(w[b * {STEP} + 1:b * {STEP} + {BLOCK}]) AS held FROM (SELECT rn, w, unnest(range(0, (len(w) + {STEP - 1}) // {STEP})) AS b FROM d)),
   shares AS (SELECT rn, label, len(list_intersect(held, words)) AS o, len(words) AS n FROM blocks, known WHERE len(list_intersect(held, words)) >= need),
   f AS (SELECT rn, label, p, CAST(NULL AS DOUBLE) AS share FROM places UNION ALL SELECT rn, label, NULL, max(o / n) FROM shares GROUP BY rn, label),
