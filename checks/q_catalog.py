@@ -32,14 +32,14 @@ def parsed(spark, sf):
 
 
 def registry(spark, sf):
-    """300 stations; the last ten are not registered."""
-    c = table(spark, sf, "customer").filter("c_custkey < 290")
+    """A station for each customer; every thirtieth is not registered."""
+    c = table(spark, sf, "customer").filter("c_custkey % 30 <> 0")
     k = F.col("c_custkey").cast("string")
     return c.select(F.concat(F.lit("s"), k).alias("station_id"), F.col("c_name").alias("station_name"), F.concat(F.lit("a"), k).alias("agency_id"),
                     F.when(F.col("c_nationkey") % 2 == 0, "usgs").otherwise("ncro").alias("agency"), F.col("c_acctbal").alias("x"), F.col("c_nationkey").cast("double").alias("y"))
 
 
-REG = """reg AS (SELECT 's' || c_custkey AS station_id, c_name AS station_name, 'a' || c_custkey AS agency_id, CASE WHEN c_nationkey % 2 = 0 THEN 'usgs' ELSE 'ncro' END AS agency, c_acctbal AS x, c_nationkey::DOUBLE AS y FROM customer WHERE c_custkey < 290)"""
+REG = """reg AS (SELECT 's' || c_custkey AS station_id, c_name AS station_name, 'a' || c_custkey AS agency_id, CASE WHEN c_nationkey % 2 = 0 THEN 'usgs' ELSE 'ncro' END AS agency, c_acctbal AS x, c_nationkey::DOUBLE AS y FROM customer WHERE c_custkey % 30 <> 0)"""
 
 
 @query("cat1_parse_name", f"""WITH {FILES} SELECT file, source, station_id, subloc, agency_id, param, NULL AS modifier, CASE WHEN o_custkey % 5 <> 0 THEN CAST(y AS VARCHAR) END AS year,
@@ -157,7 +157,7 @@ def _(spark, sf):
 @query("cat15_resolve_sentinels", f"""WITH {FILES}, {REG} SELECT n.file, CASE WHEN o_custkey % 3 = 0 THEN 'x' || n.agency_id ELSE n.station_id END AS station_id, 'flow' AS param, CASE WHEN o_custkey % 3 = 0 THEN 'usbr' ELSE r.agency END AS agency
 FROM named n JOIN reg r USING (station_id)""")
 def _(spark, sf):
-    p = file_names(spark, sf).select("o_custkey", "file", N.parse_name("file").alias("parsed")).filter("o_custkey % 300 < 290")
+    p = file_names(spark, sf).select("o_custkey", "file", N.parse_name("file").alias("parsed")).filter("o_custkey % 300 % 30 <> 0")
     c = F.col("o_custkey") % 3
     d = p.select("file", "parsed", F.col("parsed.agency_id").alias("agency_id"),
                  F.when(c == 0, F.concat(F.lit("x"), "parsed.agency_id")).when(c == 1, "infer_from_agency_id").otherwise("infer_from_filename").alias("station_id"),
@@ -209,13 +209,13 @@ def _(spark, sf):
 
 
 def sublocs(spark, sf):
-    n = table(spark, sf, "customer").filter("c_custkey < 200")
+    n = table(spark, sf, "customer").filter("c_custkey % 3 <> 2")  # the others have no sublocation
     a = n.select(F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("station_id"), F.lit("upper").alias("subloc"), F.lit(-1.0).alias("z"))
     b = n.filter("c_custkey % 2 = 0").select(F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("station_id"), F.lit("lower").alias("subloc"), F.lit(-5.0).alias("z"))
     return a.unionByName(b)
 
 
-SUB = "sub AS (SELECT 's' || c_custkey AS station_id, 'upper' AS subloc, -1.0::DOUBLE AS z FROM customer WHERE c_custkey < 200 UNION ALL SELECT 's' || c_custkey, 'lower', -5.0::DOUBLE FROM customer WHERE c_custkey < 200 AND c_custkey % 2 = 0)"
+SUB = "sub AS (SELECT 's' || c_custkey AS station_id, 'upper' AS subloc, -1.0::DOUBLE AS z FROM customer WHERE c_custkey % 3 <> 2 UNION ALL SELECT 's' || c_custkey, 'lower', -5.0::DOUBLE FROM customer WHERE c_custkey % 3 <> 2 AND c_custkey % 2 = 0)"
 
 
 @query("join3_attach_subloc", f"WITH {REQ}, {SUB} SELECT DISTINCT req.n, req.station_id, req.param, coalesce(req.subloc, sub.subloc, 'default') AS subloc FROM req LEFT JOIN sub ON req.station_id = sub.station_id AND req.subloc IS NULL")
@@ -244,14 +244,14 @@ def trace_inventory(spark, sf):
 
 
 _TI = """ti AS (SELECT 'B' || (o_custkey % 400) || CASE o_custkey % 3 WHEN 0 THEN 'Q' WHEN 1 THEN '00' ELSE '' END AS site, CASE WHEN o_orderstatus = 'F' THEN 'flow' ELSE 'elev' END AS param, min(o_orderdate) AS start, max(o_orderdate) AS "end" FROM orders GROUP BY ALL),
-rq AS (SELECT 'B' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN 'Q' ELSE '' END AS station_id, 'flow' AS param, TIMESTAMP '1996-06-01' AS req_start, TIMESTAMP '1996-09-01' AS req_end FROM customer WHERE c_custkey < 400)"""
+rq AS (SELECT 'B' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN 'Q' ELSE '' END AS station_id, 'flow' AS param, TIMESTAMP '1996-06-01' AS req_start, TIMESTAMP '1996-09-01' AS req_end FROM customer)"""
 
 
 @query("join6_inventory_overlap", f"""WITH {_TI}, b AS (SELECT *, regexp_replace(station_id, '(Q|00)$', '') AS base FROM rq), al AS (SELECT *, unnest([base, base || 'Q', base || '00']) AS site FROM b)
 SELECT station_id, site, ti.param, start, "end" FROM al JOIN ti USING (site, param) WHERE start <= req_end AND "end" >= req_start""")
 def _(spark, sf):
     k = F.col("c_custkey")
-    rq = table(spark, sf, "customer").filter("c_custkey < 400").select(F.concat(F.lit("B"), k.cast("string"), F.when(k % 2 == 0, "Q").otherwise("")).alias("station_id"), F.lit("flow").alias("param"),
+    rq = table(spark, sf, "customer").select(F.concat(F.lit("B"), k.cast("string"), F.when(k % 2 == 0, "Q").otherwise("")).alias("station_id"), F.lit("flow").alias("param"),
                                                                       ntz("1996-06-01 00:00:00").alias("req_start"), ntz("1996-09-01 00:00:00").alias("req_end"))
     return RQ.inventory_overlap(rq, trace_inventory(spark, sf)).select("station_id", "site", "param", "start", "end")
 

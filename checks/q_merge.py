@@ -11,17 +11,15 @@ from tidewell.schema import ntz
 
 
 def providers(spark, sf):
-    """Three providers of each series; b starts later, c has a gap at its end."""
-    o = obs(spark, sf)
-    m = o.groupBy(*K, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), (F.col("seq") % 3).cast("int").alias("p")).agg(F.max("value").alias("value"))
-    a = m.filter((F.col("p") == 0) & (F.col("ts") < ntz("2024-01-12 00:00:00"))).drop("p")
-    b = m.filter((F.col("p") == 1) & (F.col("ts") >= ntz("2024-01-06 00:00:00")) & (F.col("ts") < ntz("2024-01-20 00:00:00"))).drop("p")
-    c = m.filter(F.col("p") == 2).drop("p")
-    return [a, b, c]
+    """Three providers of each series: a ends early, b starts later and ends, c has the rest."""
+    o, ts, third = obs(spark, sf), F.col("ts"), F.col("seq") % 3
+    p = F.when((third == 0) & (ts < ntz("2024-01-12 00:00:00")), 0).when((third == 1) & (ts >= ntz("2024-01-06 00:00:00")) & (ts < ntz("2024-01-20 00:00:00")), 1).otherwise(2)
+    m = o.groupBy(*K, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), p.alias("p")).agg(F.max("value").alias("value"))
+    return [m.filter(F.col("p") == i).drop("p") for i in range(3)]
 
 
-PROV = OBS + """, pm AS (SELECT station, param, date_trunc('hour', ts) AS ts, CAST(seq % 3 AS INTEGER) AS p, max(value) AS value FROM obs GROUP BY ALL),
-pv AS (SELECT * FROM pm WHERE (p = 0 AND ts < TIMESTAMP '2024-01-12') OR (p = 1 AND ts >= TIMESTAMP '2024-01-06' AND ts < TIMESTAMP '2024-01-20') OR p = 2)"""
+PROV = OBS + """, pv AS (SELECT station, param, date_trunc('hour', ts) AS ts, CASE WHEN seq % 3 = 0 AND ts < TIMESTAMP '2024-01-12' THEN 0
+ WHEN seq % 3 = 1 AND ts >= TIMESTAMP '2024-01-06' AND ts < TIMESTAMP '2024-01-20' THEN 1 ELSE 2 END AS p, max(value) AS value FROM obs GROUP BY ALL)"""
 _MERGED = "SELECT station, param, ts, first(value ORDER BY p) FILTER (value IS NOT NULL) AS value FROM pv GROUP BY ALL"
 
 

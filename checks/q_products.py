@@ -122,12 +122,13 @@ def _(spark, sf):
 g0 AS (SELECT station, param, unnest(generate_series(a, b, INTERVAL 15 MINUTE)) AS ts FROM lim), g AS (SELECT g0.station, g0.param, g0.ts, lv.level AS value FROM g0 ASOF LEFT JOIN lv ON g0.station = lv.station AND g0.ts >= lv.ts),
 tap AS (SELECT j, exp(-0.5 * (j / 2.0) * (j / 2.0)) AS w0 FROM range(-8, 9) t(j)), tapn AS (SELECT j, w0 / (SELECT sum(w0) FROM tap) AS w FROM tap),
 f AS (SELECT x.station, x.param, x.ts, sum(b.value * w) AS value FROM g x JOIN lim USING (station, param) CROSS JOIN tapn JOIN g b ON b.station = x.station AND b.ts = least(greatest(x.ts + to_minutes(15 * j), lim.a), lim.b) GROUP BY ALL)
-SELECT station, param, ts, round(value + 100, 5) AS cfs, round((value + 100) * 0.028316846592::DOUBLE, 5) AS cms FROM f WHERE hour(ts) = 6""")
+SELECT station, param, ts, round(value + 100, 5) AS cfs, round((value + 100) * 0.028316846592::DOUBLE, 5) AS cms FROM f""")
 def _(spark, sf):
     ev = pump_events(spark, sf)
-    second = ev.select("station").distinct().select("station", F.lit("plant").alias("param"), F.explode(F.expr(
-        "sequence(TIMESTAMP_NTZ'2024-01-01 06:00:00', TIMESTAMP_NTZ'2024-01-31 06:00:00', INTERVAL 1 DAY)")).alias("d"))
-    second = second.select("station", "param", F.explode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.col("d") + F.make_dt_interval(F.lit(0), F.lit(0), i * 15))).alias("ts"), F.lit(100.0).alias("value"))
+    # the second series has every step of the days that the events cover
+    days = ev.groupBy("station").agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz").alias("a"), F.date_trunc("day", F.max("ts")).cast("timestamp_ntz").alias("b"))
+    days = days.select("station", F.explode(F.expr("sequence(a, b, INTERVAL 1 DAY)")).alias("d"))
+    second = days.select("station", F.lit("plant").alias("param"), F.explode(F.expr("sequence(d, d + INTERVAL '23:45' HOUR TO MINUTE, INTERVAL 15 MINUTES)")).alias("ts"), F.lit(100.0).alias("value"))
     d = P.exports(ev.drop("tie").withColumn("tie", F.col("seq")), second, K, PUMPS, 900, 2.0, width(spark, sf), tie="seq")
     return d.withColumn("cfs", F.round("cfs", 5)).withColumn("cms", F.round("cms", 5))
 

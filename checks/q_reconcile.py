@@ -10,7 +10,7 @@ from tidewell.operators.checks import split
 from tidewell.operators.grid import asfreq
 from tidewell.schema import ntz
 from tidewell.session import scratch, stage
-from tidewell.streaming.topoff import stream_topoff, topoff_batch
+from tidewell.streaming.topoff import read_repository, stream_topoff, topoff_batch
 
 YEAR = 2002
 
@@ -228,11 +228,9 @@ def _batches(spark, sf):
 def _(spark, sf):
     root = scratch(spark, "topoff")
     h = stage(_batches(spark, sf))
-    for b in range(4):
-        h.filter(F.col("b") == b).drop("b").coalesce(1).write.parquet(f"{root}/in/part={b}")
-    stream = None
-    for b in range(4):  # one arrival after the other, as four runs of the same stream
-        src = spark.readStream.schema("station string, param string, shard string, ts timestamp_ntz, value double").option("maxFilesPerTrigger", 1).parquet(f"{root}/in/part={b}")
-        stream = stream_topoff(src, f"{root}/repo", f"{root}/cp{b}", K)
-        stream.awaitTermination()
-    return spark.read.parquet(f"{root}/repo").select("station", "param", F.col("shard").cast("string").alias("shard"), "ts", "value")
+    rows = h.drop("b").schema
+    for b in range(4):  # one arrival after the other; the same stream goes on from its checkpoint
+        h.filter(F.col("b") == b).drop("b").write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(rows).parquet(f"{root}/in")
+        stream_topoff(src, f"{root}/repo", f"{root}/cp", K).awaitTermination()
+    return read_repository(spark, f"{root}/repo", rows).select("station", "param", "shard", "ts", "value")

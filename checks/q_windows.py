@@ -75,12 +75,12 @@ def _(spark, sf):
 # --- AGG on series -----------------------------------------------------------
 
 
-@query("agg1_resample_mean", f"""WITH {OBS}, d AS (SELECT station, param, date_trunc('day', ts) AS ts, avg(CASE WHEN value < 30 THEN value END) AS value FROM obs WHERE seq % 5 = 0 GROUP BY ALL),
+@query("agg1_resample_mean", f"""WITH {OBS}, d AS (SELECT station, param, date_trunc('day', ts) AS ts, avg(CASE WHEN value < 30 THEN value END) AS value FROM obs GROUP BY ALL),
 span AS (SELECT station, param, min(ts) AS a, max(ts) AS b FROM d GROUP BY ALL),
 g AS (SELECT station, param, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS ts FROM span)
 SELECT g.station, g.param, g.ts, round(d.value, 6) AS value FROM g LEFT JOIN d USING (station, param, ts)""")
 def _(spark, sf):
-    d = obs(spark, sf).filter("seq % 5 = 0").withColumn("value", F.when(F.col("value") < 30, F.col("value")))
+    d = obs(spark, sf).withColumn("value", F.when(F.col("value") < 30, F.col("value")))
     return A.resample_mean(d, K, 86400).withColumn("value", r6(F.col("value")))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.twins import make
 from tidewell.operators import reconcile as R
 from tidewell.session import stage
-from tidewell.streaming.topoff import topoff_batch
+from tidewell.streaming.topoff import read_repository, stream_topoff, topoff_batch
 
 K = ["station", "param"]
 T0 = pd.Timestamp("2024-01-01")
@@ -87,14 +87,25 @@ def test_bad_flag(spark):
 
 
 def test_batches_give_the_same_store(spark, tmp_path):
-    rows = [("s", "p", "1", T0 + pd.Timedelta(hours=h), float(b * 100 + h), b) for b, hs in enumerate([range(0, 10), range(5, 15), range(0, 20, 3)]) for h in hs]
+    # parameter and shard look like numbers; the second series is in other buckets
+    rows = [(st, "00060", "01", T0 + pd.Timedelta(hours=h), float(b * 100 + h + len(st)), b) for st in ("s", "tt") for b, hs in enumerate([range(0, 10), range(5, 15), range(0, 20, 3)]) for h in hs]
     d = make(spark, rows, COLS + ", b int")
     path = str(tmp_path / "repo")
     for b in range(3):
         topoff_batch(d.filter(F.col("b") == b).drop("b"), b, path, K)
-    topoff_batch(d.filter("b = 2").drop("b"), 2, path, K)  # a repeated batch changes nothing
-    got = {r.ts: r.value for r in spark.read.parquet(path).collect()}
-    want = {}
-    for r in rows:
-        want[r[3].to_pydatetime()] = r[4]
-    assert got == want
+    topoff_batch(d.filter("b = 0").drop("b"), 0, path, K)  # a batch that comes again is skipped
+    stored = read_repository(spark, path, d.drop("b").schema)
+    got = {(r.station, r.param, r.shard, r.ts): r.value for r in stored.collect()}
+    want = {(*r[:3], r[3].to_pydatetime()): r[4] for r in rows}
+    assert got == want and stored.count() == len(want)
+
+
+def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    d = make(spark, [("s", "00060", "1", T0 + pd.Timedelta(hours=h), float(h)) for h in range(3)], COLS)
+    for n, v in ((3, 0.0), (2, 50.0)):
+        d.limit(n).withColumn("value", F.col("value") + v).write.mode("append").parquet(str(tmp_path / "in"))
+        src = spark.readStream.schema(d.schema).parquet(str(tmp_path / "in"))
+        stream_topoff(src, str(tmp_path / "repo"), str(tmp_path / "cp"), K).awaitTermination()
+    got = sorted((r.param, r.value) for r in read_repository(spark, str(tmp_path / "repo"), d.schema).collect())
+    assert len(got) == 3 and {p for p, _ in got} == {"00060"} and sum(v >= 50 for _, v in got) == 2
+    assert spark.read.parquet(str(tmp_path / "repo" / "applied")).count() == 2

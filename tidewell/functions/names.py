@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache, reduce
+from operator import add, and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,30 +15,53 @@ RAW_TEMPLATE = "{source}_{station_id@subloc}_{agency_id}_{param@modifier}_{syear
 YEAR_TEMPLATE = "{source}_{station_id@subloc}_{agency_id}_{param@modifier}_{year}.csv"
 PLAIN_TEMPLATE = "{source}_{station_id@subloc}_{agency_id}_{param@modifier}.csv"
 TEMPLATES = (RAW_TEMPLATE, YEAR_TEMPLATE, PLAIN_TEMPLATE)
-_TOKEN = re.compile(r"\{([^}]+)\}")
-_YEARS = ("year", "syear", "eyear")
 FIELDS = ("source", "station_id", "subloc", "agency_id", "param", "modifier", "year", "syear", "eyear")
+SHARD_FIELDS = frozenset(("year", "syear", "eyear"))
 
 
-def tokens(template: str) -> list[str]:
-    return _TOKEN.findall(template)
+class Slot(NamedTuple):
+    """One field of a name: the text before it, and the field that may follow it
+    after an ``@``."""
 
+    lead: str
+    field: str
+    extra: str | None
 
-def template_pattern(template: str) -> tuple[str, dict[str, int]]:
-    """Regular expression of a template and the group of each field."""
-    out, groups, at, n = "^", {}, 0, 0
-    for m in _TOKEN.finditer(template):
-        out += re.escape(template[at:m.start()])
-        at = m.end()
-        base, _, suffix = m.group(1).partition("@")
-        if suffix:
-            out += r"([A-Za-z0-9]+)(?:@([A-Za-z0-9_]+))?"
-            groups[base], groups[suffix] = n + 1, n + 2
-            n += 2
-        else:
-            out += r"(\d{4})" if base in _YEARS else r"([A-Za-z0-9]+)"
-            groups[base] = n = n + 1
-    return out + re.escape(template[at:]) + "$", groups
+    @property
+    def is_shard(self) -> bool:
+        return self.field in SHARD_FIELDS
+
+    def expression(self) -> str:
+        """The slot as a regular expression with one group, or two with an extra."""
+        body = r"(\d{4})" if self.is_shard else "([A-Za-z0-9]+)"
+        return re.escape(self.lead) + body + ("(?:@([A-Za-z0-9_]+))?" if self.extra else "")
+
+    def fields(self) -> list[str]:
+        return [self.field, self.extra] if self.extra else [self.field]
+
+
+class Template(NamedTuple):
+    """A name as slots and an ending; everything else is derived from these."""
+
+    slots: tuple[Slot, ...]
+    ending: str
+
+    def expression(self) -> str:
+        return "^" + "".join(s.expression() for s in self.slots) + re.escape(self.ending) + "$"
+
+    def groups(self) -> dict[str, int]:
+        return {f: i for i, f in enumerate((f for s in self.slots for f in s.fields()), 1)}
+
+    def without_shard(self) -> Template:
+        return Template(tuple(s for s in self.slots if not s.is_shard), self.ending)
+
+
+@lru_cache(maxsize=64)
+def template(text: str) -> Template:
+    """``{field}`` and ``{field@extra}`` between literal text."""
+    *parts, ending = re.split(r"\{([^}]+)\}", text)
+    pairs = zip(parts[::2], parts[1::2], strict=True)
+    return Template(tuple(Slot(lead, *(name.split("@", 1) if "@" in name else (name, None))) for lead, name in pairs), ending)
 
 
 def parse_name(name, templates=TEMPLATES, strict=True) -> Column:
@@ -48,7 +74,7 @@ def parse_name(name, templates=TEMPLATES, strict=True) -> Column:
     sep = "\u0001"
     out = None
     for t in templates:
-        rx, groups = template_pattern(t)
+        rx, groups = template(t).expression(), template(t).groups()
         fixed = F.regexp_replace(n, rx, sep.join(f"${groups[f]}" if f in groups else "" for f in FIELDS))
         out = F.when(n.rlike(rx), fixed) if out is None else out.when(n.rlike(rx), fixed)
     if strict:
@@ -60,42 +86,33 @@ def parse_name(name, templates=TEMPLATES, strict=True) -> Column:
     return F.struct(*[c.alias(f) for c, f in zip(fields, FIELDS)])
 
 
-def drop_shard_tokens(template: str) -> str:
-    return template.replace("_{syear}_{eyear}", "").replace("_{year}", "")
-
-
 def _given(c: Column) -> Column:
     return c.isNotNull() & ~c.isin(DEFAULT_SUBLOC, "none", "")
 
 
+def _worth(slot: Slot, fields: dict[str, Column]) -> Column:
+    """Points of a filled slot: a given extra is worth another one."""
+    return 1 + _given(fields[slot.extra]).cast("int") if slot.extra in fields else F.lit(1)
+
+
+def _filled(slot: Slot, fields: dict[str, Column]) -> Column:
+    text = F.concat(F.lit(slot.lead), fields[slot.field].cast("string"))
+    return F.concat(text, F.when(_given(fields[slot.extra]), F.concat(F.lit("@"), fields[slot.extra])).otherwise("")) if slot.extra in fields else text
+
+
 def render_name(fields: dict[str, Column], templates=TEMPLATES, include_shard=True) -> Column:
-    """CAT-2.  File name by the compatible template with the highest score: one
-    per token, two for a token whose suffix is given; ties by more tokens."""
-    choices = []
-    for rank, t in enumerate(templates):
-        e = t if include_shard else drop_shard_tokens(t)
-        usable, score, pieces, at = F.lit(True), F.lit(0), [], 0
-        for m in _TOKEN.finditer(e):
-            pieces.append(F.lit(e[at:m.start()]))
-            at = m.end()
-            base, _, suffix = m.group(1).partition("@")
-            if base not in fields:
-                usable = F.lit(False)
-                break
-            usable = usable & fields[base].isNotNull()
-            piece = fields[base].cast("string")
-            if suffix:
-                s = fields.get(suffix, F.lit(None).cast("string"))
-                score = score + F.when(_given(s), 2).otherwise(1)
-                piece = F.concat(piece, F.when(_given(s), F.concat(F.lit("@"), s)).otherwise(F.lit("")))
-            else:
-                score = score + 1
-            pieces.append(piece)
-        pieces.append(F.lit(e[at:]))
-        choices.append(F.when(usable, F.struct(score.alias("score"), F.lit(len(tokens(e))).alias("n"),
-                                               F.lit(-rank).alias("r"), F.concat(*pieces).alias("name"))))
-    best = F.greatest(*choices) if len(choices) > 1 else choices[0]
-    return F.coalesce(best["name"], F.raise_error(F.lit("no template fits the metadata")).cast("string"))
+    """CAT-2.  File name by the template worth most of those whose fields are all
+    there; then by more slots, then by order."""
+    forms = [template(t) if include_shard else template(t).without_shard() for t in templates]
+    offers = []
+    for rank, form in enumerate(forms):
+        if all(s.field in fields for s in form.slots):
+            there = reduce(and_, (fields[s.field].isNotNull() for s in form.slots))
+            worth = reduce(add, (_worth(s, fields) for s in form.slots))
+            name = F.concat(*(_filled(s, fields) for s in form.slots), F.lit(form.ending))
+            offers.append(F.when(there, F.struct(worth.alias("worth"), F.lit(len(form.slots)).alias("slots"), F.lit(-rank).alias("rank"), name.alias("name"))))
+    none = F.raise_error(F.lit("no template fits the metadata")).cast("string")
+    return F.coalesce(F.array_max(F.array_compact(F.array(*offers)))["name"], none) if offers else none
 
 
 def wildcard_name(name, provider=False) -> Column:

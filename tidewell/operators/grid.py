@@ -56,16 +56,19 @@ def _grid(spans: DataFrame, keys, block: int, extra=()) -> DataFrame:
         F.least("hi", F.col("__block") * block + (block - 1)))).alias("__i"))
 
 
-def complete(df, keys, idx: str, values, block: int = GRID_BLOCK, max_expand: int = 100_000) -> DataFrame:
-    """Every grid point from the first to the last index, NULL where absent.
-
-    A series whose grid would be more than ``max_expand`` times its rows is an
-    error: its step is wrong.
-    """
-    spans = summarize(df, keys, [F.min(idx).alias("lo"), F.max(idx).alias("hi"), F.count(F.lit(1)).alias("n")])
-    spans = spans.withColumn("hi", F.when(
-        F.col("hi") - F.col("lo") > F.col("n") * max_expand,
-        F.raise_error(F.lit("grid is far larger than the series: check the step")).cast("long")).otherwise(F.col("hi")))
+def sparse_series(df, keys, step_seconds: int, max_expand: int, ts="ts") -> DataFrame:
+    """REC-17.  Series whose grid would be more than ``max_expand`` times their
+    rows (keys, points, reason), to be looked at: their step may be wrong.  The
+    grid operators have no such limit."""
+    i = micros(ts) / F.lit(step_seconds * MICROS).cast("long")
+    n = df.groupBy(*keys).agg((F.max(i) - F.min(i) + 1).cast("long").alias("points"), F.count(F.lit(1)).alias("__n"))
+    return n.filter(F.col("points") > F.col("__n") * max_expand).select(*keys, "points", F.lit("sparse_grid").alias("reason"))
+
+
+def complete(df, keys, idx: str, values, block: int = GRID_BLOCK) -> DataFrame:
+    """Every grid point from the first to the last index, NULL where absent.  A
+    sparse series has a long grid; its blocks are made in parallel."""
+    spans = summarize(df, keys, [F.min(idx).alias("lo"), F.max(idx).alias("hi")])
     grid = _grid(spans, keys, block)
     data = df.select(*keys, F.floor(F.col(idx) / block).alias("__block"), F.col(idx).alias("__i"), *values)
     blank = grid.select("*", *[F.lit(None).cast(df.schema[v].dataType).alias(v) for v in values])
@@ -334,13 +337,15 @@ def local_to_fixed(df, keys, src_tz="America/Los_Angeles", offset_hours=-8, ts="
     utc = F.to_utc_timestamp(F.col(ts).cast("timestamp"), src_tz)
     local = F.col(ts).cast("timestamp")
     hour = F.expr("INTERVAL 1 HOUR")
-    a = df.withColumn("__utc", utc).withColumn("__amb", F.from_utc_timestamp(utc + hour, src_tz) == local)
+    a = df.withColumn("__utc", utc).withColumn("__amb", F.coalesce(F.from_utc_timestamp(utc + hour, src_tz) == local, F.lit(False)))
     # rows of a doubled hour are few: one hour per series and year
     few = a.filter("__amb").select(*keys, F.col(ts).cast("date").alias("__day"), ts, seq)
     few = chunked(few, [*keys, "__day"], by=F.floor(F.col(seq) / GRID_BLOCK))
     amb = scan(few, [*keys, "__day"], {"__p": prev(ts)}, (seq,))
     jumps = amb.filter(F.col("__p") > F.col(ts)).groupBy(*keys, "__day").agg(F.min(seq).alias("__jump"))
-    j = a.withColumn("__day", F.when(F.col("__amb"), F.col(ts).cast("date"))).join(jumps, [*keys, "__day"], "left")
+    # only rows of doubled hours meet their jump; the others are not moved for it
+    doubled = a.filter("__amb").withColumn("__day", F.col(ts).cast("date")).join(jumps, [*keys, "__day"], "left").drop("__day")
+    j = a.filter("NOT __amb").withColumn("__jump", F.lit(None).cast(df.schema[seq].dataType)).unionByName(doubled)
     late = F.col("__amb") & (F.col("__jump").isNull() | (F.col(seq) >= F.col("__jump")))
     fixed = F.when(late, F.col("__utc") + hour).otherwise(F.col("__utc")) + F.expr(f"INTERVAL '{offset_hours}' HOUR")
     m = j.withColumn("__t", F.date_trunc("minute", fixed).cast("timestamp_ntz"))

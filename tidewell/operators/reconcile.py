@@ -263,8 +263,11 @@ def coverage_check(staged_counts, repo_counts, keys, fract: float, min_abs: int)
 
 def year_coverage(required, shards, keys) -> DataFrame:
     """REC-15.  Required (keys, year) without a readable shard whose year span
-    covers it; spans are spelled out by year so that the join is an equality."""
-    covered = shards.filter("readable").select(*keys, F.explode(F.sequence("syear", "eyear")).alias("year")).distinct()
+    covers it; spans are spelled out by year so that the join is an equality.  An
+    open end reaches to the last required year, no further."""
+    last = required.agg(F.max("year")).first()[0]
+    end = F.least("eyear", F.lit(last))
+    covered = shards.filter(F.col("readable") & (F.col("syear") <= end)).select(*keys, F.explode(F.sequence("syear", end.cast(shards.schema["syear"].dataType))).alias("year")).distinct()
     return required.join(covered, [*keys, "year"], "left_anti")
 
 

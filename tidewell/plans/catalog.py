@@ -12,7 +12,7 @@ from tidewell.schema import DEFAULT_SUBLOC
 
 OPEN_END = 9999
 # Columns of the registry and the file list that no inventory shows
-NOISE = ("notes", "stage", "flow", "quality", "wdl_id", "cdec_id", "d1641_id")
+NOISE = ("notes", "stage", "flow", "quality", "wdl_id", "cdec_id", "d1641_id", "original_filename")
 
 
 def _inventory(files: DataFrame, group: Column, name: str, attrs) -> DataFrame:
@@ -132,25 +132,45 @@ UNIT_ALIASES = {
     "degc": "deg_c", "degrees c": "deg_c", "degrees celsius": "deg_c", "ntu": "NTU", "fnu": "FNU", "micrograms/litre": "ug/l", "ut": "ug/l",
     "quinine sulfate unit": "ug/l",
 }
+# Unit texts of the USGS parameter list that differ from the canonical ones
+USGS_ALIASES = {"ft": "feet", "ft3/s": "ft^3/s", "us/cm @25c": "uS/cm", "ft/sec": "ft/s", "m/sec": "m/s", "ng/m3": "ng/m^3", "deg c": "deg_c"}
 PARAM_UNITS = {"ec": "uS/cm", "turbidity": "NTU", "elev": "feet", "temp": "deg_c", "velocity": "ft/s", "flow": "ft^3/s", "fdom": "ug/l", "do": "mg/l"}
 
 
 def unit_aliases(spark, extra: list[tuple[str, str, str]] = ()) -> DataFrame:
     """Alias table (provider, raw, unit); provider ``*`` serves all."""
-    rows = [("*", k, v) for k, v in UNIT_ALIASES.items()] + list(extra)
+    rows = [("*", k, v) for k, v in UNIT_ALIASES.items()] + [("usgs", k, v) for k, v in USGS_ALIASES.items()] + list(extra)
     return spark.createDataFrame(rows, "provider string, raw string, unit string")
 
 
 def infer_unit(df: DataFrame, aliases: DataFrame, provider="provider", param="param", raw="raw_unit") -> DataFrame:
     """CAT-13.  Unit text to canonical unit: alias of the provider, alias of all,
-    default of the parameter (blank or ``misc``), else ``unknown``."""
+    default of the parameter (blank or ``misc``), else ``unknown``.  A USGS text
+    without an alias is its own unit; where only a parameter code is known,
+    ``usgs_raw_unit`` gives the text first."""
     d = df.withColumn("__raw", F.lower(F.trim(raw)))
     own = aliases.filter("provider != '*'").select(F.col("provider").alias(provider), F.col("raw").alias("__raw"), F.col("unit").alias("__own"))
     gen = aliases.filter("provider = '*'").select(F.col("raw").alias("__raw"), F.col("unit").alias("__gen"))
     j = d.join(own, [provider, "__raw"], "left").join(gen, "__raw", "left")
     by_param = F.create_map(*[F.lit(x) for kv in PARAM_UNITS.items() for x in kv])[F.col(param)]
     blank = F.col("__raw").isNull() | F.col("__raw").isin("", "misc")
-    return j.withColumn("unit", F.coalesce("__own", "__gen", F.when(blank, by_param), F.lit("unknown"))).drop("__raw", "__own", "__gen")
+    itself = F.when((F.col(provider) == "usgs") & ~blank, F.trim(raw))
+    return j.withColumn("unit", F.coalesce("__own", "__gen", F.when(blank, by_param), itself, F.lit("unknown"))).drop("__raw", "__own", "__gen")
+
+
+def usgs_param_code(header: Column | str) -> Column:
+    """CAT-13.  Parameter code in a USGS header: ``variable_code`` of a JSON
+    header, or the third word after the ``Parameter  Description`` line."""
+    h = F.col(header) if isinstance(header, str) else header
+    code = F.regexp_extract(h, r"variable_code[^:\n]*:\s*'?([^'\s]+)", 1)
+    listed = F.regexp_extract(h, r"Parameter\s+Description[^\n]*\n#?\s*\S+\s+(?:#\s*)?\S+\s+(\d{5})", 1)
+    return F.coalesce(F.nullif(code, F.lit("")), F.nullif(listed, F.lit("")))
+
+
+def usgs_raw_unit(df: DataFrame, parameters: DataFrame, code="param_code", raw="raw_unit") -> DataFrame:
+    """CAT-13.  Unit text from the parameter list (parm_cd, parm_unit) where none is given."""
+    p = parameters.select(F.col("parm_cd").alias(code), F.col("parm_unit").alias("__unit"))
+    return df.join(p, code, "left").withColumn(raw, F.coalesce(F.nullif(F.trim(raw), F.lit("")), "__unit")).drop("__unit")
 
 
 def enrich_meta(parsed: DataFrame, registry: DataFrame, units: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -21,12 +21,20 @@ TIME_FORMATS = ("yyyy-MM-dd[['T'][' ']HH:mm[:ss]]", "M/d/yyyy[ H:mm[:ss]]", "yyy
 
 
 def read_lines(spark: SparkSession, path) -> DataFrame:
-    """Lines of text files.  ``line_no`` orders the lines of the first split of a
-    file (where headers are); it is NULL in later splits of a large file."""
+    """Lines of text files.  ``line_no`` numbers the lines of the first split of a
+    file (where headers are); it is NULL in later splits of a large file.  ``at``,
+    the start of the split and the number in it, orders all lines of a file."""
     d = spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("mid"),
-        F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("line"))
-    return d.select("file", F.when(F.col("at") == 0, F.col("mid")).alias("line_no"), "line")
+        F.col("_metadata.file_block_start").alias("begin"), F.col("value").alias("line"))
+    return d.select("file", F.when(F.col("begin") == 0, F.col("mid")).alias("line_no"), F.struct("begin", "mid").alias("at"), "line")
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """Lines from elsewhere have no splits: their number is their place."""
+    if "at" in lines.columns:
+        return lines
+    return lines.withColumn("at", F.struct(F.lit(0).cast("long").alias("begin"), F.col("line_no").cast("long").alias("mid")))
 
 
 class Layout(NamedTuple):
@@ -105,9 +113,19 @@ SIGNATURES: list[tuple[str, list[tuple[str, int, bool]]]] = [
 ]
 
 
+HEAD_LINES = 1 + max(n for _, signature in SIGNATURES for _, n, _ in signature)
+
+
 def describe_files(lines: DataFrame, layout: str | None = None) -> DataFrame:
     """SRC-3.  (file, layout, header line) in one aggregation by file: the first
-    line at which each pattern occurs, relative to the first line of the file."""
+    line at which each pattern occurs, relative to the first line of the file.
+
+    Only the first lines of a file meet the patterns: the deepest signature looks
+    at HEAD_LINES lines.  Their numbers run on inside a split, so the first number
+    of each file is found first, without a pattern."""
+    head = lines.filter("line_no IS NOT NULL")
+    begins = head.groupBy("file").agg(F.min("line_no").alias("__first"))
+    lines = with_file_facts(head, begins).filter(F.col("line_no") - F.col("__first") < HEAD_LINES).drop("__first")
     pats = sorted({p for _, sig in SIGNATURES for p, _, _ in sig}) if layout is None else []
     line, no = F.col("line"), F.col("line_no")
     seen = lines.groupBy("file").agg(
@@ -209,41 +227,42 @@ def parse_lines(lines: DataFrame, described: DataFrame, tokens=None) -> DataFram
     it.  Header lines do not look like data lines, so nothing is skipped by count.
     """
     tokens = NULL_TOKENS + STATUS_TOKENS if tokens is None else tokens
-    body = with_file_facts(lines, file_fields(described)).filter(~F.col("line").startswith("#") & F.expr("line RLIKE data"))
+    body = with_file_facts(_placed(lines), file_fields(described)).filter(~F.col("line").startswith("#") & F.expr("line RLIKE data"))
     body = body.withColumn("f", F.split("line", F.col("sep")))
     field = lambda pos: _unquoted(F.try_element_at("f", F.col(pos) + 1))
     clock = F.when(F.col("pad") & ~field("t1").contains(":"), F.lpad(field("t1"), 4, "0")).otherwise(field("t1"))
-    d = body.select("file", "sensor", "line_no", "codes", 
+    d = body.select("file", "sensor", "line_no", "at", "codes",
                     F.when(F.col("t1").isNull(), field("t0")).otherwise(F.concat(field("t0"), F.col("glue"), clock)).alias("t"),
                     null_tokens(field("vpos"), tokens).alias("raw"), field("qpos").alias("quality"), field("zpos").alias("zone"))
     ts = _parse_time(F.col("t"), TIME_FORMATS)
     hour = F.expr("INTERVAL 1 HOUR")
     blank = F.col("quality").isNull() | (F.col("quality") == "")
     ok = F.col("codes").isNull() | blank | F.array_contains("codes", F.col("quality"))
-    return d.select("file", "sensor", "line_no", F.when(F.col("zone") == "PDT", ts - hour).otherwise(ts).alias("ts"), "raw", "quality",
+    return d.select("file", "sensor", "line_no", "at", F.when(F.col("zone") == "PDT", ts - hour).otherwise(ts).alias("ts"), "raw", "quality",
                     F.when(ok, F.col("raw")).alias("accepted"))
 
 
-def read_provider(lines: DataFrame, layout: str | None = None, described: DataFrame | None = None, strict=True) -> DataFrame:
+def read_provider(lines: DataFrame, layout: str | None = None, described: DataFrame | None = None, strict=True, tokens=None) -> DataFrame:
     """SRC-2.  All files, whatever their layouts: (file, sensor, ts, value,
     quality), first line kept where a time occurs twice in a file.
 
     ``layout`` names the layout of all files; ``described`` replaces what
-    ``describe_files`` finds."""
+    ``describe_files`` finds; ``tokens`` replaces the texts of missing values."""
     known = described if described is not None else describe_files(lines, layout)
-    parsed = parse_lines(lines, known)
+    parsed = parse_lines(lines, known, tokens)
     if strict:
         d = strict_cast(parsed, "accepted")
     else:
         d = parsed.withColumn("value", F.col("accepted").try_cast("double"))
-    order = F.coalesce("line_no", F.lit(2**62))
     return d.filter("ts IS NOT NULL").groupBy("file", "sensor", "ts").agg(
-        F.min_by("value", order).alias("value"), F.min_by("quality", order).alias("quality"))
+        F.min_by("value", "at").alias("value"), F.min_by("quality", "at").alias("quality"))
 
 
 def read_canonical(spark, path, columns="datetime timestamp_ntz, value double, user_flag string") -> DataFrame:
     """SRC-1.  Canonical CSV files: header lines are comments."""
-    d = spark.read.csv(path, header=True, comment="#", schema=columns, enforceSchema=True, mode="PERMISSIVE")
+    # enforceSchema off: the header must name the columns in this order, else the read fails;
+    # a text that does not fit its type fails too, with the record in the message
+    d = spark.read.csv(path, header=True, comment="#", schema=columns, enforceSchema=False, mode="FAILFAST")
     return d.select(F.col("_metadata.file_name").alias("file"), F.col("datetime").alias("ts"), *[c for c in d.columns if c != "datetime"])
 
 

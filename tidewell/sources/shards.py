@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewell.operators.checks import require_empty
 from tidewell.operators.filters import slice_time
@@ -45,9 +45,11 @@ def write_shards(df: DataFrame, path: str, keys: Sequence[str], values=("value",
     return d
 
 
-def read_shards(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Observations of a store; the year range prunes partitions."""
-    return slice_time(spark.read.parquet(path), start, end)
+def read_shards(spark: SparkSession, path: str, start: str | None = None, end: str | None = None, param: str = "param") -> DataFrame:
+    """Observations of a store; the year range prunes partitions.  Parameters are
+    texts, also those that look like numbers."""
+    fields = [T.StructField(f.name, T.StringType() if f.name == param else f.dataType, f.nullable) for f in spark.read.parquet(path).schema.fields]
+    return slice_time(spark.read.schema(T.StructType(fields)).parquet(path), start, end)
 
 
 def read_flagged(df: DataFrame, start=None, end=None, apply=True, return_flags=False, value="value", flag="user_flag") -> DataFrame:
