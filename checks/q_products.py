@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks.base import DAILY, HOURLY, K, OBS, UP, W, WH, daily, hourly, obs, query, r6, table, width
 from checks.q_catalog import FILES, REG, registry
@@ -198,7 +200,9 @@ def _(spark, sf):
 lim AS (SELECT min(ts) AS s1 FROM f WHERE station = 'click' AND p = 1 AND value IS NOT NULL)
 SELECT 'click' AS entry, ts, round(CASE WHEN value IS NOT NULL THEN value * 0.3048::DOUBLE END, 6) AS value, 'm' AS unit FROM f, lim WHERE station = 'click' AND ((p = 0 AND ts < s1) OR (p = 1 AND ts >= s1))
 UNION ALL SELECT 'view', ts, value * 2 + 1, 'cfs' FROM f WHERE file = 'view_2.csv'
-UNION ALL SELECT 'error', ts, first(value ORDER BY p DESC) FILTER (value IS NOT NULL), 'ft' FROM f WHERE station = 'error' GROUP BY ts""")
+UNION ALL SELECT 'click_late', ts, value, 'cfs' FROM f WHERE file = 'click_2.csv'
+UNION ALL SELECT CASE WHEN station = 'view' THEN 'view_early' ELSE station END AS entry, ts, first(value ORDER BY p DESC) FILTER (value IS NOT NULL), 'ft' FROM f
+ WHERE station IN ('error', 'signup', 'purchase') OR (station = 'view' AND p < 2) GROUP BY ALL""")
 def _(spark, sf):
     d = None
     for i, p in enumerate(providers(spark, sf)):
@@ -207,7 +211,9 @@ def _(spark, sf):
     out = R.ingest(d, [
         {"name": "click", "pattern": "click_[01].csv", "mode": "time_overlap", "combine": "splice", "transforms": [{"name": "convert_units", "args": {"from_unit": "ft", "to_unit": "m"}}], "metadata": {"unit": "m"}},
         {"name": "view", "pattern": "view_2.csv", "transforms": [{"name": "linear", "args": {"scale": 2.0, "offset": 1.0}}], "metadata": {"unit": "cfs"}},
-        {"name": "error", "pattern": "error_*.csv", "mode": "time_overlap", "combine": "merge", "metadata": {"unit": "ft"}},
+        {"name": "click_late", "pattern": "click_2.csv", "metadata": {"unit": "cfs"}},
+        *[{"name": n, "pattern": p, "mode": "time_overlap", "combine": "merge", "metadata": {"unit": "ft"}}
+          for n, p in (("view_early", "view_[01].csv"), ("error", "error_*.csv"), ("signup", "signup_*.csv"), ("purchase", "purchase_*.csv"))],
     ])
     parts = [v.select("entry", "ts", "value", "unit") for v in out.values()]
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), "value")
+    return rounded(reduce(DataFrame.unionByName, parts), "value")

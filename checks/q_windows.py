@@ -378,7 +378,12 @@ def _(spark, sf):
     return G.disaggregate(daily(spark, sf), K, 86400, 9600).withColumn("value", F.round("value", 5))
 
 
-@query("tim9_coarsen")
+@query("tim9_coarsen", f"""WITH RECURSIVE {OBS}, c AS (SELECT station, param, date_trunc('hour', ts) AS ts, last(value ORDER BY ts) AS v FROM obs WHERE value IS NOT NULL GROUP BY station, param, date_trunc('hour', ts)),
+r AS (SELECT station, param, ts, row_number() OVER (PARTITION BY station, param ORDER BY ts) AS n, CASE WHEN v = 0 THEN v ELSE round_even(v / 5.0::DOUBLE, 0) * 5.0::DOUBLE END AS q FROM c),
+w AS (SELECT station, param, n, ts, q, ts AS lt, q AS lv, true AS e FROM r WHERE n = 1
+ UNION ALL SELECT station, param, n, ts, q, CASE WHEN e THEN ts ELSE lt END, CASE WHEN e THEN q ELSE lv END, e FROM (
+  SELECT r.*, lt, lv, abs(r.q - lv) > 5 OR (r.q = 0) <> (lv = 0) OR r.ts - lt >= INTERVAL 6 HOUR AS e FROM w JOIN r ON r.station = w.station AND r.param = w.param AND r.n = w.n + 1))
+SELECT station, param, ts, q AS value FROM w WHERE e""")
 def _(spark, sf):
     return G.coarsen(obs(spark, sf), K, 3600, 5.0, 1.0, 6 * 3600, (0.0,), seconds=width(spark, sf))
 

@@ -122,5 +122,41 @@ def test_daylight_hour_in_order(spark):
 
 def test_grid_guard(spark):
     d = make(spark, [("s", pd.Timestamp("1900-01-01"), 1.0), ("s", pd.Timestamp("2024-01-01"), 1.0)], twins.SCHEMA)
-    with pytest.raises(Exception, match="grid is far larger"):
-        G.regularize(d, K, 60).count()
+    other = make(spark, [("t", pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=m), 1.0) for m in range(3)], twins.SCHEMA)
+    found = G.sparse_series(d.unionByName(other), K, 60, 100_000).collect()
+    assert [(r.station, r.reason) for r in found] == [("s", "sparse_grid")]
+    # the operator itself has no limit: the sparse series is gridded, the others too
+    n = {r.station: r.n for r in G.regularize(d.unionByName(other), K, 3600 * 24).groupBy("station").agg(F.count("*").alias("n")).collect()}
+    assert n == {"s": 45_291, "t": 1}
+
+
+def test_splice_of_many_parts(spark):
+    import pandas as pd
+
+    from tidewell.operators.merge import splice_named, ts_splice
+    rows = [("s", "p", f"f{i % 600:03d}", pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i % 600 + 7 * j), float(i) if (i + j) % 9 else None) for i in range(600) for j in range(4)]
+    d = spark.createDataFrame(rows, "station string, param string, file string, ts timestamp_ntz, value double")
+    for how in ("first", "last"):
+        got = {(r.file, r.ts, r.value) for r in splice_named(d, ["station", "param"], "file", how).collect()}
+        few = d.filter("file < 'f004'")
+        parts = [few.filter(f"file = 'f00{i}'").drop("file") for i in range(4)]
+        want = sorted((r.ts, r.value) for r in ts_splice(parts, ["station", "param"], how).filter("value IS NOT NULL").collect())
+        assert want == sorted((r.ts, r.value) for r in splice_named(few, ["station", "param"], "file", how).filter("value IS NOT NULL").collect())
+        span = {}
+        for _, _, f, t, v in rows:
+            if v is not None:
+                a, b = span.get(f, (t, t))
+                span[f] = (min(a, t), max(b, t))
+        names = sorted(span)
+        expect = set()
+        for _, _, f, t, v in rows:
+            k = names.index(f)
+            if how == "last":
+                later = [span[x][0] for x in names[k + 1:]]
+                ok = (k == 0 or t >= min([span[f][0], *later])) and (not later or t < min(later))
+            else:
+                earlier = [span[x][1] for x in names[:k]]
+                ok = (k == len(names) - 1 or t <= max([span[f][1], *earlier])) and (not earlier or t > max(earlier))
+            if ok:
+                expect.add((f, t.to_pydatetime(), v))
+        assert got == expect

@@ -86,6 +86,29 @@ def splice_ranked(s: DataFrame, keys, n: int, prefer="first", rank=PRIO, value="
     return a.filter(keep).drop(*specs)
 
 
+def splice_named(df: DataFrame, keys, name: str, transition="last", value="value", ts="ts") -> DataFrame:
+    """MRG-3, MRG-4 for parts that are told apart by a column, however many.
+
+    The spans of the parts are rows, one each; what earlier and later parts leave
+    to a part is a running minimum or maximum over them in name order."""
+    valid = F.when(F.col(value).isNotNull(), F.col(ts))
+    spans = df.groupBy(*keys, name).agg(F.min(valid).alias("__s"), F.max(valid).alias("__e"))
+    up, down = Window.partitionBy(*keys).orderBy(name), Window.partitionBy(*keys).orderBy(F.desc(name))
+    edge = Window.unboundedPreceding
+    if transition == "last":
+        here, other = F.min("__s").over(down.rowsBetween(edge, 0)), F.min("__s").over(down.rowsBetween(edge, -1))
+        outer = F.row_number().over(up) == 1
+        keep = lambda t: (F.col("__outer") | (t >= F.col("__here"))) & (F.col("__other").isNull() | (t < F.col("__other")))
+    elif transition == "first":
+        here, other = F.max("__e").over(up.rowsBetween(edge, 0)), F.max("__e").over(up.rowsBetween(edge, -1))
+        outer = F.max("__e").over(up.rowsBetween(1, Window.unboundedFollowing)).isNull()  # no later part has data
+        keep = lambda t: (F.col("__outer") | (t <= F.col("__here"))) & (F.col("__other").isNull() | (t > F.col("__other")))
+    else:
+        raise ValueError(f"unknown transition {transition}")
+    limits = spans.select(*keys, name, here.alias("__here"), other.alias("__other"), outer.alias("__outer"))
+    return df.join(limits, [*keys, name]).filter(keep(F.col(ts))).select(*df.columns)
+
+
 def ts_splice(frames, keys, prefer="first", value="value", ts="ts", seconds=DEFAULT_SECONDS) -> DataFrame:
     """MRG-3 (``first``): a series holds until its last valid time.  MRG-4
     (``last``): a later series takes over from its first valid time.  Gaps stay."""

@@ -134,7 +134,9 @@ def detect_lof(df, keys, k=5, contamination=0.02, value="value", out="anomaly",
     s = lof_scores(df, keys, k, value, block)
     q = exact_quantiles(s.withColumn("neg", -F.col("lof")), keys, {"__cut": contamination}, "neg", weight="n")
     hits = s.join(q, list(keys)).filter(-F.col("lof") < F.col("__cut")).select(*keys, F.col(value), F.lit(True).alias(out))
-    return df.join(hits, [*keys, value], "left").withColumn(out, F.coalesce(out, F.lit(False)))
+    # missing values meet nothing, so they are not moved; a frequent value is split by adaptive execution
+    valid = df.filter(F.col(value).isNotNull()).join(hits, [*keys, value], "left").select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
+    return valid.unionByName(df.filter(F.col(value).isNull()).withColumn(out, F.lit(False)))
 
 
 def remove_isolated(df, keys, thresh: int, value="value", seconds=DEFAULT_SECONDS):

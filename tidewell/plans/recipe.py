@@ -8,12 +8,11 @@ from tidewell.functions.scalars import add_column, convert_units, linear
 from tidewell.operators.checks import require_empty
 from tidewell.operators.filters import trim_edges
 from tidewell.operators.grid import coarsen, local_to_fixed
-from tidewell.operators.merge import splice_ranked, merge_by_rank, shard_overlaps
+from tidewell.operators.merge import shard_overlaps, splice_named
 from tidewell.operators.windows import bfill, ffill, fill_sweep
 from tidewell.plans.steps import apply_transform, register_transform
 
 KEY = ["entry"]
-MAX_SPLICED = 500  # a splice has a span per file; more files are an error, never cut off
 
 register_transform("convert_units", lambda df, from_unit, to_unit: df.withColumn("value", convert_units("value", from_unit, to_unit)))
 register_transform("linear", lambda df, scale=1.0, offset=0.0: df.withColumn("value", linear("value", scale, offset)))
@@ -61,12 +60,7 @@ def collect_files(files: DataFrame, spec: dict) -> DataFrame:
     if spec.get("combine", "splice") == "merge":
         pick = F.min_by if first else F.max_by
         return d.groupBy("entry", "ts").agg(pick("value", F.when(F.col("value").isNotNull(), F.col("file"))).alias("value"))
-    if n > MAX_SPLICED:
-        raise ValueError(f"{n} files to splice: bring them to time shards first")
-    names = sorted(r[0] for r in found.collect())
-    ranks = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
-    ranked = d.withColumn("__prio", ranks[F.col("file")]).select("entry", "ts", "value", "__prio")
-    return splice_ranked(ranked, KEY, len(names), "first" if first else "last").drop("__prio")
+    return splice_named(d.select("entry", "file", "ts", "value"), KEY, "file", "first" if first else "last").drop("file")
 
 
 def run_entry(files: DataFrame, spec: dict) -> DataFrame:
