@@ -56,7 +56,7 @@ _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def words_of(text: Column) -> Column:
     """Words with A-Z in lower case.  lower() maps one other letter, the Kelvin sign,
     to an ASCII one; it is set aside first."""
-    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("ĸ")))
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
     return F.array_remove(F.split(low, _NOT_WORD), "")
 
 

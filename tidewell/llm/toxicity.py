@@ -45,7 +45,7 @@ _PUNCTUATION = "!\"#%&'()*+,-./:;<=>?[\\]^_`{|}~\t\n\r\x0b\x0c"
 _FULL_WIDTH = {chr(0xFF41 + i): chr(97 + i) for i in range(26)}
 _TABLE = str.maketrans(HOMOGLYPHS | SUBSTITUTES | _FULL_WIDTH | dict.fromkeys(_PUNCTUATION, " ") | {"$": " ", "@": " "})
 _SIGN = re.compile(r"(?<=[^\W\d_])[$@](?=[^\W\d_])")
-_INVISIBLE = re.compile("[\xad​-‏⁠﻿]")
+_INVISIBLE = re.compile("[\xad\u200b-\u200f\u2060\ufeff]")
 STEMS = range(4, 8)
 
 
@@ -230,15 +230,19 @@ def _densities(batches: Iterator[pd.DataFrame], lexicon: Lexicon) -> Iterator[pd
 
 
 def _isotonic(bins: list[tuple[int, int, int]]) -> tuple[tuple[float, float], ...]:
-    """Pooled adjacent violators: label rates that never fall with the density."""
-    pools: list[list[float]] = []
+    """Pooled adjacent violators: label rates that never fall with the density.  A
+    density between two bins that were seen takes the upper one's rate."""
+    pools: list[list[float]] = []  # bin before the pool's first, rows with label 1, rows
+    before = None
     for b, pos, n in bins:
-        pools.append([b, pos, n])
+        pools.append([before, pos, n])
+        before = b
         while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
             _, p, m = pools.pop()
             pools[-1][1] += p
             pools[-1][2] += m
-    return tuple((0.0 if b <= -1000 else 2.0 ** (b / _BINS), (p + 0.1) / (n + 0.2)) for b, p, n in pools)
+    low = lambda b: 0.0 if b is None else 1e-300 if b <= -1000 else 2.0 ** ((b + 1) / _BINS)
+    return tuple((low(b), (p + 0.1) / (n + 0.2)) for b, p, n in pools)
 
 
 def score(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
