@@ -77,14 +77,11 @@ _KIND_SQL = "(VALUES " + ", ".join(f"({i}, '{k}', {'true' if k in _OPEN else 'fa
 def _(spark, sf):
     o = obs(spark, sf).groupBy("station", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(F.max("value").alias("value"))
     root = scratch(spark, "canon")
-    names = [r[0] for r in o.select("station").distinct().collect()]
     o.select("station", _fmt("yyyy-MM-dd HH:mm").alias("datetime"), "value", F.lit(None).cast("string").alias("user_flag")) \
         .write.partitionBy("station").option("header", True).csv(f"{root}/t")
-    out = None
-    for n in names:  # one folder per station, as a provider delivers them
-        d = L.read_canonical(spark, f"{root}/t/station={n}/*").withColumn("file", F.lit(n + ".csv")).select("file", "ts", "value")
-        out = d if out is None else out.unionByName(d)
-    return out
+    # one folder per station, as a provider delivers them
+    d = L.read_canonical(spark, f"{root}/t/*/*", with_path=True)
+    return d.select(F.concat(F.regexp_extract("path", "station=([^/]+)", 1), F.lit(".csv")).alias("file"), "ts", "value")
 
 
 @query("src2_read_provider", f"""WITH {ROWS}, {"l AS (SELECT * FROM rw JOIN " + _KIND_SQL + " USING (k))"},

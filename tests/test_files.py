@@ -119,3 +119,47 @@ def test_recipe_failures_do_not_stop_others(spark):
 def test_superseded_keeps_the_last_of_equal_spans(spark):
     f = make(spark, [("s", "a", 2000, 2005), ("s", "b", 2000, 2005), ("s", "c", 2001, 2003), ("s", "d", 2004, 2008)], "station string, file string, syear int, eyear int")
     assert sorted(r.file for r in RQ.superseded(f, ["station"]).collect()) == ["a", "c"]
+
+
+def test_first_line_wins_in_files_of_many_splits(spark, tmp_path):
+    stamp = lambda i: str(pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=15 * i))[:16]
+    body = [f"{stamp(i % 300)},{i}.0,0" for i in range(900)]  # every time stands three times
+    (tmp_path / "long.csv").write_text("\n".join(["# format: agency-1.0", "datetime,value,user_flag", *body]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        lines = L.read_lines(spark, str(tmp_path / "long.csv"))
+        assert lines.filter("line_no IS NULL").count() > 300  # later splits
+        got = {str(r.ts)[:16]: r.value for r in L.read_provider(lines).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {stamp(i): float(i) for i in range(300)}
+
+
+def test_canonical_reader_fails_on_what_does_not_fit(spark, tmp_path):
+    rows = {"good": ["datetime,value,user_flag", "2024-01-01 00:00,1.5,0"], "text": ["datetime,value,user_flag", "2024-01-01 00:00,oops,0"], "order": ["datetime,user_flag,value", "2024-01-01 00:00,0,7.5"]}
+    for n, text in rows.items():
+        (tmp_path / f"{n}.csv").write_text("# format: agency-1.0\n" + "\n".join(text) + "\n")
+    read = lambda n: L.read_canonical(spark, str(tmp_path / f"{n}.csv")).collect()
+    assert [(r.value, r.user_flag) for r in read("good")] == [(1.5, "0")]
+    for n in ("text", "order"):
+        with pytest.raises(Exception):
+            read(n)
+
+
+def test_shards_keep_parameters_that_look_like_numbers(spark, tmp_path):
+    d = make(spark, [("s", "00060", pd.Timestamp("2024-01-01") + pd.Timedelta(hours=h), float(h)) for h in range(20)], "station string, param string, ts timestamp_ntz, value double")
+    SH.write_shards(d, str(tmp_path / "store"), ["station", "param"])
+    assert {r.param for r in SH.read_shards(spark, str(tmp_path / "store")).collect()} == {"00060"}
+
+
+def test_usgs_units(spark):
+    from tidewell.plans import catalog as C
+    d = spark.createDataFrame([("usgs", "flow", "ft3/s"), ("usgs", "ec", "uS/cm @25C"), ("usgs", "x", "m/sec"), ("usgs", "x", "tons/day"), ("cdec", "x", "tons/day"), ("usgs", "flow", "")], "provider string, param string, raw_unit string")
+    got = {(r.provider, r.raw_unit): r.unit for r in C.infer_unit(d, C.unit_aliases(spark)).collect()}
+    assert got == {("usgs", "ft3/s"): "ft^3/s", ("usgs", "uS/cm @25C"): "uS/cm", ("usgs", "m/sec"): "m/s", ("usgs", "tons/day"): "tons/day", ("cdec", "tons/day"): "unknown", ("usgs", ""): "ft^3/s"}
+    codes = spark.createDataFrame([("x\n# variable_code: '00060'\n",), ("# Data for\n# Parameter Description\n# 1 2 00065 Gage height\n",), ("none",)], "h string")
+    assert [r[0] for r in codes.select(C.usgs_param_code("h")).collect()][0] == "00060"
+    parms = spark.createDataFrame([("00060", "ft3/s")], "parm_cd string, parm_unit string")
+    raw = spark.createDataFrame([("00060", None), ("99999", None), ("00060", "cfs")], "param_code string, raw_unit string")
+    assert sorted((r.param_code, r.raw_unit or "") for r in C.usgs_raw_unit(raw, parms).collect()) == [("00060", "cfs"), ("00060", "ft3/s"), ("99999", "")]

@@ -316,15 +316,20 @@ def coarsen(df, keys, grid_seconds: int, qwidth: float, hyst=1.0, heartbeat_seco
     data = cells.select(*keys, CHUNK, micros(ts).alias("us"), F.col(value).cast("double").alias(value))
     chunks = cells.select(*keys, CHUNK).distinct()
     start = chunks.select("*", F.lit(None).cast("long").alias("last_ts"), F.lit(None).cast("double").alias("last_v"))
+    at = [*keys, CHUNK]
+    from_state = lambda s: data.join(s, at).groupBy(*at).applyInPandas(walk, schema)
+    walked = stage(from_state(start))
     while True:
-        walked = stage(data.join(start, [*keys, CHUNK]).groupBy(*keys, CHUNK).applyInPandas(walk, schema))
-        ends = walked.filter("end").select(*keys, CHUNK, "last_ts", "last_v")
-        nxt = ends.select(*keys, CHUNK, F.lag("last_ts").over(chain).alias("last_ts"), F.lag("last_v").over(chain).alias("last_v"))
-        same = nxt.alias("n").join(start.alias("s"), [*keys, CHUNK]).filter(
-            ~(F.col("n.last_ts").eqNullSafe(F.col("s.last_ts")) & F.col("n.last_v").eqNullSafe(F.col("s.last_v"))))
-        if same.isEmpty():
+        ends = walked.filter("end").select(*at, "last_ts", "last_v")
+        nxt = ends.select(*at, F.lag("last_ts").over(chain).alias("last_ts"), F.lag("last_v").over(chain).alias("last_v"))
+        was = start.select(*at, F.col("last_ts").alias("was_ts"), F.col("last_v").alias("was_v"))
+        redo = stage(nxt.join(was, at).filter(~(F.col("last_ts").eqNullSafe(F.col("was_ts")) & F.col("last_v").eqNullSafe(F.col("was_v")))).drop("was_ts", "was_v"))
+        if redo.isEmpty():
             return walked.filter("NOT end").select(*keys, from_micros(F.col("us")).alias(ts), value)
-        start = stage(nxt)
+        # only chunks that begin in another state than they were walked from are walked again
+        others = lambda d: d.join(redo.select(*at), at, "left_anti")
+        walked = stage(others(walked).unionByName(from_state(redo)))
+        start = stage(others(start).unionByName(redo))
 
 
 def local_to_fixed(df, keys, src_tz="America/Los_Angeles", offset_hours=-8, ts="ts", value="value", seq="seq") -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +40,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     arithmetic runs on naive timestamps, so the session clock is UTC."""
     for k in ("spark.sql.session.timeZone", "spark.sql.unionOutputPartitioning"):
         spark.conf.set(k, SETTINGS[k])
+    ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session, where they would not
+    find it: neither on PYTHONPATH nor in the folder a local session works in."""
+    root, sc = Path(__file__).resolve().parents[1], spark.sparkContext
+    found = str(root) in map(os.path.realpath, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))
+    if found or (sc.master.startswith(("local[", "local ")) and Path.cwd() == root) or sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/tidewell", "zip", root, "tidewell"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for cut lineage: the one the cluster names, else a scratch one."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -258,12 +258,14 @@ def read_provider(lines: DataFrame, layout: str | None = None, described: DataFr
         F.min_by("value", "at").alias("value"), F.min_by("quality", "at").alias("quality"))
 
 
-def read_canonical(spark, path, columns="datetime timestamp_ntz, value double, user_flag string") -> DataFrame:
-    """SRC-1.  Canonical CSV files: header lines are comments."""
+def read_canonical(spark, path, columns="datetime timestamp_ntz, value double, user_flag string", with_path=False) -> DataFrame:
+    """SRC-1.  Canonical CSV files: header lines are comments.  All files of all
+    series are one scan; ``with_path`` adds where a row comes from."""
     # enforceSchema off: the header must name the columns in this order, else the read fails;
     # a text that does not fit its type fails too, with the record in the message
     d = spark.read.csv(path, header=True, comment="#", schema=columns, enforceSchema=False, mode="FAILFAST")
-    return d.select(F.col("_metadata.file_name").alias("file"), F.col("datetime").alias("ts"), *[c for c in d.columns if c != "datetime"])
+    where = [F.col("_metadata.file_path").alias("path")] if with_path else []
+    return d.select(F.col("_metadata.file_name").alias("file"), F.col("datetime").alias("ts"), *[c for c in d.columns if c != "datetime"], *where)
 
 
 def header_lines(lines: DataFrame, comment="#") -> DataFrame:
