@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import DAILY, K, OBS, daily, obs, query, table
+from checks.base import OBS, obs, query, table
 from tidewell.functions import names as N
 from tidewell.operators import request as RQ
 from tidewell.plans import catalog as C, steps as ST

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import DAILY, HB, HOURLY, K, OBS, UP, W, WH, daily, hourly, hourly_rows, obs, part_of, query, r6, table, width
+from checks.base import DAILY, HB, HOURLY, K, OBS, UP, WH, daily, hourly, hourly_rows, obs, query, r6, table, width
 from tidewell.operators import aggs as A, align as AL, merge as M, request as RQ, spatial as SP
 from tidewell.plans import catalog as C, series as SE
 from tidewell.schema import ntz

@@ -6,9 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks.base import DAILY, HOURLY, K, OBS, UP, W, WH, daily, hourly, obs, query, r6, table, width
-from checks.q_catalog import FILES, REG, registry
-from checks.q_merge import PROV, providers, provider_obs
+from checks.base import DAILY, HOURLY, K, OBS, UP, WH, daily, hourly, obs, query, r6, table, width
+from checks.q_catalog import REG, registry
+from checks.q_merge import PROV, providers
 from checks.q_windows import DISAGG, LEVEL, PUMPS, pump_events
 from tidewell.operators.aggs import bucket_of
 from tidewell.plans import products as P, recipe as R

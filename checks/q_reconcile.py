@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import K, hourly_rows, obs, query, table
+from checks.base import K, query, table
 from tidewell.operators import reconcile as R
 from tidewell.operators.checks import split
 from tidewell.operators.grid import asfreq
-from tidewell.schema import ntz
 from tidewell.session import scratch, stage
-from tidewell.streaming.topoff import read_repository, stream_topoff, topoff_batch
+from tidewell.streaming.topoff import read_repository, stream_topoff
 
 YEAR = 2002
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import HOURLY, K, OBS, UP, W, WH, hourly, obs, query, r6, table, width
+from checks.base import HOURLY, K, OBS, UP, WH, hourly, obs, query, r6, table, width
 from checks.q_windows import _GAPS, _GOOD, _REG
 from tidewell.operators import grid as G, screen as S, aggs as A
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import DAILY, K, OBS, daily, obs, query, table, width
-from tidewell.operators import screen as S
+from checks.base import K, OBS, obs, query, table
 from tidewell.sources import lines as L, payloads as P, shards as SH
 from tidewell.session import scratch
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import functions as F
 
@@ -11,7 +10,6 @@ from checks.base import (
 )
 from tidewell.operators import aggs as A, filters as FL, grid as G, windows as WN
 from tidewell.operators.checks import require_no_nulls
-from tidewell.schema import micros
 
 # --- FLT ---------------------------------------------------------------------
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tests.twins import make
 from tidewell.operators import reconcile as R
-from tidewell.session import stage
 from tidewell.streaming.topoff import read_repository, stream_topoff, topoff_batch
 
 K = ["station", "param"]

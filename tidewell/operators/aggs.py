@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, attach, chunked, overall, running, scan, summarize
-from tidewell.operators.grid import GRID_BLOCK, complete, index_time, _grid
+from tidewell.operators.chunks import DEFAULT_SECONDS, attach, chunked, overall, running, scan, summarize
+from tidewell.operators.grid import GRID_BLOCK, complete, index_time
 from tidewell.schema import MICROS, micros, ntz
 
 

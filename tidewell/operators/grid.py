@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, attach, chunked, following, overall, prev, scan, summarize
+from tidewell.operators.chunks import CHUNK, DEFAULT_SECONDS, attach, chunked, following, prev, scan, summarize
 from tidewell.operators.windows import interpolate
 from tidewell.schema import MICROS, from_micros, micros
 from tidewell.session import stage

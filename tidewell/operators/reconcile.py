@@ -6,14 +6,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.operators.checks import require_empty
-from tidewell.operators.chunks import DEFAULT_SECONDS
 from tidewell.operators.grid import freq_class, infer_freq
-from tidewell.operators.merge import splice_ranked, ts_merge, ts_splice, stack, PRIO
+from tidewell.operators.merge import ts_merge, ts_splice
 
 SINGLE = "__single__"
 VALUE, FLAG = "value", "user_flag"

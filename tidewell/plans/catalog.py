@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.names import series_id, wildcard_name
 from tidewell.operators.checks import require_empty
-from tidewell.schema import DEFAULT_SUBLOC
 
 OPEN_END = 9999
 # Columns of the registry and the file list that no inventory shows

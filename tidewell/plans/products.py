@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewell.functions.scalars import linear, normalize_gate_state
+from tidewell.functions.scalars import normalize_gate_state
 from tidewell.operators.aggs import gate_reduce, lag_correlation, ols_fit, resample_mean, sublocation_means, window_mean_replace
 from tidewell.operators.align import align_outer, series_arith, value_asof
 from tidewell.operators.chunks import DEFAULT_SECONDS, attach, prev, scan
 from tidewell.operators.checks import require_empty
-from tidewell.operators.filters import clip, mask_range
-from tidewell.operators.grid import asfreq, disaggregate, ingest_policy_column, regularize, resample_interp
+from tidewell.operators.filters import mask_range
+from tidewell.operators.grid import disaggregate, regularize, resample_interp
 from tidewell.operators.merge import dedupe, fill_from, merge_shards, ts_blend, ts_merge, ts_splice
 from tidewell.operators.windows import active_ffill, cumulative_level, gaussian_smooth, interpolate, subtidal_split
 from tidewell.plans.catalog import enrich_meta, min_rows_filter
 from tidewell.sources.shards import live_shards
-from tidewell.schema import MICROS, from_micros, micros, ntz
+from tidewell.schema import MICROS, from_micros, micros
 
 
 def _filled(df, keys, limit=None, seconds=DEFAULT_SECONDS):

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewell.operators.aggs import series_decimals
 from tidewell.operators.chunks import DEFAULT_SECONDS
 from tidewell.operators.filters import slice_time
 from tidewell.operators.grid import freq_choice, infer_freq, resolve_freq
