@@ -40,13 +40,12 @@ from pyspark.sql import DataFrame, functions as F
 from tidewell.llm.bytehash import Rolling, U, joined, mix, slabs
 from tidewell.llm.graph import components
 from tidewell.llm.tables import written
-from tidewell.session import stage
 
-BLOCK_BYTES = 8 << 20  # text of a block
-BUCKET_SHINGLES = 4 << 20  # hashes a bucket counts at once
+BLOCK_BYTES = 4 << 20  # text of a block
+BUCKET_SHINGLES = 2 << 20  # hashes a bucket counts at once
 CELL_ROWS = 4096  # rows of a list that one cell holds of either side
 GROUP_ROWS = 100_000  # rows of short lists that are worked on together
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 18
 SLAB = 1 << 20
 
 
@@ -273,7 +272,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     able = every.filter(F.col("sig").isNotNull())
     first = able.groupBy("sig", "n").agg(F.min("k").alias("rep"))  # equal sets are one set
     sets = able.join(first.select(F.col("rep").alias("k"), "sig"), ["k", "sig"], "left_semi").dropDuplicates(["k", "sig"])
-    lists = stage(_postings(sets, percent))
+    lists = written(_postings(sets, percent), "lists")
     bodies = sets.select("k", "n", "body")
 
     # the leader of a set: the first set of the most of its lists
@@ -284,7 +283,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     asked = (led.join(bodies.select(F.col("k"), F.col("n").alias("nb"), F.col("body").alias("y")), "k")
              .join(bodies.select(F.col("k").alias("leader"), F.col("n").alias("na"), F.col("body").alias("x")), "leader")
              .select(F.col("leader").alias("a"), F.col("k").alias("b"), "na", "nb", "x", "y"))
-    answers = stage(asked.mapInArrow(_compare_sets, f"a {kind}, b {kind}, na int, nb int, o int, minus binary, plus binary"))
+    answers = written(asked.mapInArrow(_compare_sets, f"a {kind}, b {kind}, na int, nb int, o int, minus binary, plus binary"), "answers")
     links_of = lambda d: d.filter(F.col("o").cast("long") * (100 + percent) >= (F.col("na") + F.col("nb")).cast("long") * percent).select("a", "b")
     near_links = links_of(answers)
     so_far = components(near_links, "a", "b")
@@ -293,7 +292,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     known = answers.select(F.col("b").alias("k"), F.col("a").alias("leader"), "o", F.col("na").alias("nl"))
     lists2 = (lists.join(so_far.withColumnRenamed("id", "k"), "k", "left").join(known, "k", "left")
               .select("token", "k", "n", "pos", F.coalesce("component", "k").alias("comp"), F.coalesce("leader", "k").alias("leader"), F.coalesce("o", "n").alias("o"), F.coalesce("nl", "n").alias("nl")))
-    lists2 = stage(lists2)
+    lists2 = written(lists2, "open")
     open_lists = lists2.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
     chunks = F.ceil(F.col("m") / CELL_ROWS).cast("int")
     # every pair of chunks of a list is one cell; a row goes to the cells of its chunk
@@ -301,7 +300,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
     groups = max(1, math.ceil((open_lists.agg(F.sum(F.col("m") * chunks)).first()[0] or 0) / GROUP_ROWS))
     dealt = dealt.withColumn("g", F.pmod(F.xxhash64("token", "i", "j"), F.lit(groups))).drop("other")
-    pairs = stage(dealt.groupBy("g").applyInPandas(_cells(percent), f"a {kind}, b {kind}, na int, nb int, kind int").filter("a != b").distinct())
+    pairs = written(dealt.groupBy("g").applyInPandas(_cells(percent), f"a {kind}, b {kind}, na int, nb int, kind int").filter("a != b").distinct(), "pairs")
     diffs = answers.select(F.col("b").alias("k"), "minus", "plus", F.col("na").alias("nl")).unionByName(
         sets.select("k", F.lit(b"").alias("minus"), F.lit(b"").alias("plus"), F.col("n").alias("nl")).join(answers.select(F.col("b").alias("k")), "k", "left_anti"))
     by_diff = (pairs.filter("kind = 1").join(diffs.select(F.col("k").alias("a"), F.col("minus").alias("minus_a"), F.col("plus").alias("plus_a"), "nl"), "a")
