@@ -38,9 +38,11 @@ def test_places_cross_blocks_and_count_once(spark):
 
 
 def test_nulls_repeats_long_and_empty(spark):
-    texts = [(1, None), (2, ""), (None, "cc by nc"), (3, "cc by nc"), (3, "cc by nc"), (4, "x " * 100_000 + "cc by nc")]
+    texts = [(1, None), (2, ""), (None, "cc by nc"), (3, "cc by nc"), (3, "cc by nc"), (4, "x " * 2_000 + "cc by nc")]
     got, want = both(spark, texts)
     assert got == want and [r[2] for r in got] == [1, 0, 0, 1, 1, 1]
+    long = ls.scan(spark.createDataFrame([(1, "x " * 200_000 + "cc by nc")], "doc_id long, text string")).first()
+    assert (long.n_words, long.first_word, long.labels) == (200_003, 200_000, "cc-by-nc")
     d = spark.createDataFrame([(1, "cc by nc", "x", 5)], "doc_id long, text string, labels string, p int")
     assert ls.scan(d).columns == COLUMNS and ls.scan(d).first().labels == "cc-by-nc"
     assert ls.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -130,9 +130,10 @@ def _fit(cand: DataFrame, queries: DataFrame, largest: float, normals: np.ndarra
 def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding", *, query: F.Column | None = None, k: int = 20, trees: int = 32, recall: float = 0.95, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k rows with the largest inner product found for
     each query (rows where `query` holds; all, if none is given)."""
-    rows = vectors.filter(F.col(id_col).isNotNull() & usable(column)).select(F.col(id_col).cast("long").alias("id"), F.col(column).cast("array<float>").alias("v"), (F.lit(True) if query is None else query).alias("asks"))
+    rows = vectors.filter(F.col(id_col).isNotNull() & usable(column)).select(F.col(id_col).cast("long").alias("id"), F.col(column).alias("v"), (F.lit(True) if query is None else query).alias("asks"))
     rows = written(rows.dropDuplicates(["id"]), "vectors")
     spark = vectors.sparkSession
+    kind = np.float32 if rows.schema["v"].dataType.elementType.simpleString() == "float" else np.float64  # vectors travel as they are stored
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shape = rows.agg(F.max(F.size("v")), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))).first()
     if shape[0] is None or not rows.filter("asks").head(1):
@@ -151,7 +152,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
                     part = b.slice(x, 500)
                     v = matrix(part.column("v"))
                     c = codes(lifted(v, norm), normals, trees)
-                    body = pa.array(packed(v.astype(np.float32)), pa.binary())
+                    body = pa.array(packed(v.astype(kind)), pa.binary())
                     for t in range(trees):
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), t, np.int32)), part.column("id"), pa.array(c[:, t]), body], names=["tree", "id", "code", "body"])
         return run
@@ -186,7 +187,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
         code = left.column("code").to_numpy()
         order = np.argsort(code, kind="stable")
         code, cid = code[order], left.column("id").to_numpy()[order]
-        c, q = unpacked(left.column("body"))[order] if len(code) else np.empty((0, 0)), unpacked(right.column("body"))
+        c, q = unpacked(left.column("body"), kind)[order] if len(code) else np.empty((0, 0)), unpacked(right.column("body"), kind)
         qid, qcode, lev = (right.column(n).to_numpy() for n in ("id", "code", "level"))
         lev = np.maximum(lev, depth)  # a shorter prefix covers the whole shard
         low = qcode >> (BITS - lev) << (BITS - lev)

@@ -29,6 +29,6 @@ def packed(m: np.ndarray) -> list[bytes]:
     return [r.tobytes() for r in np.ascontiguousarray(m)]
 
 
-def unpacked(column: pa.ChunkedArray) -> np.ndarray:
+def unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.float32).reshape(len(rows), -1).astype(np.float64) if rows else np.empty((0, 0))
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(np.float64) if rows else np.empty((0, 0))
