@@ -69,6 +69,42 @@ def _(spark, sf):
     return rounded(d, "value")
 
 
+def _interpolated(src: str, dst: str, limit: int | None = None) -> str:
+    """SQL of linear gap filling by position, the last value held at the end."""
+    ahead = f"OVER ({WH} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    near = f"pos - pa <= {limit}" if limit else "true"
+    return f"""{dst}_n AS (SELECT *, row_number() OVER ({WH}) AS pos FROM {src}),
+{dst}_f AS (SELECT *, last_value(value IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS a, last_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS pa,
+ first_value(value IGNORE NULLS) {ahead} AS b, first_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) {ahead} AS pb FROM {dst}_n),
+{dst} AS (SELECT station, param, ts, coalesce(value, CASE WHEN {near} THEN coalesce(a + (b - a) * (pos - pa) / (pb - pa), a) END) AS value FROM {dst}_f)"""
+
+
+@query("prd4_prepared_flow", f"""WITH {HOURLY}, d0 AS (SELECT station, param, ts, CASE WHEN hour(ts) <> 5 THEN value * 3 + 500 END AS value FROM hourly), {_interpolated("d0", "d1", 20)},
+tap AS (SELECT j, (CASE WHEN j = 0 THEN 1 ELSE sin(pi() * 2 * j / 40.0) / (pi() * 2 * j / 40.0) END) * (CASE WHEN j = 0 THEN 1 ELSE sin(pi() * j / 61.0) / (pi() * j / 61.0) END) AS w0 FROM range(-60, 61) t(j)),
+tapn AS (SELECT j, w0 / (SELECT sum(w0) FROM tap) AS w FROM tap),
+d2 AS (SELECT a.station, a.param, a.ts, CASE WHEN count(b.value) = 121 THEN sum(b.value * w) END AS value FROM d1 a CROSS JOIN tapn LEFT JOIN d1 b ON b.station = a.station AND b.param = a.param AND b.ts = a.ts + to_hours(j) GROUP BY ALL),
+{_interpolated("d2", "d3")}, {_interpolated("hourly", "t1")},
+df AS (SELECT d3.station, d3.param, d3.ts - INTERVAL 3 HOUR AS ts, d3.value - t1.value AS value FROM d3 JOIN t1 USING (station, param, ts)), {_interpolated("df", "d4", 4)}
+SELECT station, param, ts, round(value, 5) AS value FROM d4""")
+def _(spark, sf):
+    h = hourly(spark, sf)
+    down = h.withColumn("value", F.when(F.hour("ts") != 5, F.col("value") * 3 + 500))
+    d = P.prepared_flow_difference(down, h, K, 3600, seconds=width(spark, sf), strict=False)
+    return d.withColumn("value", F.round("value", 5))
+
+
+@query("prd8_fill_flows", f"""WITH {HOURLY}, own AS (SELECT station, param, ts, CASE WHEN hour(ts) % 6 < 3 THEN value * 60 END AS value FROM hourly), oth AS (SELECT station, param, ts, value * 50 AS value FROM hourly WHERE hour(ts) % 4 = 1),
+c0 AS (SELECT own.station, own.param, own.ts, coalesce(own.value, oth.value - 200) AS value FROM own LEFT JOIN oth USING (station, param, ts)), {_interpolated("c0", "c1", 20)},
+t0 AS (SELECT own.station, own.param, own.ts, coalesce(own.value, oth.value) AS value FROM own LEFT JOIN oth USING (station, param, ts)), {_interpolated("t0", "t1")}
+SELECT station, param, ts, round(c1.value, 6) AS channel, round(t1.value, 6) AS total FROM c1 JOIN t1 USING (station, param, ts)""")
+def _(spark, sf):
+    h, w = hourly(spark, sf), width(spark, sf)
+    own = h.withColumn("value", F.when(F.hour("ts") % 6 < 3, F.col("value") * 60))
+    other = h.filter(F.hour("ts") % 4 == 1).withColumn("value", F.col("value") * 50)
+    c = P.fill_channel_flow(own, other, K, seconds=w).withColumnRenamed("value", "channel")
+    return rounded(c.join(P.fill_total_flow(own, other, K, w).withColumnRenamed("value", "total"), [*K, "ts"]), "channel", "total")
+
+
 @query("prd5_daily_to_fine", f"""WITH {DAILY}, dg AS (SELECT station, param, unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) AS ts FROM daily GROUP BY station, param),
 n5 AS (SELECT station, param, ts, d.value, row_number() OVER (PARTITION BY station, param ORDER BY ts) AS pos, CASE WHEN station < '3' THEN 1 ELSE 4 END AS lim, CASE WHEN station < '3' THEN 10.0 ELSE 0.0 END::DOUBLE AS k FROM dg LEFT JOIN daily d USING (station, param, ts)),
 g5 AS (SELECT *, last_value(value IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS a, last_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS pa,

@@ -117,9 +117,9 @@ CONFIG = {
 }
 
 
-def contexts(spark, sf):
-    rows = obs(spark, sf).select(*K).distinct().orderBy(*K).collect()  # the inventory: one row per series
-    return [(r.station, r.param, "delta" if r.station == "view" else "default") for r in rows]
+def inventory(spark, sf):
+    """One row per series."""
+    return obs(spark, sf).select(*K).distinct().withColumn("region", F.when(F.col("station") == "view", "delta").otherwise("default"))
 
 
 @query("scr10_resolve_protocol", f"""WITH {OBS}, k AS (SELECT DISTINCT station, param FROM obs)
@@ -127,8 +127,7 @@ SELECT station, param, CASE WHEN station = 'signup' AND param = 'p1' THEN 'bound
  WHEN param = 'p2' AND station = 'view' THEN 'bounds_test,short_run_test,median_test_twoside' ELSE 'bounds_test,short_run_test,repeat_test,median_test_twoside' END AS steps,
  CASE WHEN station = 'signup' AND param = 'p1' THEN '[0.0, 50.0]' WHEN param = 'p1' THEN '[5.0, 90.0]' ELSE '[1.0, 140.0]' END AS bounds FROM k""")
 def _(spark, sf):
-    t = S.protocol_table(spark, CONFIG, contexts(spark, sf))
-    t = obs(spark, sf).select(*K).distinct().join(t, K)
+    t = S.protocol_table(spark, CONFIG, inventory(spark, sf))
     return t.groupBy(*K).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))), lambda x: x["label"]), ",").alias("steps"),
                              F.max(F.col("args")["bounds"]).alias("bounds"))
 
@@ -140,7 +139,7 @@ _BY_SERIES = _SCREEN.split(",\nflagged AS")[0].replace("value BETWEEN 1 AND 140"
 @query("scr11_auto_screen", f"""WITH {_BY_SERIES} SELECT station, param, ts, value, CASE WHEN bounds_test OR (short_run_test AND NOT {_SP1}) OR (repeat_test AND NOT {_SP1} AND NOT (station = 'view' AND param = 'p2'))
  OR (median_test_twoside AND param <> 'p1') THEN CAST(1 AS TINYINT) END AS user_flag FROM scr""")
 def _(spark, sf):
-    return S.auto_screen(hourly(spark, sf), CONFIG, contexts(spark, sf), seconds=width(spark, sf))
+    return S.auto_screen(hourly(spark, sf), CONFIG, inventory(spark, sf), seconds=width(spark, sf))
 
 
 @query("scr12_apply_flags", f"WITH {OBS} SELECT station, param, ts, seq, CASE WHEN seq % 9 = 0 THEN NULL ELSE value END AS value FROM obs")

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 QS, SQL = load()
 FAST = [n for n in SQL if n.split("_")[0] in {
     "flt3", "flt5", "agg1", "agg3", "agg11", "win1", "win5", "win11", "tim2", "tim4", "mrg1", "mrg2", "mrg3", "mrg4", "set2", "join6", "join8", "join13",
-    "scr2", "rec3", "rec10", "cat1", "cat7", "src3", "src10", "fn2", "fn8", "prd10"}]
+    "scr2", "rec3", "rec10", "cat1", "cat7", "src3", "src10", "fn2", "fn8", "prd10", "tim9", "tim10", "scr10", "scr11", "prd4", "prd8", "cat13", "rec15", "src1"}]
 
 
 @pytest.fixture(scope="module")

@@ -91,10 +91,22 @@ def test_inventory_equals_one_screen_per_series(spark):
         "b": {"params": {"p": {"inherits_global": True, "omit_steps": ["short_run_test"], "modify_steps": [{"method": "bounds_test", "args": {"bounds": [-1, 4]}}]}}},
         "c": {"params": {"p": {"inherits_global": False, "steps": [{"method": "bounds_test", "args": {"bounds": [0, 2]}}]}}}}}
     K2 = ["station", "param"]
-    got = S.auto_screen(d, cfg, [(x, "p", "default") for x in "abc"], seconds=13 * 3600).toPandas().sort_values(["station", "ts"])
+    inventory = spark.createDataFrame([(x, "p", "default") for x in "abc"], "station string, param string, region string")
+    got = S.auto_screen(d, cfg, inventory, seconds=13 * 3600).toPandas().sort_values(["station", "ts"])
     for x in "abc":
         one = S.screen(d.filter(F.col("station") == x), K2, S.resolve_protocol(cfg, x, "p"), labels=False).toPandas().sort_values("ts")
         a, b = got[got.station == x].user_flag.fillna(-1).tolist(), one.user_flag.fillna(-1).tolist()
         assert a == b and 1 in a
-    shared, _ = S.step_uses(cfg, [(x, "p", "default") for x in "aabbc"])
-    assert len(shared) == 4 + 3 + 1
+    shared, members = S.step_uses(cfg)
+    assert len(shared) == 4 + 3 + 1 and len(members) == 4  # of the configuration, not of the inventory
+
+
+def test_protocol_table_equals_each_cascade(spark):
+    step = lambda m: {"method": "bounds_test", "label": m, "args": {"bounds": [0, 1]}}
+    cfg = {"defaults": {"global": {"steps": [step("g")]}, "params": {"ec": {"inherits_global": True, "add_steps": [step("ec")]}}},
+           "regions": {"delta": {"params": {"flow": {"inherits_global": True, "add_steps": [step("delta")]}}}},
+           "stations": {"x": {"params": {"flow": {"inherits_global": True, "add_steps": [step("x")]}, "temp": {"inherits_global": False, "steps": [step("t")]}}}}}
+    rows = [(s, p, r) for s in ("x", "y") for p in ("ec", "flow", "temp", "elev") for r in ("delta", "bay")]
+    t = S.protocol_table(spark, cfg, spark.createDataFrame(rows, "station string, param string, region string")).collect()
+    for at in rows:
+        assert [r.label for r in sorted(t, key=lambda r: r.ord) if (r.station, r.param, r.region) == at] == [S.label_of(s) for s in S.resolve_protocol(cfg, *at)]

@@ -221,51 +221,74 @@ def resolve_protocol(config: dict, station: str, param: str, region: str = "defa
     return steps
 
 
-def protocol_table(spark, config: dict, contexts: list[tuple[str, str, str]]) -> DataFrame:
-    """SCR-10 as a table: one row per step of each (station, param, region).
-    The configuration is small and lives on the driver."""
+ANY = "*"
+
+
+def protocols(config: dict) -> list[tuple[str, str, str, list[dict]]]:
+    """SCR-10.  Every protocol that the configuration can give, by (station, param,
+    region) with ``*`` for names it does not mention together.  As many as the
+    configuration has entries, whatever the inventory."""
+    regions = {(r, p) for r, v in config.get("regions", {}).items() for p in v.get("params", {})}
+    stations = {(st, p) for st, v in config.get("stations", {}).items() for p in v.get("params", {})}
+    params = {*config["defaults"].get("params", {}), *(p for _, p in regions), *(p for _, p in stations)}
+    places = [(st, p, rg) for p in params for st in [ANY, *(x for x, q in stations if q == p)] for rg in [ANY, *(x for x, q in regions if q == p)]]
+    return [(*at, resolve_protocol(config, *at)) for at in sorted({(ANY, ANY, ANY), *places})]
+
+
+def placed_inventory(inventory: DataFrame, config: dict) -> DataFrame:
+    """Inventory rows (station, param, region) with the key of their protocol."""
+    known = protocols(config)
+    text = lambda parts: F.concat_ws("|", *[F.col(c) for c in parts])
+    named = lambda pairs, c, by: F.when(F.array_contains(F.array(*map(F.lit, sorted(pairs))) if pairs else F.array().cast("array<string>"), by), F.col(c)).otherwise(ANY)
+    return inventory.select(
+        "*", named({f"{st}|{p}" for st, p, _, _ in known}, "station", text(["station", "param"])).alias("__s"),
+        named({p for _, p, _, _ in known}, "param", F.col("param")).alias("__p"),
+        named({f"{rg}|{p}" for _, p, rg, _ in known}, "region", text(["region", "param"])).alias("__r"))
+
+
+def protocol_table(spark, config: dict, inventory: DataFrame) -> DataFrame:
+    """SCR-10 as a table: one row per step of each series of the inventory
+    (station, param, region).  The table of protocols is as small as the configuration."""
     rows = [(st, p, rg, i, s["method"], label_of(s), bool(s.get("apply_immediately")), {k: str(v) for k, v in s.get("args", {}).items()})
-            for st, p, rg in contexts for i, s in enumerate(resolve_protocol(config, st, p, rg))]
-    return spark.createDataFrame(rows, "station string, param string, region string, ord int, method string, label string, apply_immediately boolean, args map<string,string>")
+            for st, p, rg, steps in protocols(config) for i, s in enumerate(steps)]
+    table = spark.createDataFrame(rows, "__s string, __p string, __r string, ord int, method string, label string, apply_immediately boolean, args map<string,string>")
+    return placed_inventory(inventory, config).join(F.broadcast(table), ["__s", "__p", "__r"]).drop("__s", "__p", "__r")
 
 
-def step_uses(config: dict, contexts: list[tuple[str, str, str]]) -> tuple[list[tuple[dict, int]], list[tuple[str, str, list[int]]]]:
-    """Distinct (step, phase) over all series, and the ids each series uses.
+def step_uses(config: dict) -> tuple[list[tuple[dict, int]], list[tuple[str, str, str, list[int]]]]:
+    """Distinct (step, phase) over all protocols, and the ids each protocol uses.
 
     The phase of a step is the number of immediate steps before it: steps of one
     phase see the same values, so a step that many protocols share runs once."""
     ids: dict[str, int] = {}
     steps: list[tuple[dict, int]] = []
     members = []
-    for station, param, region in contexts:
+    for *at, protocol in protocols(config):
         phase, mine = 0, []
-        for step in resolve_protocol(config, station, param, region):
+        for step in protocol:
             key = f"{phase}{step!r}"
             if key not in ids:
                 ids[key] = len(steps)
                 steps.append((step, phase))
             mine.append(ids[key])
             phase += bool(step.get("apply_immediately"))
-        members.append((station, param, mine))
+        members.append((*at, mine))
     return steps, members
 
 
-MEMBERS_BROADCAST = 200_000
-
-
-def auto_screen(df, config: dict, contexts: list[tuple[str, str, str]], keys=("station", "param"), seconds=DEFAULT_SECONDS) -> DataFrame:
+def auto_screen(df, config: dict, inventory: DataFrame, keys=("station", "param"), seconds=DEFAULT_SECONDS) -> DataFrame:
     """SCR-11.  Screen every series of the inventory: (keys, ts, value, user_flag).
 
-    ``contexts`` are the (station, param, region) rows of the inventory, a small
-    table.  The plan has one test per distinct step, whatever the number of series
-    and protocols.  Bounds are tested in the row; the other tests give their few
-    hits, which meet the rows in one join."""
-    steps, members = step_uses(config, contexts)
+    ``inventory`` has the rows (station, param, region); a series meets its
+    protocol by a join, so it may have any length.  The plan has one test per
+    distinct step, whatever the number of series and protocols.  Bounds are tested
+    in the row; the other tests give their few hits, which meet the rows in one join."""
+    steps, members = step_uses(config)
     unknown = [s["method"] for s, _ in steps if s["method"] not in METHODS]
     if unknown:
         raise ValueError(f"unknown screening methods {unknown}")
-    m = df.sparkSession.createDataFrame(members, "station string, param string, __use array<int>")
-    m = F.broadcast(m) if len(members) <= MEMBERS_BROADCAST else m
+    table = df.sparkSession.createDataFrame(members, "__s string, __p string, __r string, __use array<int>")
+    m = placed_inventory(inventory, config).join(F.broadcast(table), ["__s", "__p", "__r"]).select("station", "param", "__use").dropDuplicates(["station", "param"])
     work = df.select(*keys, "ts", "value").join(m, ["station", "param"]).withColumn("__raw", F.col("value")).withColumn("__row", F.lit(False))
     hits: list[DataFrame] = []
     uses = lambda i: F.array_contains("__use", i)

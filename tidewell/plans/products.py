@@ -12,7 +12,7 @@ from tidewell.operators.checks import require_empty
 from tidewell.operators.filters import mask_range
 from tidewell.operators.grid import disaggregate, regularize, resample_interp
 from tidewell.operators.merge import dedupe, fill_from, merge_shards, ts_blend, ts_merge, ts_splice
-from tidewell.operators.windows import active_ffill, cumulative_level, gaussian_smooth, interpolate, subtidal_split
+from tidewell.operators.windows import active_ffill, cumulative_level, gaussian_smooth, interpolate, lowpass, subtidal_split
 from tidewell.plans.catalog import enrich_meta, min_rows_filter
 from tidewell.sources.shards import live_shards
 from tidewell.schema import MICROS, from_micros, micros
@@ -61,6 +61,33 @@ def flow_difference(down, tributary, keys, shift_seconds=-3 * 3600, limit=4, sec
     return _filled(moved, keys, limit, seconds)
 
 
+def prepared_flow_difference(down, tributary, keys, step_seconds: int, cutoff_seconds=40 * 3600, pre_limit=20, shift_seconds=-3 * 3600, limit=4,
+                             seconds=DEFAULT_SECONDS, strict=True) -> DataFrame:
+    """PRD-4 from measured series: short gaps of the downstream flow filled, its
+    tide taken out, what the filter leaves open interpolated; the tributary
+    interpolated; then the difference."""
+    level = lowpass(_filled(down, keys, pre_limit, seconds), keys, step_seconds, cutoff_seconds).select(*keys, "ts", F.col("filtered").alias("value"))
+    return flow_difference(_filled(level, keys, seconds=seconds), _filled(tributary, keys, seconds=seconds), keys, shift_seconds, limit, seconds, strict)
+
+
+def fill_total_flow(total, estimate, keys, seconds=DEFAULT_SECONDS) -> DataFrame:
+    """PRD-8.  Gaps of the total from a second estimate at its times, the rest interpolated."""
+    return _filled(_from_other(total, estimate, keys), keys, seconds=seconds)
+
+
+def fill_channel_flow(channel, neighbour, keys, offset=-200.0, limit=20, seconds=DEFAULT_SECONDS) -> DataFrame:
+    """PRD-8.  Gaps of the channel from its neighbour plus an offset, short rests interpolated."""
+    return _filled(_from_other(channel, neighbour.withColumn("value", F.col("value") + offset), keys), keys, limit, seconds)
+
+
+def _from_other(own, other, keys) -> DataFrame:
+    """Missing values at the times of ``own`` from the other series."""
+    tagged = own.select(*keys, "ts", F.struct("value").alias("own"), F.lit(None).cast("double").alias("other")).unionByName(
+        other.select(*keys, "ts", F.lit(None).cast("struct<value: double>").alias("own"), F.col("value").cast("double").alias("other")))
+    at = tagged.groupBy(*keys, "ts").agg(F.max("own").alias("own"), F.max("other").alias("other"))
+    return at.filter("own IS NOT NULL").select(*keys, "ts", F.coalesce(F.col("own")["value"], "other").alias("value"))
+
+
 def daily_to_fine_flow(daily, params, keys, period_seconds: int, step_seconds: int, seconds=DEFAULT_SECONDS) -> DataFrame:
     """PRD-5.  All daily stations at once.  ``params``: keys, limit_rows, add,
     subtract, low, high.  Fill gaps of up to ``limit_rows``, add, disaggregate,

@@ -18,6 +18,8 @@ SETTINGS = {
     # a union of placed branches is not zipped by partition: adaptive execution may
     # coalesce them to different numbers of partitions
     "spark.sql.unionOutputPartitioning": "false",
+    # rows that Python holds at once: texts are long, and two workers share an executor
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -38,7 +40,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that results depend on, for a session made elsewhere.  Clock
     arithmetic runs on naive timestamps, so the session clock is UTC."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.unionOutputPartitioning"):
+    for k in ("spark.sql.session.timeZone", "spark.sql.unionOutputPartitioning", "spark.sql.execution.arrow.maxRecordsPerBatch"):
         spark.conf.set(k, SETTINGS[k])
     ship(spark)
     return spark
