@@ -200,12 +200,12 @@ def copied_windows(rows: DataFrame, length: int, keep: str, n_blocks: int) -> Da
     kind = rows.schema["k"].dataType.simpleString()
     block = F.pmod(F.xxhash64("k"), F.lit(n_blocks)).alias("block")
     runs = rows.select("k", "r", "t").mapInArrow(_find_runs(length), f"k {kind}, r long, s long, size int, kh long, ch long")
-    anchors = runs.groupBy("kh").agg(F.count("*").alias("total")).filter("total > 1").select("kh")
+    # written first, like the counts below: a join with no aggregate above its exchange is split at a hot anchor
+    anchors = written(runs.groupBy("kh").agg(F.count("*").alias("total")).filter("total > 1").select("kh"), "anchors")
     live = written(runs.join(anchors, "kh"), "runs")
     kinds = live.groupBy("kh", "ch").agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "s", "size")).alias("rep"))
     kinds = written(kinds, "counted")
     shared = kinds.groupBy("kh").agg(F.count("*").alias("c"), F.count(F.when(F.col("n") == 1, 1)).alias("singles"))
-    # written first, so that the join has no aggregate above its exchange and a hot anchor is split
     kinds = written(kinds.join(written(shared, "shared"), "kh"), "kinds")
     # equal contexts: all, or all but the first, are copies
     same = live.join(kinds.filter("n > 1").select("kh", "ch", "rep"), ["kh", "ch"])
