@@ -23,7 +23,7 @@ def folder(spark):
         if i % 5 == 0:
             for _ in range(4):
                 t = t.replace(" ", " grumpf ", 1) if rng.random() < 0.5 else f"{t} zortling"
-        elif i % 5 == 1 and docs:
+        elif i % 5 == 4:
             w = docs[-1][1].split(" ")
             w[3] = word()
             t = " ".join(w)

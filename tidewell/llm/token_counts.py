@@ -76,12 +76,12 @@ def section_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
             texts = [separator.join(p) for p in rows]
             for x, y in slabs(texts, CHARS):
                 at, number, start, size, n, crossed = [], [], [], [], [], []
-                for i in range(x, y):
+                for i, spans in zip(range(x, y), t.offsets_all(texts[x:y]), strict=True):
                     if fields:
                         cuts = np.cumsum([0, *(len(f) + len(separator) for f in rows[i][:-1])])
                     else:
                         cuts = np.array(line_starts(texts[i]))
-                    to, crossing = allocate(t.offsets(texts[i]), cuts, rule)
+                    to, crossing = allocate(spans, cuts, rule)
                     at.append(np.full(len(cuts), i))
                     number.append(np.arange(len(cuts)))
                     start.append(cuts)

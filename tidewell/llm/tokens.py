@@ -13,17 +13,21 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 
-PIECE = re.compile("[ ]?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
-UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+from tidewell.llm.bytehash import Rolling, U, joined, slabs
+
+UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 UNUSUAL_ASCII = re.compile("[\x1c-\x1f]")
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 WORD = re.compile(f"^( ?[{LETTERS}]+)([.,;:!?]*)$")
 BARE = re.compile(f"^ ?([{LETTERS}]+)([.,;:!?]*)$")
-PIECES_KEPT = 600_000
+PIECES_KEPT = 500_000  # about 70 MB a worker
+SLAB = 1 << 20
+CHARS = 1 << 22  # text that is encoded at once
 
 
 def _byte_letters() -> dict[int, int]:
@@ -51,6 +55,112 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def cut(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the pieces of some texts in one buffer, in order.
+
+    A run without white space takes the one space before it.  Of white space before a
+    word, what is left but its last sign is a piece, and the last if it is no space;
+    at the end of a text white space is one piece."""
+    n = len(data)
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.zeros(n + 1, bool)
+    edge[starts] = True
+    edge[1:n] |= space[1:] != space[:-1]
+    at = np.flatnonzero(edge)
+    begin, end = at[:-1], at[1:]
+    blank = space[begin]
+    last_of_text = np.zeros(n + 1, bool)
+    last_of_text[starts] = True
+    word_b, word_e = begin[~blank], end[~blank]
+    inner = np.ones(n + 1, bool)  # not the first byte of a text
+    inner[starts] = False
+    word_b = word_b - (inner[word_b] & (data[np.maximum(word_b - 1, 0)] == 32))
+    run_b, run_e = begin[blank], end[blank]
+    closing = last_of_text[run_e]
+    lead_e = np.where(closing, run_e, run_e - 1)
+    lead = lead_e > run_b
+    odd = ~closing & (data[run_e - 1] != 32)
+    b = np.concatenate([word_b, run_b[lead], run_e[odd] - 1])
+    e = np.concatenate([word_e, lead_e[lead], run_e[odd]])
+    order = np.argsort(b, kind="stable")
+    return b[order], e[order]
+
+
+class Pieces:
+    """What has been made of pieces: rows of numbers, found by the hash of the piece."""
+
+    def __init__(self, make: Callable[[str], list], width: int):
+        self.make, self.width = make, width
+        self.clear()
+
+    def clear(self) -> None:
+        self.bits = 16
+        self.keys, self.at = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int64)
+        self.known = np.empty(0, U)
+        self.count, self.first = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.rows = np.empty((1024, self.width), np.int32)
+        self.used = 0
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each piece, -1 where it is not known."""
+        out = np.full(len(h), -1, np.int64)
+        slot, open_ = (h >> U(64 - self.bits)).astype(np.int64), np.arange(len(h))
+        while len(open_):
+            k = self.keys[slot]
+            hit = k == h[open_]
+            out[open_[hit]] = self.at[slot[hit]]
+            on = ~hit & (k != 0)
+            open_, slot = open_[on], (slot[on] + 1) & (len(self.keys) - 1)
+        return out
+
+    def _place(self, h: np.ndarray, number: np.ndarray) -> None:
+        slot = (h >> U(64 - self.bits)).astype(np.int64)
+        while len(h):
+            free = self.keys[slot] == 0
+            _, first = np.unique(np.where(free, slot, -1 - np.arange(len(h))), return_index=True)
+            take = first[free[first]]
+            self.keys[slot[take]], self.at[slot[take]] = h[take], number[take]
+            left = np.ones(len(h), bool)
+            left[take] = False
+            h, number, slot = h[left], number[left], (slot[left] + 1) & (len(self.keys) - 1)
+
+    def _learn(self, h: np.ndarray, pieces: list[str]) -> None:
+        made = [self.make(p) for p in pieces]
+        count = np.fromiter(map(len, made), np.int64, len(made)) // self.width
+        flat = np.fromiter(chain.from_iterable(made), np.int32, int(count.sum()) * self.width).reshape(-1, self.width)
+        if self.used + len(flat) > len(self.rows):
+            self.rows = np.concatenate([self.rows[: self.used], np.empty((max(len(flat), self.used), self.width), np.int32)])
+        self.rows[self.used: self.used + len(flat)] = flat
+        self.first = np.r_[self.first, self.used + np.cumsum(count) - count]
+        self.count = np.r_[self.count, count]
+        self.used += len(flat)
+        number = len(self.known) + np.arange(len(h))
+        self.known = np.r_[self.known, h]
+        if 2 * len(self.known) > len(self.keys):
+            while 3 * len(self.known) > len(self.keys):
+                self.bits += 1
+                self.keys = np.empty(1 << self.bits, U)
+            self.keys, self.at = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int64)
+            h, number = self.known, np.arange(len(self.known))
+        self._place(h, number)
+
+    def of(self, data: bytes, begin: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the pieces one after the other, and how many each has."""
+        if len(self.known) > PIECES_KEPT:
+            self.clear()
+        number = self._find(h)
+        miss = np.flatnonzero(number < 0)
+        if len(miss):
+            fresh, place = np.unique(h[miss], return_index=True)
+            at = miss[place]
+            self._learn(fresh, [data[b:e].decode() for b, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)])
+            number[miss] = self._find(h[miss])
+        count = self.count[number]
+        total = np.cumsum(count)
+        take = np.repeat(self.first[number] - (total - count), count) + np.arange(total[-1] if len(total) else 0)
+        return self.rows[take], count
+
+
 class Encoder:
     """A tokenizer with the pieces it has met in this task."""
 
@@ -58,70 +168,81 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         kind = str(self.tokenizer.pre_tokenizer)
         # both tokenizers used here cut words from signs; one keeps the space before a word, one drops it
         self.simple = WORD if self.tokenizer.normalizer is None and kind.startswith("ByteLevel(") else BARE if "Removed" in kind or "removed" in kind else None
-        self.ids: dict[str, bytes] = {}
-        self.spans: dict[str, tuple[bytes, int]] = {}
+        self.ids = Pieces(self._ids_of, 1)
+        self.spans = Pieces(self._spans_of, 2)
 
     def whole(self, text: str) -> bool:
         return any(t in text for t in self.added) or bool((UNUSUAL_ASCII if text.isascii() else UNUSUAL).search(text))
 
-    def _pieces(self, text: str, known: dict) -> list[str]:
-        found = PIECE.findall(text)
-        if len(known) > PIECES_KEPT:
-            known.clear()
-        fresh = [p for p in set(found) if p not in known]
-        if fresh:
-            self._learn(fresh, known)
-        return found
-
-    def _learn(self, fresh: list[str], known: dict) -> None:
-        if known is self.spans:
-            for p, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.offsets, np.int64).tobytes(), len(e)
-            return
-        left = []
-        tokenize, simple = self.tokenizer.model.tokenize, self.simple
-        for p in fresh:
-            m = simple.match(p) if simple else None
-            if m is None:
-                left.append(p)
-                continue
+    def _ids_of(self, piece: str) -> list[int]:
+        plain = piece[piece.startswith(" "):]
+        if self.simple and plain.isascii() and plain.isalpha():
+            return [t.id for t in self.tokenize(plain.lower() if self.simple is BARE else _shown(piece))]
+        m = self.simple.match(piece) if self.simple else None
+        if m:
             # a word and the signs after it: what the tokenizer's own cutting gives, straight to its merges
             word, signs = m.groups()
-            if simple is BARE:
+            if self.simple is BARE:
                 word = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-                if not word.isalpha():  # a letter that lower case turns into a letter and a mark
-                    left.append(p)
-                    continue
-            ids = [t.id for t in tokenize(_shown(word))]
-            if signs:
-                ids += [t.id for t in tokenize(signs)]
-            known[p] = np.array(ids, "<u4").tobytes()
-        for p, e in zip(left, self.tokenizer.encode_batch_fast(left, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text, without special tokens."""
-        if self.whole(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        found = self._pieces(text, self.ids)
-        return np.frombuffer(b"".join(map(self.ids.__getitem__, found)), np.uint32)
-
-    def offsets(self, text: str) -> np.ndarray:
-        """(start, end) in characters of each token of a text."""
-        if self.whole(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
-        found = self._pieces(text, self.spans)
-        if not found:
-            return np.empty((0, 2), np.int64)
-        parts = [self.spans[p] for p in found]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        first = np.cumsum(size) - size
-        own = np.frombuffer(b"".join(p for p, _ in parts), np.int64).reshape(-1, 2)
-        return own + np.repeat(first, np.fromiter((n for _, n in parts), np.int64, len(parts)))[:, None]
+            if self.simple is WORD or word.isalpha():  # else lower case made a letter and a mark of a letter
+                return [t.id for part in (word, signs) if part for t in self.tokenize(_shown(part))]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def _spans_of(self, piece: str) -> list[int]:
+        m = WORD.match(piece) if self.simple is WORD else None
+        if m:
+            out, first = [], 0
+            for part in m.groups():
+                if part:
+                    ends = list(accumulate(len(t.value) for t in self.tokenize(_shown(part))))  # in bytes
+                    if not part.isascii():  # a token of a part of a character covers it
+                        at = [i for i, c in enumerate(part) for _ in c.encode()]
+                        out += [x for a, b in zip([0, *ends], ends) for x in (first + at[a], first + at[b - 1] + 1)]
+                    else:
+                        out += [x for a, b in zip([0, *ends], ends) for x in (first + a, first + b)]
+                    first += len(part)
+            return out
+        return list(chain.from_iterable(self.tokenizer.encode(piece, add_special_tokens=False).offsets))
+
+    def _slabs(self, texts: list[str], known: Pieces) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+        """For some texts at a time their numbers and rows; rows hold places in characters as from the piece's begin."""
+        usual = [i for i, t in enumerate(texts) if not self.whole(t)]
+        raw = [texts[i].encode() for i in usual]
+        for x, y in slabs(raw, SLAB):
+            data, starts = joined(raw[x:y])
+            if not len(data):
+                yield usual[x:y], [known.rows[:0]] * (y - x)
+                continue
+            begin, end = cut(data, starts)
+            rows, count = known.of(data.tobytes(), begin, end, Rolling(data).ranges(begin, end))
+            first = np.searchsorted(begin, starts)
+            if known.width == 2:
+                chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+                of = np.repeat(np.arange(y - x), np.diff(first))
+                rows = rows + np.repeat(chars[begin] - chars[starts[of]], count)[:, None]
+            upto = np.r_[0, np.cumsum(count)][first]
+            yield usual[x:y], [rows[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, without special tokens."""
+        out: list = [None] * len(texts)
+        for numbers, rows in self._slabs(texts, self.ids):
+            for i, r in zip(numbers, rows, strict=True):
+                out[i] = r[:, 0].astype(np.uint32)
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) if r is None else r for t, r in zip(texts, out, strict=True)]
+
+    def offsets_all(self, texts: list[str]) -> list[np.ndarray]:
+        """(start, end) in characters of each token of each text."""
+        out: list = [None] * len(texts)
+        for numbers, rows in self._slabs(texts, self.spans):
+            for i, r in zip(numbers, rows, strict=True):
+                out[i] = r.astype(np.int64)
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).offsets, np.int64).reshape(-1, 2) if r is None else r for t, r in zip(texts, out, strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -136,9 +257,9 @@ def encoder(path: str) -> Encoder:
 
 def encode(path: str, texts: list[str | None]) -> Iterator[np.ndarray]:
     """Ids of each text (null: empty), without special tokens."""
-    e = encoder(path)
-    for t in texts:
-        yield e.encode(t or "")
+    plain = [t or "" for t in texts]
+    for x, y in slabs(plain, CHARS):
+        yield from encoder(path).encode_all(plain[x:y])
 
 
 def crc(ids: np.ndarray) -> int:
