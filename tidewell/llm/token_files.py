@@ -75,7 +75,10 @@ def write(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", *
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(body) if body else None, write_content_size=True, write_checksum=False)
+        shared = zstandard.ZstdCompressionDict(body) if body else None
+        if shared:
+            shared.precompute_compress(level=level)  # else every frame would read the dictionary anew
+        coder = zstandard.ZstdCompressor(level=level, dict_data=shared, write_content_size=True, write_checksum=False)
         part, shard, first = TaskContext.get().partitionId(), 0, 0
         keys, frames, index, ids = [], [], [(0, 0)], 0
         for b in batches:
