@@ -131,10 +131,8 @@ def test_grid_guard(spark):
 
 
 def test_splice_of_many_parts(spark):
-    import pandas as pd
-
     from tidewell.operators.merge import splice_named, ts_splice
-    rows = [("s", "p", f"f{i % 600:03d}", pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i % 600 + 7 * j), float(i) if (i + j) % 9 else None) for i in range(600) for j in range(4)]
+    rows = [("s", "p", f"f{i % 600:03d}", (pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i % 600 + 7 * j)).to_pydatetime(), float(i) if (i + j) % 9 else None) for i in range(600) for j in range(4)]
     d = spark.createDataFrame(rows, "station string, param string, file string, ts timestamp_ntz, value double")
     for how in ("first", "last"):
         got = {(r.file, r.ts, r.value) for r in splice_named(d, ["station", "param"], "file", how).collect()}
@@ -158,5 +156,5 @@ def test_splice_of_many_parts(spark):
                 earlier = [span[x][1] for x in names[:k]]
                 ok = (k == len(names) - 1 or t <= max([span[f][1], *earlier])) and (not earlier or t > max(earlier))
             if ok:
-                expect.add((f, t.to_pydatetime(), v))
+                expect.add((f, t, v))
         assert got == expect
