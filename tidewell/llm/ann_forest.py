@@ -114,10 +114,11 @@ def _fit(cand: DataFrame, queries: DataFrame, largest: float, normals: np.ndarra
     seen = written(seen, "fit")
     w = Window.partitionBy("q").orderBy(F.desc("s"), "c")
     true = seen.filter("c is not null").withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).select("q", "depth").collect()  # SAMPLE * k rows
-    level = seen.filter("hist is not null").select("q", F.posexplode("hist").alias("level", "n")).groupBy("q", "level").agg(F.sum("n").alias("n")).collect()  # SAMPLE * BITS rows
+    sums = [F.sum(F.col("hist")[i]) for i in range(BITS + 1)]
+    level = seen.filter("hist is not null").groupBy("q").agg(F.array(*sums).alias("n")).collect()  # SAMPLE rows
     counts = np.zeros((len(qid), BITS + 1), np.int64)
     for r in level:
-        counts[r["q"], r["level"]] = r["n"]
+        counts[r["q"]] = r["n"]
     reach = counts[:, ::-1].cumsum(1)[:, ::-1]  # rows that share at least so many bits, over trees
     who, deep = np.array([r["q"] for r in true], np.int64), np.array([r["depth"] for r in true], np.int64)
     for m in sorted({int(2**e) for e in np.arange(5, 50, 0.25)}):
@@ -177,8 +178,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
     to_chunks = lambda d: d.join(cut, ["tree", "shard"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("g") - 1))).drop("g")
     keys = ["tree", "shard", "chunk"]
     counted = (chunk_of(placed.select("tree", "shard", "id", "code")).groupBy(*keys).cogroup(to_chunks(asked.select("tree", "shard", "id", "code")).groupBy(*keys)).applyInArrow(count, "id long, counts array<long>"))
-    total = counted.select("id", F.posexplode("counts").alias("i", "n")).groupBy("id", "i").agg(F.sum("n").alias("n"))
-    level = total.filter(F.col("n") >= m).groupBy("id").agg((F.max("i") + depth).cast("int").alias("level"))
+    # rows under a prefix, for each length, over all trees; longer prefixes hold fewer
+    total = counted.groupBy("id").agg(F.array(*[F.sum(F.col("counts")[i]) for i in range(BITS + 1 - depth)]).alias("n"))
+    level = total.select("id", (F.size(F.filter("n", lambda x: x >= m)) - 1 + depth).cast("int").alias("level")).filter(F.col("level") >= depth)
     # a prefix shorter than a shard's may need shards around it
     short = queries.select("id").join(level, "id", "left_anti").select("id", F.lit(max(0, depth - 2)).alias("level"))
     levels = level.unionByName(short)
