@@ -58,6 +58,20 @@ def test_unstructured_vectors_of_any_norm(spark):
     assert sum(len(got[q] & {v for v, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)
 
 
+def test_queries_off_the_clusters_reach_their_candidates(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=(4, 16))[rng.integers(0, 4, 800)] * 3 + 0.05 * rng.normal(size=(800, 16))
+    x = np.r_[dense, 3 * rng.normal(size=(200, 16))].astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    monkeypatch.setattr(ann, "_fit", lambda *a: (4000, 10))  # the clusters' depth; others have so many only under shorter prefixes
+    got = {}
+    for r in ann.nearest(frame(spark, rows), query=F.col("vec_id") % 8 == 0, k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asks = range(800, 1000, 8)
+    want = nearest(range(len(x)), x, asks, 20)
+    assert sum(len(got[q] & {v for v, _ in want[q]}) for q in asks) >= 0.95 * 20 * len(asks)
+
+
 def test_equal_vectors_ties_and_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(ann, "CHUNK_ROWS", 7)
     one, two = [1.0, 0.0, 0.5], [0.0, 1.0, 0.0]

@@ -19,8 +19,8 @@ and chunks under its prefix, which it visits with one matrix product for all que
 of a prefix.  Each visit keeps the k best, so the merge sees k rows a tree and query.
 
 Of equal vectors only the k + 1 smallest ids can be neighbours, so others are no
-candidates (they still may be queries).  A query that finds fewer than k rows this
-way is compared with all rows.
+candidates (they still may be queries).  A query that needs a prefix shorter than
+`depth` for its m candidates, or finds fewer than k rows, is compared with all rows.
 
 Defined cases: unusable vectors (null, zero, null or non-finite components) and rows
 without an id take no part; repeated ids count once; ties go to the smaller id; with
@@ -162,12 +162,15 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
     strings = "tree int, id long, code long, body binary"
     placed, asked = cand.mapInArrow(place(largest), strings).withColumn("shard", prefix), queries.mapInArrow(place(None), strings).withColumn("shard", prefix)
 
-    def count(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
         c, q = np.sort(left.column("code").to_numpy()), right.column("code").to_numpy()
         out = np.zeros((len(q), BITS + 1 - depth), np.int64)
         for level in range(depth, BITS + 1):
             low = q >> (BITS - level) << (BITS - level)
             out[:, level - depth] = np.searchsorted(c, low + (1 << (BITS - level))) - np.searchsorted(c, low)
+        # a query is no candidate of its own, as in the fit
+        _, i, j = np.intersect1d(left.column("id").to_numpy(), right.column("id").to_numpy(), return_indices=True)
+        out[j] -= common_prefix(left.column("code").to_numpy()[i], q[j])[:, None] >= np.arange(depth, BITS + 1)
         return pa.table({"id": right.column("id"), "counts": pa.array(out.tolist(), pa.list_(pa.int64()))})
 
     # strings only; a chunk of a shard counts by itself, and counts add up
@@ -180,21 +183,15 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
     counted = (chunk_of(placed.select("tree", "shard", "id", "code")).groupBy(*keys).cogroup(to_chunks(asked.select("tree", "shard", "id", "code")).groupBy(*keys)).applyInArrow(count, "id long, counts array<long>"))
     # rows under a prefix, for each length, over all trees; longer prefixes hold fewer
     total = counted.groupBy("id").agg(F.array(*[F.sum(F.col("counts")[i]) for i in range(BITS + 1 - depth)]).alias("n"))
-    level = total.select("id", (F.size(F.filter("n", lambda x: x >= m)) - 1 + depth).cast("int").alias("level")).filter(F.col("level") >= depth)
-    # a prefix shorter than a shard's may need shards around it
-    short = queries.select("id").join(level, "id", "left_anti").select("id", F.lit(max(0, depth - 2)).alias("level"))
-    levels = level.unionByName(short)
+    levels = total.select("id", (F.size(F.filter("n", lambda x: x >= m)) - 1 + depth).cast("int").alias("level")).filter(F.col("level") >= depth)
 
-    def visit(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    def visit(left: pa.Table, right: pa.Table) -> pa.Table:
         code = left.column("code").to_numpy()
         order = np.argsort(code, kind="stable")
         code, cid = code[order], left.column("id").to_numpy()[order]
         c, q = unpacked(left.column("body"), kind)[order] if len(code) else np.empty((0, 0)), unpacked(right.column("body"), kind)
         qid, qcode, lev = (right.column(n).to_numpy() for n in ("id", "code", "level"))
-        lev = np.maximum(lev, depth)  # a shorter prefix covers the whole shard
         low = qcode >> (BITS - lev) << (BITS - lev)
-        whole = right.column("level").to_numpy() < depth
-        low[whole] = key[1].as_py() << (BITS - depth)
         a, b = np.searchsorted(code, low), np.searchsorted(code, low + (np.int64(1) << (BITS - lev)))
         out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         for x, y in sorted(set(zip(a.tolist(), b.tolist(), strict=True))):
@@ -205,13 +202,11 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
                 out.append((qid[w][i], ids, s))
         return pa.table({"query_id": np.concatenate([o[0] for o in out]), "vec_id": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out])})
 
-    wide = asked.join(levels, "id").withColumn("span", F.greatest(F.lit(0), F.lit(depth) - F.col("level")))
-    around = F.expr("transform(sequence(0L, shiftleft(1L, span) - 1), i -> shiftleft(shiftright(shard, span), span) + i)")
-    wide = wide.withColumn("shard", F.explode(around)).drop("span")
+    wide = asked.join(levels, "id")
     found = (chunk_of(placed).groupBy(*keys).cogroup(to_chunks(wide).groupBy(*keys)).applyInArrow(visit, "query_id long, vec_id long, score double"))
     found = written(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "found")
 
-    # too few rows this way: all rows
+    # too few rows this way, or fewer than m candidates in their shards: all rows
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k).select(F.col("query_id").alias("id"))
     rest = written(queries.join(enough, "id", "left_anti"), "rest")
     n_rest = rest.count()
