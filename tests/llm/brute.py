@@ -73,3 +73,23 @@ def first_kept(docs, length):
             seen.add(w)
         out[i] = bytes(c for c, g in zip(t, gone, strict=True) if not g)
     return out
+
+
+def passages_kept(docs, words):
+    """Bytes kept of [(id, text)] when strings of more than `words` words, whole in both places, go but for the first by id and place."""
+    rows = sorted(((i, t.encode()) for i, t in docs), key=lambda x: x[0])
+    bounds = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", t)] for _, t in rows]
+    gone = [bytearray(len(t)) for _, t in rows]
+    held = defaultdict(list)
+    for d, (_, t) in enumerate(rows):
+        for a in range(len(bounds[d]) - words):
+            p, q = bounds[d][a][0], bounds[d][a + words][1]
+            for e, x, y in held[t[p:q]]:
+                u, i, j = rows[e][1], 0, 0
+                while p - i > 0 and x - i > 0 and t[p - i - 1] == u[x - i - 1]:
+                    i += 1
+                while q + j < len(t) and y + j < len(u) and t[q + j] == u[y + j]:
+                    j += 1
+                gone[d][p - i:q + j] = b"\1" * (q - p + i + j)
+            held[t[p:q]].append((d, p, q))
+    return {i: bytes(c for c, g in zip(t, x, strict=True) if not g) for (i, t), x in zip(rows, gone, strict=True)}

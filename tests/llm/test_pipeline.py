@@ -59,6 +59,20 @@ def test_each_stage_on_its_input(spark, folder):
     assert sorted(map(tuple, cp.run(spark, path).select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in four)
 
 
+def test_passages_are_judged_by_words(spark):
+    rng = random.Random(3)
+    text = lambda n, size: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(*size))) for _ in range(n))
+    short, fifty, one, two = text(51, (2, 3)), text(50, (7, 9)), text(30, (5, 6)), text(30, (5, 6))
+    assert len(short) < 256 < len(fifty)
+    docs = [(i, f"{text(8, (2, 5))} {short}\n {text(8, (2, 5))} {fifty} {text(9, (3, 4))}") for i in range(6)]
+    docs += [(10, f"{one} {text(9, (3, 4))}"), (11, f"{two} {text(9, (3, 4))}"), (12, f"{one} {two}"), (13, "a " * 120), (14, f"x{short} tail"), (15, short), (16, f"{short}z {short}")]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in cp.repeated_passages(spark, d, SF).collect()}
+    assert {i: t.encode() for i, t in got.items()} == brute.passages_kept(docs, 50)
+    assert short in got[0] and not any(short in got[i] for i in range(1, 6)) and got[15] == ""
+    assert all(fifty in got[i] for i in range(6)) and got[12] == f"{one} {two}"
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_given_tables(spark):
     out = cp.run(spark, SF)

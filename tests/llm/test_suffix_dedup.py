@@ -73,6 +73,14 @@ def test_cuts_keep_whole_characters():
     assert sd.keep_text(t, [(1, 3)]) == "ab"
 
 
+def test_passages_are_those_of_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BLOCK_BYTES", 3000)
+    rng = random.Random(1)
+    docs = [(i, "".join(rng.choice(["a", "b", "ab"]) * rng.choice([1, 1, 2]) + rng.choice([" ", " ", " ", "  ", "\n", ""]) for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    got = {r.doc_id: r.text.encode() for r in sd.without_passages(spark.createDataFrame(docs, "doc_id long, text string"), words=3).collect()}
+    assert got == brute.passages_kept(docs, 3)
+
+
 def test_nulls_repeats_extra_columns_and_empty(spark):
     x = "".join(chr(97 + i * 7 % 26) + str(i) for i in range(60))
     d = spark.createDataFrame([(1, None, "p"), (2, "", "q"), (None, x, "r"), (4, "zz" + x, "s"), (4, "zz" + x, "s"), (5, "short", None)], "doc_id long, text string, kept string")

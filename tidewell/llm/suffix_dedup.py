@@ -21,6 +21,12 @@ keep="none" removes every byte under a copied window, keep="first" only those of
 windows that occur earlier (by key, then place).  All strings are judged on the
 input.  Matches never cross documents.
 
+`without_passages` judges by words: its windows are strings of more than `words` whole
+words, anchored by half as many.  Equal contexts settle copies as in 1; windows of
+contexts that differ are decided by hashes as in 3.  Of the words beside a
+copied window goes what an earlier place of the window has beside it too.  So exactly the bytes go that are in a string which stands earlier and holds
+more than `words` words, whole in both places, between white space as of ASCII.
+
 Defined cases: null text is empty; texts under `length` bytes are kept whole; null
 keys are documents like others; rows that repeat key and text are copies of each
 other with keep="none", and stay or go together with keep="first"; an empty table
@@ -234,6 +240,132 @@ def copied_windows(rows: DataFrame, length: int, keep: str, n_blocks: int) -> Da
     return flags.unionByName(many.select("block", "r", F.col("p").alias("first"), F.col("p").alias("last")))
 
 
+def _word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word and the byte after its last."""
+    inner = np.zeros(len(data) + 2, np.int8)
+    inner[1:-1] = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    step = np.diff(inner)
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+
+
+def _find_word_runs(size: int):
+    half = size // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = _bytes_of(b.column("t"))
+            for first, last in slabs(texts, SLAB):
+                data, starts = joined(texts[first:last], b" ")
+                begin, end = _word_bounds(data)
+                n = len(begin) - size + 1  # windows
+                if n < 1:
+                    continue
+                roll = Rolling(data)
+                grams = roll.ranges(begin[:len(begin) - half + 1], end[half - 1:])
+                wide = size - half + 1
+                anchor = np.concatenate([x + sliding_argmin(grams[x:x + PIECE + wide - 1], wide) for x in range(0, n, PIECE)])
+                of = np.searchsorted(starts, begin, side="right") - 1
+                valid = of[:n] == of[size - 1:]
+                cut = np.r_[True, (anchor[1:] != anchor[:-1]) | (of[1:n] != of[:n - 1]) | (valid[1:] != valid[:-1])]
+                s = np.flatnonzero(cut)
+                e = np.r_[s[1:], n]
+                s, e = s[valid[s]], e[valid[s]]
+                if not len(s):
+                    continue
+                at, text, z = anchor[s], of[s], e + size - 2  # z: last word
+                # the context has the words beside it, of which a part may be repeated too
+                low = np.where((s > 0) & (of[s - 1] == text), begin[s - 1], starts[text])
+                after = np.minimum(z + 1, len(begin) - 1)
+                high = np.where((after > z) & (of[after] == text), end[after], starts[text + 1] - 1)
+                lead = begin[s] - low
+                ch = mix(mix(mix(roll.ranges(low, high) ^ (begin[at] - low).astype(U)) ^ lead.astype(U)) ^ (e - s).astype(U))
+                row = pa.array(text + first)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("k").take(row), b.column("r").take(row), pa.array(low - starts[text]), pa.array(high - low), pa.array(lead), pa.array((e - s).astype(np.int32)), pa.array(grams[at].view(np.int64)), pa.array(ch.view(np.int64))],
+                    names=["k", "r", "s", "bytes", "lead", "size", "kh", "ch"])
+    return run
+
+
+def _word_windows(size: int):
+    """Windows of the contexts asked for, each with the words beside it."""
+    def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
+        text = dict(zip(docs.column("r").to_pylist(), _bytes_of(docs.column("t")), strict=True)) if len(asked) else {}
+        which, p, q, wh, left, right = [], [], [], [], [], []
+        for i, (r, s, n, lead, windows) in enumerate(zip(*(asked.column(c).to_pylist() for c in ("r", "s", "bytes", "lead", "size")), strict=True)):
+            body = text[r][s:s + n]
+            data = np.frombuffer(body, np.uint8)
+            begin, end = _word_bounds(data[lead:])
+            begin, end = begin + lead, end + lead
+            a, b = begin[:windows], end[size - 1:size - 1 + windows]
+            low, high = np.r_[0, begin[:windows - 1]], np.r_[end[size:size - 1 + windows], n]
+            which.append(np.full(windows, i))
+            p.append(s + a)
+            q.append(s + b)
+            wh.append(Rolling(data).ranges(a, b).view(np.int64))
+            left += [body[x:y] for x, y in zip(low.tolist(), a.tolist(), strict=True)]
+            right += [body[x:y] for x, y in zip(b.tolist(), high.tolist(), strict=True)]
+        whole = lambda x: pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64())
+        out = asked.select(["block", "k", "r", "kh"]).take(whole(which))
+        for name, values in (("p", whole(p)), ("q", whole(q)), ("wh", whole(wh)), ("beside_left", pa.array(left, pa.binary())), ("beside_right", pa.array(right, pa.binary()))):
+            out = out.append_column(name, values)
+        return out
+    return run
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each string that ends a left neighbour or begins a right one, by its hash."""
+    for b in batches:
+        for side, differs, body in ((0, "dl", "beside_left"), (1, "dr", "beside_right")):
+            which, far, hashes = [], [], []
+            for i, (d, t) in enumerate(zip(b.column(differs).to_pylist(), b.column(body).to_pylist(), strict=True)):
+                if d and t:
+                    n = np.arange(1, len(t) + 1)
+                    zero = np.zeros(len(t), np.int64)
+                    which.append(np.full(len(t), i))
+                    far.append(n)
+                    hashes.append(Rolling(np.frombuffer(t, np.uint8)).ranges(*((zero, n) if side else (len(t) - n, zero + len(t)))))
+            if which:
+                at = pa.array(np.concatenate(which))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(c).take(at) for c in ("block", "k", "r", "p", "q", "kh", "wh")] + [pa.array(np.full(len(at), side, np.int32)), pa.array(np.concatenate(far)), pa.array(np.concatenate(hashes).view(np.int64))],
+                    names=["block", "k", "r", "p", "q", "kh", "wh", "side", "far", "h"])
+
+
+def _later(p: str) -> F.Column:
+    return ~(F.col("k").eqNullSafe(F.col("rep.k")) & (F.col("r") == F.col("rep.r")) & (F.col(p) == F.col(f"rep.{p}")))
+
+
+def copied_passages(rows: DataFrame, words: int, n_blocks: int) -> DataFrame:
+    """(block, r, first, last): byte ranges to remove (last not included), of rows (block, k, r, t, ...)."""
+    kind = rows.schema["k"].dataType.simpleString()
+    block = F.pmod(F.xxhash64("k"), F.lit(n_blocks)).alias("block")
+    runs = rows.select("k", "r", "t").mapInArrow(_find_word_runs(words + 1), f"k {kind}, r long, s long, bytes long, lead long, size int, kh long, ch long")
+    # tables are written as in copied_windows: joins are split at a hot anchor
+    anchors = written(runs.groupBy("kh").agg(F.count("*").alias("total")).filter("total > 1").select("kh"), "anchors")
+    live = written(runs.join(anchors, "kh"), "runs")
+    kinds = written(live.groupBy("kh", "ch").agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "s", "bytes", "lead", "size")).alias("rep")), "counted")
+    shared = written(kinds.groupBy("kh").agg(F.count("*").alias("c")).filter("c > 1").select("kh"), "shared")
+    same = live.join(kinds.filter("n > 1").select("kh", "ch", "rep"), ["kh", "ch"]).filter(_later("s"))
+    settled = same.select(block, "r", F.col("s").alias("first"), (F.col("s") + F.col("bytes")).alias("last"))
+    asked = kinds.join(shared, "kh").select("kh", "rep.*").select(block, "*")
+    schema = f"block long, k {kind}, r long, kh long, p long, q long, wh long, beside_left binary, beside_right binary"
+    windows = written(rows.select("block", "r", "t").groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_word_windows(words + 1), schema), "windows")
+    differs = lambda c: F.min(c) != F.max(c)
+    counted = windows.groupBy("kh", "wh").agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "p")).alias("rep"), differs("beside_left").alias("dl"), differs("beside_right").alias("dr"))
+    many = written(windows.join(written(counted.filter("n > 1").drop("n"), "repeated"), ["kh", "wh"]), "copies")
+    copies = many.filter(_later("p")).select(
+        "block", "r", F.when(F.col("dl"), F.col("p")).otherwise(F.col("p") - F.octet_length("beside_left")).alias("first"), F.when(F.col("dr"), F.col("q")).otherwise(F.col("q") + F.octet_length("beside_right")).alias("last"))
+    # neighbours that differ: as much as an earlier place has too
+    edges = many.filter("dl or dr").mapInArrow(_beside, f"block long, k {kind}, r long, p long, q long, kh long, wh long, side int, far long, h long")
+    edges = written(edges, "edges")
+    keys = ["kh", "wh", "side", "far", "h"]
+    held = edges.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "p")).alias("rep")).filter("n > 1").drop("n")
+    edges = edges.join(written(held, "held"), keys).filter(_later("p"))
+    left = F.col("side") == 0
+    edges = edges.select("block", "r", F.when(left, F.col("p") - F.col("far")).otherwise(F.col("q")).alias("first"), F.when(left, F.col("p")).otherwise(F.col("q") + F.col("far")).alias("last"))
+    return settled.unionByName(copies).unionByName(edges)
+
+
 def removed_bytes(first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Maximal byte ranges under the windows that start in the given ranges."""
     out: list[list[int]] = []
@@ -316,10 +448,19 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     """All rows and columns, later copies cut from the text (whole characters only);
     a null text stays null.  A text that is a copy as a whole becomes empty."""
     _check(length, "first")
-    others = [c for c in docs.columns if c not in (key, text)]
-    rows, n_blocks = _in_blocks(docs, key, text, others)
-    flags = copied_windows(rows, length, "first", n_blocks)
+    rows, n_blocks = _in_blocks(docs, key, text, [c for c in docs.columns if c not in (key, text)])
+    return _without(docs, key, text, rows, copied_windows(rows, length, "first", n_blocks), length)
+
+
+def without_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", *, words: int = 50) -> DataFrame:
+    """Like `without_copies`, of passages of more than `words` words."""
+    if words < 1:
+        raise ValueError("words must be 1 or more")
+    rows, n_blocks = _in_blocks(docs, key, text, [c for c in docs.columns if c not in (key, text)])
+    return _without(docs, key, text, rows, copied_passages(rows, words, n_blocks), 0)
+
 
+def _without(docs: DataFrame, key: str, text: str, rows: DataFrame, flags: DataFrame, length: int) -> DataFrame:
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         spans = _spans_by_row(right, length)
         texts = left.column("t").to_pylist()
