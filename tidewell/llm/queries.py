@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import license_scan
+from tidewell.llm import lexical_search, license_scan
 from tidewell.session import prepare
 
 QUERIES: dict = {}
@@ -86,3 +86,8 @@ def op2_ann_forest(spark, sf):
 def op8_rp_forest(spark, sf):
     from tidewell.llm import rp_forest
     return rp_forest.near_vectors(table(spark, sf, "embeddings"), cosine=0.98)
+
+
+@query("op13_lexical_search", lexical_search.search_sql())
+def op13_lexical_search(spark, sf):
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
