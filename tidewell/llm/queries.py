@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import lexical_search, license_scan
+from tidewell.llm import lexical_search, license_scan, mixing
 from tidewell.session import prepare
 
 QUERIES: dict = {}
@@ -91,3 +91,8 @@ def op8_rp_forest(spark, sf):
 @query("op13_lexical_search", lexical_search.search_sql())
 def op13_lexical_search(spark, sf):
     return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+
+
+@query("op12_source_mix", mixing.words_sql())
+def op12_source_mix(spark, sf):
+    return mixing.words_taken(table(spark, sf, "documents"))
