@@ -55,11 +55,11 @@ class Mix(NamedTuple):
 
 def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Rows with their number in the order, from 0, without a task that sees all."""
-    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), name)
-    placed = placed.withColumn("part", F.shiftright("at", 33))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = placed.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))  # one row a partition
-    return placed.join(before, "part").withColumn(name, F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("at", "part", "before")
+    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), name)
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("__part").count().select("__part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))  # one row a partition
+    return placed.join(before, "__part").withColumn(name, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at", "__part", "__before")
 
 
 def _before(df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[str], value: Column, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import lexical_search, license_scan, mixing
+from tidewell.llm import conversation_repair, lexical_search, license_scan, mixing
 from tidewell.session import prepare
 
 QUERIES: dict = {}
@@ -96,3 +96,8 @@ def op13_lexical_search(spark, sf):
 @query("op12_source_mix", mixing.words_sql())
 def op12_source_mix(spark, sf):
     return mixing.words_taken(table(spark, sf, "documents"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark, sf):
+    return conversation_repair.damaged_report(table(spark, sf, "conversations"))
