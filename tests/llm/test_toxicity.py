@@ -74,3 +74,13 @@ def test_nulls_repeats_empty_and_long(spark):
     assert tx.score(empty, lexicon).count() == 0
     assert tx.learn(d, no).terms == {} and tx.learn(empty, no).terms == {}
     assert tx.drop_toxic(d, no).count() == 5
+
+
+def test_more_tasks_than_rows(spark):
+    docs = spark.createDataFrame([(i, "grumlak vile" if i % 2 else "calm words") for i in range(40)], "doc_id long, text string").repartition(60)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int").repartition(60)
+    rows = tx.score(docs, tx.learn(docs, labels)).collect()
+    assert len(rows) == 40 and all(0 <= r.score <= 1 for r in rows)
+    assert tx.drop_toxic(docs, labels).count() <= 40
+    one = labels.limit(1)  # no row of one of the classes
+    assert tx.score(docs, tx.learn(docs, one)).count() == 40

@@ -2,17 +2,25 @@
 
 Everything here takes one buffer that holds many texts one after the other, so
 that numpy works on long arrays whatever the length of a text.
+
+`Keyed` decides equality: two bases modulo the prime 2^31 - 1, drawn from a key that the
+driver takes anew for every run and ships to the tasks, so no text can be written that
+collides.  `Rolling` is cheaper and works modulo 2^64, where some long strings collide
+whatever the base: it only finds candidates, which its users compare by their bytes.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
 U = np.uint64
-_ODD = U(0x9E3779B97F4A7C15)
-_BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | U(1)
+# of this process alone
+_ODD = U(secrets.randbits(63) << 1 | 1)
+_BYTE = np.random.default_rng(secrets.randbits(63)).integers(1, 2**63, 256, dtype=np.uint64) | U(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,7 +49,7 @@ _INVERSE = U(pow(int(_ODD), -1, 2**64))
 
 
 class Rolling:
-    """Hash of any range of one buffer, of bytes or of other numbers, from prefix sums."""
+    """Hash of any range of one buffer, of bytes or of other numbers, from prefix sums; for candidates only."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
@@ -62,6 +70,77 @@ class Rolling:
         return mix((self.prefix[width:] - self.prefix[:m]) * self.inverse[:m])
 
 
+_P = U((1 << 31) - 1)
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Of numbers below 2^62 the rest modulo 2^31 - 1, which may be left as 2^31 - 1 for 0."""
+    y = x >> U(31)
+    y += x & _P
+    z = y >> U(31)
+    y &= _P
+    y += z
+    return y
+
+
+class _Base:
+    """Powers of one base and of its inverse, kept by the worker as far as they were needed."""
+
+    def __init__(self, base: int, letters: np.ndarray):
+        self.letters = letters
+        self.roots = (base, pow(base, -1, int(_P)))
+        self.powers = [np.ones(1, U), np.ones(1, U)]
+
+    def upto(self, n: int) -> list[np.ndarray]:
+        while len(self.powers[0]) < n:
+            k = len(self.powers[0])
+            self.powers = [np.r_[x, _fold(x * U(pow(root, k, int(_P))))] for x, root in zip(self.powers, self.roots, strict=True)]
+        return self.powers
+
+
+@lru_cache(maxsize=2)
+def _bases(key: int) -> tuple[_Base, _Base]:
+    rng = np.random.default_rng(key)
+    a, b = (_Base(int(rng.integers(1 << 20, int(_P) - 1)), rng.integers(1, int(_P), 256).astype(U)) for _ in range(2))
+    return a, b
+
+
+def new_key() -> int:
+    """Drawn by the driver, once a run."""
+    return secrets.randbits(63)
+
+
+class Keyed:
+    """Hash of any range of a buffer of bytes; equal ranges are told from others but for
+    a chance of 2^-62 or, for strings of n bytes chosen without the key, (n / 2^31)^2."""
+
+    def __init__(self, data: np.ndarray, key: int):
+        self.sums, self.inverses = [], []
+        n = len(data)
+        for base in _bases(key):
+            power, inverse = base.upto(n + 1)
+            prefix = np.zeros(n + 1, U)
+            np.cumsum(_fold(base.letters[data] * power[:n]), out=prefix[1:])  # below 2^31 each
+            self.sums.append(prefix)
+            self.inverses.append(inverse)
+
+    @staticmethod
+    def _joined(parts: list[np.ndarray], length) -> np.ndarray:
+        for x in parts:
+            x[x == _P] = 0
+        return mix((parts[0] << U(31) | parts[1]) ^ length * U(0xD6E8FEB86659FD93))
+
+    def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self._joined([_fold(_fold(p[end] - p[start]) * i[start]) for p, i in zip(self.sums, self.inverses, strict=True)], (end - start).astype(U))
+
+    def windows(self, width: int) -> np.ndarray:
+        """Hash of every window of the width, by its start."""
+        m = len(self.sums[0]) - width
+        if m <= 0:
+            return np.empty(0, U)
+        return self._joined([_fold(_fold(p[width:] - p[:m]) * i[:m]) for p, i in zip(self.sums, self.inverses, strict=True)], np.full(1, width, U))
+
+
 def slabs(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about `limit` bytes each."""
     first, size = 0, 0

@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.bytehash import Rolling, U, joined, mix, slabs
+from tidewell.llm.bytehash import Keyed, U, joined, mix, new_key, slabs
 from tidewell.llm.graph import components
 from tidewell.llm.tables import written
 
@@ -49,22 +49,22 @@ PAIRS_AT_ONCE = 1 << 18
 SLAB = 1 << 20
 
 
-def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def shingle_sets(texts: list[bytes], words: int, seed: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text, under a key of the run."""
     out: list[np.ndarray] = []
     for first, last in slabs(texts, SLAB):
-        out += _slab_sets(texts[first:last], words)
+        out += _slab_sets(texts[first:last], words, seed)
     return out
 
 
-def _slab_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
+def _slab_sets(texts: list[bytes], words: int, seed: int) -> list[np.ndarray]:
     data, starts = joined(texts, b" ")
     data = data.copy()
     data[(data >= 65) & (data <= 90)] += 32
     gap = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.r_[True, gap, True]))
     begin, end = edge[::2], edge[1::2]
-    h = Rolling(data).ranges(begin, end)
+    h = Keyed(data, seed).ranges(begin, end)
     first = np.searchsorted(begin, starts)  # of each document's words
     count = np.diff(first)
     k = U(words)
@@ -121,10 +121,12 @@ def ordered_sets(docs: DataFrame, key: str, text: str, percent: int, words: int)
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_blocks = max(1, math.ceil(size / BLOCK_BYTES))
     bits = max(0, math.ceil(math.log2(max(1, size / 6 / BUCKET_SHINGLES))))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(n_blocks)))
+    # by key and text: one key, or null, on many rows is dealt over all blocks
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("k", "t"), F.lit(n_blocks)))
+    seed = new_key()
 
     def send(table: pa.Table) -> pa.Table:
-        keys, counts = _block_keys(shingle_sets(_texts(table), words), bits)
+        keys, counts = _block_keys(shingle_sets(_texts(table), words, seed), bits)
         bucket = (keys >> U(32)).astype(np.int64)
         cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
         out = [(b, keys[x:y].astype(np.uint32).tobytes(), np.minimum(counts[x:y], 65535).astype(np.uint16).tobytes())
@@ -145,7 +147,7 @@ def ordered_sets(docs: DataFrame, key: str, text: str, percent: int, words: int)
                          "levels": pa.array([level[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
     def order(left: pa.Table, right: pa.Table) -> pa.Table:
-        sets = shingle_sets(_texts(left), words)
+        sets = shingle_sets(_texts(left), words, seed)
         keys, _ = _block_keys(sets, bits)
         parts = sorted(zip(right.column("bucket").to_pylist(), right.column("levels").to_pylist(), strict=True))
         levels = np.frombuffer(b"".join(x for _, x in parts), np.uint8)

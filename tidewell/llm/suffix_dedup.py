@@ -44,7 +44,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.bytehash import PLACE_BITS, Rolling, U, joined, mix, slabs, sliding_argmin
+from tidewell.llm.bytehash import PLACE_BITS, Keyed, U, joined, mix, new_key, slabs, sliding_argmin
 from tidewell.llm.tables import written
 
 SLAB = 1 << 20
@@ -53,7 +53,7 @@ BLOCK_BYTES = 8 << 20
 GROUP_CONTEXTS = 2000  # contexts a suffix array is built of
 
 
-def _runs(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _runs(texts: list[bytes], length: int, key: int) -> Iterator[tuple[np.ndarray, ...]]:
     """For some texts at a time: (text, first window, windows, anchor hash, context hash) of its runs."""
     half = length // 2
     for first, last in slabs(texts, SLAB):
@@ -63,7 +63,7 @@ def _runs(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
             data, starts = joined([texts[i][x:x + PIECE + length - 1] for i, x in part])
             if len(data) < length:
                 continue
-            roll = Rolling(data)
+            roll = Keyed(data, key)
             grams = roll.windows(half)
             anchor = sliding_argmin(grams, length - half + 1)
             sizes = np.diff(starts)
@@ -85,10 +85,10 @@ def _bytes_of(column) -> list[bytes]:
     return [(x or "").encode() for x in column.to_pylist()]
 
 
-def _find_runs(length: int):
+def _find_runs(length: int, key: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for where, s, size, kh, ch in _runs(_bytes_of(b.column("t")), length):
+            for where, s, size, kh, ch in _runs(_bytes_of(b.column("t")), length, key):
                 at = pa.array(where)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("k").take(at), b.column("r").take(at), pa.array(s.astype(np.int64)), pa.array(size.astype(np.int32)), pa.array(kh.view(np.int64)), pa.array(ch.view(np.int64))],
@@ -190,22 +190,23 @@ def _decide(length: int, keep: str):
     return run
 
 
-def _window_hashes(length: int):
+def _window_hashes(length: int, key: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, (body, size) in enumerate(zip(b.column("body").to_pylist(), b.column("size").to_pylist(), strict=True)):
                 at = pa.array(np.full(size, i))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(c).take(at) for c in ("block", "k", "r", "kh", "single")] + [pa.array(b.column("s")[i].as_py() + np.arange(size)),
-                     pa.array(Rolling(np.frombuffer(body, np.uint8)).windows(length).view(np.int64))], names=["block", "k", "r", "kh", "single", "p", "wh"])
+                     pa.array(Keyed(np.frombuffer(body, np.uint8), key).windows(length).view(np.int64))], names=["block", "k", "r", "kh", "single", "p", "wh"])
     return run
 
 
 def copied_windows(rows: DataFrame, length: int, keep: str, n_blocks: int) -> DataFrame:
     """(block, r, first, last): ranges of window starts to remove, of rows (block, k, r, t, ...)."""
     kind = rows.schema["k"].dataType.simpleString()
-    block = F.pmod(F.xxhash64("k"), F.lit(n_blocks)).alias("block")
-    runs = rows.select("k", "r", "t").mapInArrow(_find_runs(length), f"k {kind}, r long, s long, size int, kh long, ch long")
+    block = F.pmod(F.col("r"), F.lit(n_blocks)).alias("block")
+    key = new_key()
+    runs = rows.select("k", "r", "t").mapInArrow(_find_runs(length, key), f"k {kind}, r long, s long, size int, kh long, ch long")
     # written first, like the counts below: a join with no aggregate above its exchange is split at a hot anchor
     anchors = written(runs.groupBy("kh").agg(F.count("*").alias("total")).filter("total > 1").select("kh"), "anchors")
     live = written(runs.join(anchors, "kh"), "runs")
@@ -229,7 +230,7 @@ def copied_windows(rows: DataFrame, length: int, keep: str, n_blocks: int) -> Da
     flags = settled.unionByName(few.groupBy("g").applyInArrow(_decide(length, keep), "block long, r long, first long, last long"))
     if (most or 0) <= GROUP_CONTEXTS:
         return flags  # no anchor has more kinds than a group may hold
-    windows = contexts.filter(F.col("c") > GROUP_CONTEXTS).mapInArrow(_window_hashes(length), f"block long, k {kind}, r long, kh long, single boolean, p long, wh long")
+    windows = contexts.filter(F.col("c") > GROUP_CONTEXTS).mapInArrow(_window_hashes(length, key), f"block long, k {kind}, r long, kh long, single boolean, p long, wh long")
     windows = written(windows, "windows")
     counted = windows.groupBy("kh", "wh").agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "p")).alias("rep")).filter("n > 1")
     many = windows.join(counted.drop("n"), ["kh", "wh"])
@@ -248,7 +249,7 @@ def _word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def _find_word_runs(size: int):
+def _find_word_runs(size: int, key: int):
     half = size // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +261,7 @@ def _find_word_runs(size: int):
                 n = len(begin) - size + 1  # windows
                 if n < 1:
                     continue
-                roll = Rolling(data)
+                roll = Keyed(data, key)
                 grams = roll.ranges(begin[:len(begin) - half + 1], end[half - 1:])
                 wide = size - half + 1
                 anchor = np.concatenate([x + sliding_argmin(grams[x:x + PIECE + wide - 1], wide) for x in range(0, n, PIECE)])
@@ -286,7 +287,7 @@ def _find_word_runs(size: int):
     return run
 
 
-def _word_windows(size: int):
+def _word_windows(size: int, key: int):
     """Windows of the contexts asked for, each with the words beside it."""
     def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
         text = dict(zip(docs.column("r").to_pylist(), _bytes_of(docs.column("t")), strict=True)) if len(asked) else {}
@@ -301,7 +302,7 @@ def _word_windows(size: int):
             which.append(np.full(windows, i))
             p.append(s + a)
             q.append(s + b)
-            wh.append(Rolling(data).ranges(a, b).view(np.int64))
+            wh.append(Keyed(data, key).ranges(a, b).view(np.int64))
             left += [body[x:y] for x, y in zip(low.tolist(), a.tolist(), strict=True)]
             right += [body[x:y] for x, y in zip(b.tolist(), high.tolist(), strict=True)]
         whole = lambda x: pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int64())
@@ -312,7 +313,7 @@ def _word_windows(size: int):
     return run
 
 
-def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _beside(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.RecordBatch]:
     """Each string that ends a left neighbour or begins a right one, by its hash."""
     for b in batches:
         for side, differs, body in ((0, "dl", "beside_left"), (1, "dr", "beside_right")):
@@ -323,7 +324,7 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     zero = np.zeros(len(t), np.int64)
                     which.append(np.full(len(t), i))
                     far.append(n)
-                    hashes.append(Rolling(np.frombuffer(t, np.uint8)).ranges(*((zero, n) if side else (len(t) - n, zero + len(t)))))
+                    hashes.append(Keyed(np.frombuffer(t, np.uint8), key).ranges(*((zero, n) if side else (len(t) - n, zero + len(t)))))
             if which:
                 at = pa.array(np.concatenate(which))
                 yield pa.RecordBatch.from_arrays(
@@ -338,8 +339,9 @@ def _later(p: str) -> F.Column:
 def copied_passages(rows: DataFrame, words: int, n_blocks: int) -> DataFrame:
     """(block, r, first, last): byte ranges to remove (last not included), of rows (block, k, r, t, ...)."""
     kind = rows.schema["k"].dataType.simpleString()
-    block = F.pmod(F.xxhash64("k"), F.lit(n_blocks)).alias("block")
-    runs = rows.select("k", "r", "t").mapInArrow(_find_word_runs(words + 1), f"k {kind}, r long, s long, bytes long, lead long, size int, kh long, ch long")
+    block = F.pmod(F.col("r"), F.lit(n_blocks)).alias("block")
+    key = new_key()
+    runs = rows.select("k", "r", "t").mapInArrow(_find_word_runs(words + 1, key), f"k {kind}, r long, s long, bytes long, lead long, size int, kh long, ch long")
     # tables are written as in copied_windows: joins are split at a hot anchor
     anchors = written(runs.groupBy("kh").agg(F.count("*").alias("total")).filter("total > 1").select("kh"), "anchors")
     live = written(runs.join(anchors, "kh"), "runs")
@@ -349,14 +351,14 @@ def copied_passages(rows: DataFrame, words: int, n_blocks: int) -> DataFrame:
     settled = same.select(block, "r", F.col("s").alias("first"), (F.col("s") + F.col("bytes")).alias("last"))
     asked = kinds.join(shared, "kh").select("kh", "rep.*").select(block, "*")
     schema = f"block long, k {kind}, r long, kh long, p long, q long, wh long, beside_left binary, beside_right binary"
-    windows = written(rows.select("block", "r", "t").groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_word_windows(words + 1), schema), "windows")
+    windows = written(rows.select("block", "r", "t").groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_word_windows(words + 1, key), schema), "windows")
     differs = lambda c: F.min(c) != F.max(c)
     counted = windows.groupBy("kh", "wh").agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "p")).alias("rep"), differs("beside_left").alias("dl"), differs("beside_right").alias("dr"))
     many = written(windows.join(written(counted.filter("n > 1").drop("n"), "repeated"), ["kh", "wh"]), "copies")
     copies = many.filter(_later("p")).select(
         "block", "r", F.when(F.col("dl"), F.col("p")).otherwise(F.col("p") - F.octet_length("beside_left")).alias("first"), F.when(F.col("dr"), F.col("q")).otherwise(F.col("q") + F.octet_length("beside_right")).alias("last"))
     # neighbours that differ: as much as an earlier place has too
-    edges = many.filter("dl or dr").mapInArrow(_beside, f"block long, k {kind}, r long, p long, q long, kh long, wh long, side int, far long, h long")
+    edges = many.filter("dl or dr").mapInArrow(lambda it: _beside(it, key), f"block long, k {kind}, r long, p long, q long, kh long, wh long, side int, far long, h long")
     edges = written(edges, "edges")
     keys = ["kh", "wh", "side", "far", "h"]
     held = edges.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.struct("k", "r", "p")).alias("rep")).filter("n > 1").drop("n")
@@ -414,11 +416,13 @@ def _in_blocks(docs: DataFrame, key: str, text: str, others: list[str]) -> tuple
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     n = max(1, math.ceil(size / BLOCK_BYTES))
     rest = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []
-    return docs.select(F.pmod(F.xxhash64(key), F.lit(n)).alias("block"), F.col(key).alias("k"), F.xxhash64(key, text).alias("r"), F.col(text).alias("t"), *rest), n
+    # by key and text: one key, or null, on many rows is dealt over all blocks
+    return docs.select(F.pmod(F.xxhash64(key, text), F.lit(n)).alias("block"), F.col(key).alias("k"), F.xxhash64(key, text).alias("r"), F.col(text).alias("t"), *rest), n
 
 
 def remove_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, length: int = 400, keep: str = "none") -> DataFrame:
-    """(key, n_bytes, n_removed, spans, kept) for every row: the removed byte ranges and the remaining bytes."""
+    """(key, n_bytes, n_removed, spans, kept, text) for every row: the removed byte ranges,
+    the remaining bytes, and those as text, without characters of which a part went."""
     _check(length, keep)
     rows, n_blocks = _in_blocks(docs, key, text, [])
     flags = copied_windows(rows, length, keep, n_blocks)
@@ -428,20 +432,21 @@ def remove_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, l
         out = []
         for r, t in zip(docs.column("r").to_pylist(), _bytes_of(docs.column("t")), strict=True):
             cut = spans.get(r, [])
-            out.append((len(t), sum(b - a for a, b in cut), [{"start": a, "end": b} for a, b in cut], keep_bytes(t, cut)))
-        n, gone, cut, kept = zip(*out, strict=True) if out else ([], [], [], [])
+            kept = keep_bytes(t, cut)
+            out.append((len(t), sum(b - a for a, b in cut), [{"start": a, "end": b} for a, b in cut], kept, keep_text(t, cut)))
+        n, gone, cut, kept, text = zip(*out, strict=True) if out else ([], [], [], [], [])
         return pa.table({"k": docs.column("k"), "n_bytes": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
-                         "spans": pa.array(cut, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.binary())})
+                         "spans": pa.array(cut, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.binary()), "text": pa.array(text, pa.string())})
 
     kind = docs.schema[key].dataType.simpleString()
-    out = rows.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(apply, f"k {kind}, n_bytes long, n_removed long, spans array<struct<start: bigint, end: bigint>>, kept binary")
+    out = rows.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(apply, f"k {kind}, n_bytes long, n_removed long, spans array<struct<start: bigint, end: bigint>>, kept binary, text string")
     return out.withColumnRenamed("k", key)
 
 
 def removal_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", *, length: int = 400) -> DataFrame:
-    """Counts of removed bytes and spans, and the SHA-256 of what remains."""
+    """Counts of removed bytes and spans, the SHA-256 of what remains, and that as text."""
     out = remove_copies(docs, key, text, length=length)
-    return out.select(key, "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select(key, "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "text")
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, length: int = 400) -> DataFrame:

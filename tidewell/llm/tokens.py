@@ -86,8 +86,17 @@ def cut(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return b[order], e[order]
 
 
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], U)  # of a word of 8 bytes the first n
+
+
+def _words(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on, of data that ends in 8 bytes more."""
+    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+
+
 class Pieces:
-    """What has been made of pieces: rows of numbers, found by the hash of the piece."""
+    """What has been made of pieces: rows of numbers, found by the hash of the piece and
+    compared with its bytes.  Pieces that share another's hash are kept by their bytes."""
 
     def __init__(self, make: Callable[[str], list], width: int):
         self.make, self.width = make, width
@@ -100,6 +109,9 @@ class Pieces:
         self.count, self.first = np.empty(0, np.int64), np.empty(0, np.int64)
         self.rows = np.empty((1024, self.width), np.int32)
         self.used = 0
+        self.text, self.end = np.zeros(1 << 16, np.uint8), 0
+        self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.clashes: dict[bytes, int] = {}
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Number of each piece, -1 where it is not known."""
@@ -124,8 +136,9 @@ class Pieces:
             left[take] = False
             h, number, slot = h[left], number[left], (slot[left] + 1) & (len(self.keys) - 1)
 
-    def _learn(self, h: np.ndarray, pieces: list[str]) -> None:
-        made = [self.make(p) for p in pieces]
+    def _store(self, h: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """Numbers of new pieces."""
+        made = [self.make(p.decode()) for p in pieces]
         count = np.fromiter(map(len, made), np.int64, len(made)) // self.width
         flat = np.fromiter(chain.from_iterable(made), np.int32, int(count.sum()) * self.width).reshape(-1, self.width)
         if self.used + len(flat) > len(self.rows):
@@ -134,17 +147,42 @@ class Pieces:
         self.first = np.r_[self.first, self.used + np.cumsum(count) - count]
         self.count = np.r_[self.count, count]
         self.used += len(flat)
+        body, size = b"".join(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
+        if self.end + len(body) + 8 > len(self.text):
+            self.text = np.concatenate([self.text[: self.end], np.zeros(max(len(body), self.end) + 8, np.uint8)])
+        self.text[self.end: self.end + len(body)] = np.frombuffer(body, np.uint8)
+        self.begin = np.r_[self.begin, self.end + np.cumsum(size) - size]
+        self.size = np.r_[self.size, size]
+        self.end += len(body)
         number = len(self.known) + np.arange(len(h))
         self.known = np.r_[self.known, h]
+        return number
+
+    def _learn(self, h: np.ndarray, pieces: list[bytes]) -> None:
+        number = self._store(h, pieces)
         if 2 * len(self.known) > len(self.keys):
             while 3 * len(self.known) > len(self.keys):
                 self.bits += 1
                 self.keys = np.empty(1 << self.bits, U)
             self.keys, self.at = np.zeros(1 << self.bits, U), np.zeros(1 << self.bits, np.int64)
-            h, number = self.known, np.arange(len(self.known))
+            number = np.flatnonzero(self.known)
+            h = self.known[number]
         self._place(h, number)
 
-    def of(self, data: bytes, begin: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _differ(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Which pieces are not those of their numbers."""
+        odd = self.size[number] != size
+        open_, new, old, at = np.flatnonzero(~odd), _words(data), _words(self.text), self.begin[number]
+        done = 0
+        while len(open_):
+            left = _MASK[np.minimum(size[open_] - done, 8)]
+            other = (new[begin[open_] + done] ^ old[at[open_] + done]) & left != 0
+            odd[open_[other]] = True
+            done += 8
+            open_ = open_[~other & (size[open_] > done)]
+        return np.flatnonzero(odd)
+
+    def of(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the pieces one after the other, and how many each has."""
         if len(self.known) > PIECES_KEPT:
             self.clear()
@@ -153,8 +191,13 @@ class Pieces:
         if len(miss):
             fresh, place = np.unique(h[miss], return_index=True)
             at = miss[place]
-            self._learn(fresh, [data[b:e].decode() for b, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)])
+            self._learn(fresh, [data[b:e].tobytes() for b, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)])
             number[miss] = self._find(h[miss])
+        for i in self._differ(np.r_[data, np.zeros(8, np.uint8)], begin, end - begin, number).tolist():
+            piece = data[begin[i]:end[i]].tobytes()
+            if piece not in self.clashes:
+                self.clashes[piece] = int(self._store(np.zeros(1, U), [piece])[0])
+            number[i] = self.clashes[piece]
         count = self.count[number]
         total = np.cumsum(count)
         take = np.repeat(self.first[number] - (total - count), count) + np.arange(total[-1] if len(total) else 0)
@@ -219,7 +262,7 @@ class Encoder:
                 yield usual[x:y], [known.rows[:0]] * (y - x)
                 continue
             begin, end = cut(data, starts)
-            rows, count = known.of(data.tobytes(), begin, end, Rolling(data).ranges(begin, end))
+            rows, count = known.of(data, begin, end, Rolling(data).ranges(begin, end))
             first = np.searchsorted(begin, starts)
             if known.width == 2:
                 chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]

@@ -140,7 +140,8 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def rows() -> pd.DataFrame:
         terms = list(both[0].keys() | both[1].keys())
-        out = pd.DataFrame({"term": terms, "neg": [both[0][x] for x in terms], "pos": [both[1][x] for x in terms]})
+        # typed columns: a task without rows has no value to show the type
+        out = pd.DataFrame({"term": pd.Series(terms, dtype="object"), "neg": pd.Series([both[0][x] for x in terms], dtype="int64"), "pos": pd.Series([both[1][x] for x in terms], dtype="int64")})
         both[0].clear()
         both[1].clear()
         return out
