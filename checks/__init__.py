@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("q_windows", "q_merge", "q_screen", "q_reconcile", "q_catalog", "q_sources", "q_scalars", "q_products")
+MODULES = ("q_windows", "q_merge", "q_screen", "q_reconcile", "q_catalog", "q_sources", "q_scalars", "q_products", "q_series")
 
 
 def load():

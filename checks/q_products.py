@@ -220,12 +220,6 @@ def _(spark, sf):
     return good.groupBy("station_id", "param", "shard_year").agg(F.count("value").alias("n"), F.max(F.when(ok, F.col("ts"))).alias("last_ts"))
 
 
-@query("prd14_reformat_grouped", f"WITH {OBS} SELECT station, param, ts, arg_max(value, file) FILTER (value IS NOT NULL) AS value FROM (SELECT station, param, date_trunc('hour', ts) AS ts, 'f' || (seq % 4) AS file, max(value) AS value FROM obs GROUP BY ALL) GROUP BY station, param, ts")
-def _(spark, sf):
-    o = obs(spark, sf).groupBy(*K, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), F.concat(F.lit("f"), (F.col("seq") % 4).cast("string")).alias("file")).agg(F.max("value").alias("value"))
-    return P.reformat_grouped(o, K)
-
-
 @query("prd15_split_sublocations", "SELECT event_type AS station, 'flow' AS param, CASE WHEN user_id % 2 = 0 THEN 'upper' ELSE 'default' END AS subloc, date_trunc('hour', ts) AS ts, round(avg(value), 6) AS value FROM events GROUP BY ALL")
 def _(spark, sf):
     e = table(spark, sf, "events").select(F.col("event_type").alias("station"), F.lit("flow").alias("param"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "value", "user_id")

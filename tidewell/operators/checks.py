@@ -26,3 +26,9 @@ def require_no_nulls(df: DataFrame, columns) -> DataFrame:
     if missing:
         raise ValueError(f"missing values: {missing}")
     return df
+
+
+def set_aside(df: DataFrame, problems: DataFrame, keys) -> DataFrame:
+    """Rows of series that have no problem.  The series with one are few; their table
+    meets the rows in a join that adaptive execution broadcasts or splits by its size."""
+    return df.join(problems.select(*keys).distinct(), list(keys), "left_anti")

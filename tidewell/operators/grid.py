@@ -25,9 +25,14 @@ def infer_freq(df, keys, ts="ts", share=0.9, seconds=DEFAULT_SECONDS) -> DataFra
     return best.select(*keys, F.when(F.col("top") >= share * F.col("steps"), F.col("us") / MICROS).cast("long").alias("freq"), "steps")
 
 
-def grid_index(ts, step_seconds: int) -> Column:
+def step_micros(step_seconds: int | Column) -> Column:
+    """A step in microseconds; the step may be a column of the rows."""
+    return step_seconds.cast("long") * MICROS if isinstance(step_seconds, Column) else F.lit(step_seconds * MICROS).cast("long")
+
+
+def grid_index(ts, step_seconds: int | Column) -> Column:
     """Nearest grid index in integer microseconds, ties to the even index."""
-    step = F.lit(step_seconds * MICROS).cast("long")
+    step = step_micros(step_seconds)
     us = micros(ts)
     rest = F.pmod(us, step)
     q = ((us - rest) / step).cast("long")
@@ -42,8 +47,8 @@ def exact_index(ts, step_seconds: int) -> Column:
     return F.when(F.pmod(us, step) == 0, (us / step).cast("long"))
 
 
-def index_time(i, step_seconds: int) -> Column:
-    return from_micros(F.col(i) * F.lit(step_seconds * MICROS).cast("long") if isinstance(i, str) else i * F.lit(step_seconds * MICROS).cast("long"))
+def index_time(i, step_seconds: int | Column) -> Column:
+    return from_micros((F.col(i) if isinstance(i, str) else i) * step_micros(step_seconds))
 
 
 def _grid(spans: DataFrame, keys, block: int, extra=()) -> DataFrame:
@@ -77,10 +82,11 @@ def complete(df, keys, idx: str, values, block: int = GRID_BLOCK) -> DataFrame:
     return full.drop("__block").withColumnRenamed("__i", idx)
 
 
-def regularize(df, keys, step_seconds: int, value="value", ts="ts", fill=True) -> DataFrame:
+def regularize(df, keys, step_seconds: int | Column, value="value", ts="ts", fill=True) -> DataFrame:
     """TIM-2.  Round every time to the grid.  Of the rows on one grid point keep
-    a valid one first, then the nearest, then the earliest; then complete."""
-    step = step_seconds * MICROS
+    a valid one first, then the nearest, then the earliest; then complete.  The
+    step may be one of the key columns, so series of many steps are one plan."""
+    step = step_micros(step_seconds)
     us = micros(ts)
     g = df.select(*keys, grid_index(ts, step_seconds).alias("__i"), us.alias("__us"), value)
     best = g.groupBy(*keys, "__i").agg(F.min_by(value, F.struct(
@@ -222,6 +228,103 @@ def ingest_policy_column(earlier: Column, later: Column) -> Column:
     return out.otherwise(text)
 
 
+TARGETS = ("finer", "coarser", "latest")
+
+
+def parse_policy(policy: str | None) -> tuple[str, str] | None:
+    """TIM-5.  (method, target) of ``interp_to_finer`` ..., or of ``interp:900`` and
+    ``asfreq:900``, which name the step in seconds."""
+    if policy is None:
+        return None
+    if ":" in policy:
+        method, target = policy.split(":", 1)
+    else:
+        head, _, target = policy.rpartition("_")
+        method = {"interp_to": "interp", "as_freq": "asfreq"}.get(head, "")
+    if method not in ("interp", "asfreq") or not (target in TARGETS or target.isdigit() and int(target) > 0):
+        raise ValueError(f"unknown frequency policy {policy}")
+    return method, target
+
+
+def freq_plan(freqs: DataFrame, keys, policy: str | None, order="part") -> DataFrame:
+    """TIM-5 as rows: (keys, freq, method, problem), one for each series.
+
+    ``freqs``: keys, part, freq.  A series whose parts have one step, or are all
+    irregular, stays as it is: ``freq`` is NULL.  Where they differ, ``freq`` is the
+    step to use; a series that the policy cannot bring to one step has a ``problem``."""
+    how = parse_policy(policy)
+    agg = freqs.groupBy(*keys).agg(
+        F.min("freq").alias("finer"), F.max("freq").alias("coarser"), F.max_by("freq", order).alias("latest"),
+        (F.countDistinct("freq") + F.max(F.col("freq").isNull().cast("int"))).alias("__kinds"), F.max(F.col("freq").isNull()).alias("__odd"))
+    mixed = F.col("__kinds") > 1
+    problem = F.when(mixed & F.lit(how is None), "mixed frequencies and no policy")
+    target = F.lit(None).cast("long")
+    if how is not None:
+        method, which = how
+        if which in TARGETS:
+            problem = problem.when(mixed & F.col("__odd"), "mixed frequencies of which one is irregular")
+            target = F.col(which)
+        else:
+            target = F.lit(int(which)).cast("long")
+    return agg.select(*keys, F.when(mixed & problem.isNull(), target).alias("freq"), F.lit(how[0] if how else None).cast("string").alias("method"), problem.alias("problem"))
+
+
+def ingest_plan(freqs: DataFrame, keys, order="file") -> DataFrame:
+    """TIM-6 for all series: (keys, freq, method, problem) by the distinct steps of a
+    series' files, in the order in which they first appear."""
+    first = freqs.groupBy(*keys, "freq").agg(F.min(order).alias("__o"))
+    steps = first.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("__o", "freq"))), lambda x: x["freq"]).alias("__steps"))
+    n, a, b = F.size("__steps"), F.try_element_at("__steps", F.lit(1)), F.try_element_at("__steps", F.lit(2))
+    rule = F.lit(None).cast("string")
+    for x in (600, 900, 1200, 3600, 86400):
+        for y in (360, 900, 3600, 86400):
+            if x != y:
+                try:
+                    method, which = ingest_policy(x, y)
+                except ValueError:
+                    continue
+                rule = F.when((a == x) & (b == y), F.lit(f"{method}:{which}")).otherwise(rule)
+    rule = F.when(n == 2, rule)
+    which = F.split(rule, ":")[1]
+    target = F.when(which == "finer", F.least(a, b)).when(which == "coarser", F.greatest(a, b)).when(which == "latest", b)
+    text = F.array_join(F.transform("__steps", lambda x: F.coalesce(x.cast("string"), F.lit("irregular"))), ",")
+    problem = F.when((n == 1) & a.isNull(), F.lit("irregular files")).when((n > 1) & rule.isNull(), F.concat(F.lit("no rule for the steps "), text))
+    return steps.select(*keys, target.alias("freq"), F.split(rule, ":")[0].alias("method"), problem.alias("problem"))
+
+
+def on_steps(df, keys, facts: DataFrame, value="value", ts="ts", seconds=DEFAULT_SECONDS) -> DataFrame:
+    """TIM-5.  Every series on the grid of its own step, all in one plan.
+
+    ``facts``: by some of the keys (freq, method) and, if interpolated values are to be
+    rounded, decimals.  ``asfreq`` takes the values that stand on a grid from the first
+    time of the series, ``interp`` a line in time on the whole steps around it, and
+    rows of a series without ``freq`` stay.  The step is a column: grids of different
+    steps are made by the same blocks and meet the rows in the same aggregation."""
+    by = [k for k in keys if k in facts.columns]
+    rounds = "decimals" in facts.columns
+    carried = ["freq", "method", *(["decimals"] if rounds else [])]
+    tagged = attach(df.select(*keys, ts, F.col(value).cast("double").alias(value)), facts.select(*by, *carried), by, seconds, ts)
+    stay = tagged.filter("freq IS NULL").select(*keys, ts, value)
+    step, line = F.col("freq") * MICROS, F.col("method") == "interp"
+    d = tagged.filter("freq IS NOT NULL").select(*keys, *carried, micros(ts).alias("__us"), value)
+    spans = summarize(d, [*keys, *carried], [F.min("__us").alias("__a"), F.max("__us").alias("__b")])
+    spans = spans.withColumn("__t0", F.when(line, 0).otherwise(F.col("__a")).cast("long")).withColumn(
+        "lo", F.floor((F.col("__a") - F.col("__t0")) / step)).withColumn("hi", F.when(line, F.ceil(F.col("__b") / step)).otherwise(F.floor((F.col("__b") - F.col("__a")) / step)))
+    grid = _grid(spans, keys, GRID_BLOCK, [*carried, "__t0"]).select(
+        *keys, *carried, (F.col("__t0") + F.col("__i") * step).alias("__us"), F.lit(None).cast("double").alias(value), F.lit(1).alias("__g"))
+    both = d.filter(F.col(value).isNotNull()).withColumn("__g", F.lit(0)).unionByName(grid)
+    one = both.groupBy(*keys, "__us").agg(F.max(value).alias(value), F.max("__g").alias("__g"), *[F.first(c).alias(c) for c in carried])
+    held, ok = F.struct(F.col(value).alias("v"), F.col("__us").alias("t")), F.col(value).isNotNull()
+    s = scan(one.withColumn(ts, from_micros(F.col("__us"))), keys, {"__p": prev(held, when=ok), "__q": following(held, when=ok)}, (ts,), seconds)
+    p, q = F.col("__p"), F.col("__q")
+    drawn = F.coalesce(F.col(value), p["v"] + (q["v"] - p["v"]) * (F.col("__us") - p["t"]) / (q["t"] - p["t"]), p["v"])
+    if rounds:
+        scale = F.pow(F.lit(10.0), F.col("decimals"))
+        drawn = F.coalesce(F.round(drawn * scale) / scale, drawn)
+    out = s.filter("__g = 1").select(*keys, ts, F.when(F.col("method") == "interp", drawn).otherwise(F.col(value)).alias(value))
+    return stay.unionByName(out)
+
+
 def resample_interp(df, keys, step_seconds: int, limit: int | None, value="value", ts="ts", out="filled"):
     """TIM-7.  TIM-3 grid, then WIN-1."""
     return interpolate(asfreq(df, keys, step_seconds, (value,), ts), keys, limit, value, out, (ts,))

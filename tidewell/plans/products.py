@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.scalars import normalize_gate_state
-from tidewell.operators.aggs import gate_reduce, lag_correlation, ols_fit, resample_mean, sublocation_means, window_mean_replace
+from tidewell.operators.aggs import gate_reduce, lag_correlation, ols_fit, resample_mean, series_decimals, sublocation_means, window_mean_replace
 from tidewell.operators.align import align_outer, series_arith, value_asof
 from tidewell.operators.chunks import DEFAULT_SECONDS, attach, prev, scan
-from tidewell.operators.checks import require_empty
+from tidewell.operators.checks import require_empty, set_aside
 from tidewell.operators.filters import mask_range
-from tidewell.operators.grid import disaggregate, regularize, resample_interp
+from tidewell.operators.grid import disaggregate, infer_freq, ingest_plan, on_steps, regularize, resample_interp
 from tidewell.operators.merge import dedupe, fill_from, merge_shards, ts_blend, ts_merge, ts_splice
 from tidewell.operators.windows import active_ffill, cumulative_level, gaussian_smooth, interpolate, lowpass, subtidal_split
 from tidewell.plans.catalog import enrich_meta, min_rows_filter
-from tidewell.sources.shards import live_shards
+from tidewell.sources.shards import live_shards, missing_year_meta, with_shard_year
 from tidewell.schema import MICROS, from_micros, micros
+from tidewell.session import stage
 
 
 def _filled(df, keys, limit=None, seconds=DEFAULT_SECONDS):
@@ -199,9 +200,36 @@ def reformat(raw, registry, keys, step_seconds: int, block_years=1, min_rows=8)
     return live_shards(good, keys, ("value",), block_years), lost
 
 
-def reformat_grouped(raw, keys, order="file") -> DataFrame:
-    """PRD-14.  Provider whose files overlap: one series per group, newest file first."""
-    return merge_shards(raw, keys, order, check=False)
+def reformat_grouped(raw, files, registry, keys, min_points=15, block_years=1, file="file", header="header",
+                     seconds=DEFAULT_SECONDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """PRD-14.  Provider whose files of one series overlap and may change their step.
+
+    ``raw``: keys, file, ts, value.  ``files``: keys, file, header.  File names
+    are in the order of time.  Every file is put on the grid of its own step; a file
+    with fewer than ``min_points`` valid points is left out; the steps of the others, in
+    order, settle the step of the series (TIM-6), with interpolated values rounded as the file
+    writes its own; the newest file wins at each time.
+    Returns (formatted rows with registry columns, the header of each (series, year) with
+    its last file, failures (keys, problem)).  All groups are one plan: what a series
+    needs to know about its files are aggregates by (series, file)."""
+    per = [*keys, file]
+    own = stage(infer_freq(raw, per, seconds=seconds).select(*per, "freq"))
+    odd = own.groupBy(*keys).agg(F.max(F.col("freq").isNull()).alias("__odd")).filter("__odd").select(*keys, F.lit("irregular file").alias("problem"))
+    known = attach(set_aside(raw, odd, keys), own, per, seconds)
+    regular = stage(regularize(known, [*per, "freq"], F.col("freq")))  # counted, merged and asked for its years
+    enough = regular.groupBy(*per, "freq").agg(F.count("value").alias("__n")).filter(F.col("__n") >= min_points).select(*per, "freq")
+    plan = stage(ingest_plan(enough, keys, file))
+    stuck = plan.filter("problem IS NOT NULL").select(*keys, "problem")
+    used = regular.join(set_aside(enough, stuck, keys).select(*per), per, "left_semi")
+    facts = enough.select(*per).join(plan, list(keys)).join(series_decimals(used, per), per, "left")
+    merged = stage(merge_shards(on_steps(used, per, facts, seconds=seconds), keys, file, check=False))
+    good, lost = enrich_meta(live_shards(merged, keys, ("value",), block_years), registry)
+    covered = regular.filter(F.col("value").isNotNull()).groupBy(*keys, F.year("ts").alias("year")).agg(F.max(file).alias("last_file"))
+    headers = covered.join(files.select(*keys, F.col(file).alias("last_file"), header), [*keys, "last_file"])
+    unknown = lost.select(*keys).distinct().withColumn("problem", F.lit("station is not registered"))
+    bare = set_aside(missing_year_meta(with_shard_year(merged.filter("value IS NOT NULL"), 1), headers, keys).select(*keys), unknown, keys).distinct().withColumn("problem", F.lit("year without a header"))
+    failures = odd.unionByName(stuck).unionByName(unknown).unionByName(bare)
+    return set_aside(good, bare, keys), headers, failures
 
 
 def split_sublocations(df, keys, bucket: Column) -> DataFrame:
