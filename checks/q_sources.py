@@ -83,6 +83,38 @@ def _(spark, sf):
     return d.select(F.concat(F.regexp_extract("path", "station=([^/]+)", 1), F.lit(".csv")).alias("file"), "ts", "value")
 
 
+def headed_files(spark, sf):
+    """Events as canonical files whose columns stand in four orders, with some bad records."""
+    e = table(spark, sf, "events").select(F.concat(F.lit("k"), (F.col("user_id") % 4).cast("string"), F.lit(".csv")).alias("file"), (F.col("user_id") % 4).alias("k"),
+                                          (F.col("event_id") + 100).alias("line_no"), F.col("event_id").alias("id"), "ts", "value", "event_type")
+    t = F.when(F.col("id") % 500 == 11, "not a time").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    v = F.when(F.col("id") % 500 == 7, "oops").when(F.col("id") % 9 == 0, "").otherwise(F.col("value").cast("string"))
+    flag = F.when(F.col("id") % 7 == 0, "1").when(F.col("id") % 7 == 1, "0").otherwise("")
+    quoted = F.concat(F.lit('"'), "event_type", F.lit(', main"'))
+    line = (F.when(F.col("k") == 0, F.concat_ws(",", t, v, flag)).when(F.col("k") == 1, F.concat_ws(",", flag, t, v))
+            .when(F.col("k") == 2, F.concat_ws(",", v, quoted, t, F.when(F.col("id") % 500 == 13, "9,9").otherwise("2.5"))).otherwise(F.concat_ws(",", quoted, v)))
+    heads = [("k0.csv", ["# format: canonical-1.0", "# unit: ft", "datetime,value,user_flag"]), ("k1.csv", ["# format: canonical-1.0", "user_flag,datetime,value"]),
+             ("k2.csv", ["# format: canonical-1.0", "# dtypes:", "#   mode: str", "#   height: float", "# unit: ft", "value,mode,datetime,height"]), ("k3.csv", ["# dtypes: {mode: category}", "mode,value"])]
+    h = spark.createDataFrame([(f, i, x) for f, lines in heads for i, x in enumerate(lines)], "file string, line_no long, line string")
+    return h.join(e.select("file").distinct(), "file", "left_semi").unionByName(e.select("file", "line_no", line.alias("line")))
+
+
+_HEADED = """e AS (SELECT *, user_id % 4 AS k, event_id AS id, CASE WHEN event_id % 500 = 13 AND user_id % 4 = 2 THEN 'wrong number of fields' WHEN user_id % 4 = 3 THEN 'no time column'
+ WHEN event_id % 500 = 11 THEN 'bad time' WHEN event_id % 500 = 7 THEN 'text in numeric column value' END AS reason FROM events)"""
+
+
+@query("src1_read_headed", f"""WITH {_HEADED} SELECT 'k' || k || '.csv' AS file, date_trunc('second', ts) AS ts, CASE WHEN id % 9 <> 0 THEN value END AS value,
+ CASE WHEN k = 2 THEN NULL WHEN id % 7 = 0 THEN 1 WHEN id % 7 = 1 THEN 0 END AS user_flag, CASE WHEN k = 2 THEN 2.5::DOUBLE END AS height, CASE WHEN k = 2 THEN event_type || ', main' END AS mode FROM e WHERE reason IS NULL""")
+def _(spark, sf):
+    d = L.read_headed(headed_files(spark, sf))[0]
+    return d.select("file", "ts", "value", "user_flag", F.try_element_at("numbers", F.lit("height")).alias("height"), F.try_element_at("texts", F.lit("mode")).alias("mode"))
+
+
+@query("src1_quarantine", f"WITH {_HEADED} SELECT 'k' || k || '.csv' AS file, id + 100 AS line_no, reason FROM e WHERE reason IS NOT NULL")
+def _(spark, sf):
+    return L.read_headed(headed_files(spark, sf))[1].select("file", F.col("at.mid").alias("line_no"), "reason")
+
+
 @query("src2_read_provider", f"""WITH {ROWS}, {"l AS (SELECT * FROM rw JOIN " + _KIND_SQL + " USING (k))"},
 x AS (SELECT format('f{{:02d}}.csv', k) AS file, layout, ts, id, CASE WHEN open OR (q <> 'X' AND NOT (q = '70' AND layout IN ('wdl2', 'wdl3'))) THEN v END AS value FROM l)
 SELECT file, ts, first(value ORDER BY id) AS value FROM (SELECT file, ts, id, value FROM x) GROUP BY file, ts""".replace("first(value ORDER BY id)", "arg_min_null(value, id)"))

@@ -207,16 +207,17 @@ def file_fields(described: DataFrame) -> DataFrame:
     return plain.unionByName(many)
 
 
-SMALL_ROWS = 200_000
+SMALL_BYTES = 64 << 20
 
 
 def with_file_facts(lines: DataFrame, facts: DataFrame) -> DataFrame:
     """Lines with the facts of their file.  The facts are written once and
-    counted: a small table is broadcast, so the text is not shuffled; a larger
-    one is joined by file, where adaptive execution splits a hot file."""
+    measured: a small table is broadcast, so the text is not shuffled; a larger
+    one, by many files or by wide headers, is joined by file, where adaptive
+    execution splits a hot file."""
     kept = stage(facts)
-    small = kept.count() <= SMALL_ROWS
-    return lines.join(F.broadcast(kept) if small else kept, "file")
+    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return lines.join(F.broadcast(kept) if size <= SMALL_BYTES else kept, "file")
 
 
 def parse_lines(lines: DataFrame, described: DataFrame, tokens=None) -> DataFrame:
@@ -295,3 +296,68 @@ def header_catalog(lines: DataFrame, comment="#") -> DataFrame:
     problem = F.when(F.col("prefix"), "bad_prefix").when(F.col("indent"), "indented_first_key")
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     return agg.select("file", F.when(problem.isNull(), F.col("header")).otherwise(empty).alias("header"), problem.alias("problem"))
+
+
+# Names of types that mean text
+TEXT_TYPES = ("str", "string", "object", "category", "text")
+MISSING = (*NULL_TOKENS, "NaN", "nan", "NA", "NULL", "null")
+
+
+def headed_files(lines: DataFrame, comment="#") -> DataFrame:
+    """SRC-1.  What each canonical file says of itself: (file, head, names, dtypes).
+
+    ``names`` are the columns in the order of the file's own header line, ``head`` is
+    the number of that line, and ``dtypes`` the types declared in the leading comment
+    block, nested under the key or in braces behind it."""
+    head = lines.filter("line_no IS NOT NULL")
+    plain = ~F.col("line").startswith(comment) & (F.trim("line") != "")
+    body = F.when(F.col("line").startswith(comment), F.regexp_replace("line", f"^{comment} ?", ""))
+    first = head.groupBy("file").agg(F.min(F.when(plain, F.col("line_no"))).alias("head"), F.min_by("line", F.when(plain, F.col("line_no"))).alias("__names"))
+    told = head.filter(F.col("line").startswith(comment)).join(first.select("file", "head"), "file").filter(F.col("head").isNull() | (F.col("line_no") < F.col("head")))
+    told = told.groupBy("file").agg(F.sort_array(F.collect_list(F.struct(F.col("line_no").alias("n"), body.alias("b")))).alias("h"))
+    at = lambda which: F.array_min(F.transform(F.filter("h", which), lambda x: x["n"]))
+    told = told.withColumn("__a", at(lambda x: x["b"].rlike(r"^dtypes\s*:")))
+    told = told.withColumn("__z", at(lambda x: (x["n"] > F.col("__a")) & x["b"].rlike(r"^\S")))
+    nested = F.filter("h", lambda x: (x["n"] >= F.col("__a")) & (F.col("__z").isNull() | (x["n"] < F.col("__z"))))
+    text = F.regexp_replace(F.array_join(F.transform(nested, lambda x: x["b"]), "\n"), r"^dtypes\s*:", "")
+    names, kinds = (F.expr(f"regexp_extract_all(__t, '[\"\\']?([A-Za-z_][A-Za-z0-9_.-]*)[\"\\']?[ ]*:[ ]*[\"\\']?([A-Za-z0-9_]+)', {i})") for i in (1, 2))
+    told = told.withColumn("__t", text).withColumn("__n", names).withColumn("__k", F.transform(kinds, F.lower))
+    last = F.transform(F.array_distinct("__n"), lambda n: F.struct(n.alias("k"), F.element_at("__k", (F.size("__n") + 1 - F.array_position(F.reverse("__n"), n)).cast("int")).alias("v")))
+    told = told.select("file", F.map_from_entries(last).alias("dtypes"))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return first.join(told, "file", "left").select("file", "head", F.transform(_fields(F.col("__names")), _unquoted).alias("names"), F.coalesce("dtypes", none).alias("dtypes"))
+
+
+def _fields(line: Column) -> Column:
+    """Fields of a line; a comma inside quotes does not part them."""
+    return F.when(line.contains('"'), F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')).otherwise(F.split(line, ","))
+
+
+def read_headed(lines: DataFrame, comment="#", time="datetime", value="value", flag="user_flag") -> tuple[DataFrame, DataFrame]:
+    """SRC-1.  Canonical files, each read by its own header, in one scan: (rows, quarantine).
+
+    Rows: file, ts, value, user_flag, and maps ``numbers`` and ``texts`` of all other
+    columns by name, texts being those whose declared type is one.  A file may have its
+    columns in any order and lack the flag or the value.  A record that cannot be read is
+    not an error: it is a row (file, at, line, reason) of the quarantine, and a file
+    without a time column is there record by record."""
+    facts = headed_files(lines, comment)
+    known = with_file_facts(_placed(lines), facts).filter(~F.col("line").startswith(comment) & (F.trim("line") != "") & ~F.col("line_no").eqNullSafe(F.col("head")))
+    d = known.withColumn("f", F.transform(_fields(F.col("line")), _unquoted))
+    named = lambda n: F.try_element_at("f", F.nullif(F.array_position("names", n), F.lit(0)).cast("int"))
+    told = lambda n: F.coalesce(F.try_element_at("dtypes", n).isin(*TEXT_TYPES), F.lit(False))
+    cells = F.transform(F.arrays_zip(F.col("names").alias("n"), F.col("f").alias("t")), lambda x: F.struct(x["n"].alias("n"), null_tokens(x["t"], MISSING).alias("t")))
+    d = d.withColumn("cells", F.filter(cells, lambda x: x["n"] != time))
+    is_text = lambda x: told(x["n"])
+    odd = F.filter("cells", lambda x: ~is_text(x) & x["t"].isNotNull() & x["t"].try_cast("double").isNull())
+    stamp = _parse_time(named(time), TIME_FORMATS)
+    reason = (F.when(~F.array_contains("names", time), F.lit("no time column")).when(F.size("f") != F.size("names"), F.lit("wrong number of fields"))
+              .when(stamp.isNull(), F.lit("bad time")).when(F.size(odd) > 0, F.concat(F.lit("text in numeric column "), F.try_element_at(odd, F.lit(1))["n"])))
+    d = d.withColumn("ts", stamp).withColumn("reason", reason)
+    number = lambda n: null_tokens(named(n), MISSING).try_cast("double")
+    others = lambda text: F.filter("cells", lambda x: ~x["n"].isin(value, flag) & (is_text(x) if text else ~is_text(x)))
+    pairs = lambda cells, cast: F.map_from_arrays(F.transform(cells, lambda x: x["n"]), F.transform(cells, cast))
+    good = d.filter("reason IS NULL").select(
+        "file", "ts", number(value).alias("value"), number(flag).cast("tinyint").alias("user_flag"),
+        pairs(others(False), lambda x: x["t"].try_cast("double")).alias("numbers"), pairs(others(True), lambda x: x["t"]).alias("texts"))
+    return good, d.filter("reason IS NOT NULL").select("file", "at", "line", "reason")
