@@ -32,7 +32,7 @@ def _(spark, sf):
 k AS (SELECT * FROM pv WHERE NOT EXISTS (SELECT 1 FROM sp WHERE sp.station = pv.station AND sp.param = pv.param AND sp.p < pv.p AND pv.ts BETWEEN sp.a AND sp.b))
 SELECT station, param, ts, first(value ORDER BY p) FILTER (value IS NOT NULL) AS value FROM k GROUP BY ALL""")
 def _(spark, sf):
-    return M.ts_merge(providers(spark, sf), K, strict_priority=True)
+    return M.ts_merge(providers(spark, sf), K, strict_priority=True, seconds=width(spark, sf))
 
 
 _ENDS = """, e AS (SELECT station, param, min(ts) FILTER (p = 0 AND value IS NOT NULL) AS s0, min(ts) FILTER (p = 1 AND value IS NOT NULL) AS s1, min(ts) FILTER (p = 2 AND value IS NOT NULL) AS s2,

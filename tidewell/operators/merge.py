@@ -35,25 +35,40 @@ def merge_by_rank(df: DataFrame, keys, rank, value="value", ts="ts") -> DataFram
     return df.groupBy(*keys, ts).agg(F.min_by(value, F.when(F.col(value).isNotNull(), r)).alias(value))
 
 
-def ts_merge(frames, keys, value="value", ts="ts", strict_priority=False) -> DataFrame:
+def ts_merge(frames, keys, value="value", ts="ts", strict_priority=False, seconds=DEFAULT_SECONDS) -> DataFrame:
     """MRG-1; MRG-2 with ``strict_priority``."""
-    s = stack(frames, keys, value, ts)
-    if strict_priority:
-        s = _outside_higher_spans(s, keys, len(frames), value, ts)
-    return merge_by_rank(s, keys, PRIO, value, ts)
+    return merge_ranked(stack(frames, keys, value, ts), keys, PRIO, value, ts, strict_priority, seconds)
 
 
-def _outside_higher_spans(s, keys, n, value, ts, seconds=DEFAULT_SECONDS):
-    """Drop rows inside [first valid, last valid] of any higher priority."""
-    specs = {}
-    for i in range(n - 1):
-        t = F.when((F.col(PRIO) == i) & F.col(value).isNotNull(), F.col(ts))
-        specs[f"__lo{i}"], specs[f"__hi{i}"] = overall("min", t), overall("max", t)
-    a = scan(s, keys, specs, (ts,), seconds)
-    inside = F.lit(False)
-    for i in range(n - 1):
-        inside = inside | ((F.col(PRIO) > i) & F.coalesce(F.col(ts).between(F.col(f"__lo{i}"), F.col(f"__hi{i}")), F.lit(False)))
-    return a.filter(~inside).drop(*specs)
+def merge_ranked(s: DataFrame, keys, rank=PRIO, value="value", ts="ts", strict_priority=False, seconds=DEFAULT_SECONDS) -> DataFrame:
+    """MRG-1 and MRG-2 of a frame that carries the priority of each row, of any number."""
+    if strict_priority:
+        s = _outside_higher_spans(s, keys, rank, value, ts, seconds)
+    return merge_by_rank(s, keys, rank, value, ts)
+
+
+def covered_segments(s: DataFrame, keys, rank=PRIO, value="value", ts="ts") -> DataFrame:
+    """(keys, us, top): from each time on, up to the next one, the best rank whose span
+    [first valid, last valid] covers it, NULL where none does.  A series has two times at
+    most for each of its ranks, so its segments are as few as its sources."""
+    t = F.when(F.col(value).isNotNull(), micros(ts))
+    spans = s.groupBy(*keys, rank).agg(F.min(t).alias("lo"), F.max(t).alias("hi")).filter("lo IS NOT NULL")
+    held = spans.groupBy(*keys).agg(F.collect_list(F.struct("lo", "hi", F.col(rank).alias("r"))).alias("sp"))
+    points = F.array_distinct(F.flatten(F.transform("sp", lambda x: F.array(x["lo"], x["hi"] + 1))))
+    over = lambda p: F.array_min(F.transform(F.filter("sp", lambda x: (x["lo"] <= p) & (p <= x["hi"])), lambda x: x["r"]))
+    return held.select(*keys, F.explode(F.transform(points, lambda p: F.struct(p.alias("us"), over(p).alias("top")))).alias("e")).select(*keys, "e.us", "e.top")
+
+
+def _outside_higher_spans(s, keys, rank, value, ts, seconds):
+    """Drop rows inside [first valid, last valid] of any higher priority.  The segments
+    stand among the rows, and each row looks back to the last one before it."""
+    cols = s.columns
+    rows = s.select(*cols, F.lit(1).alias("__o"), F.lit(None).cast(s.schema[rank].dataType).alias("__top"))
+    cut = covered_segments(s, keys, rank, value, ts).withColumn("__us", F.col("us"))
+    cut = cut.select(*[F.timestamp_micros("__us").cast(s.schema[ts].dataType).alias(c) if c == ts else F.col(c) if c in keys else F.lit(None).cast(s.schema[c].dataType).alias(c) for c in cols],
+                     F.lit(0).alias("__o"), F.col("top").alias("__top"))
+    a = scan(rows.unionByName(cut), keys, {"__seg": prev(F.struct(F.col("__top").alias("r")), when=F.col("__o") == 0)}, (ts, "__o"), seconds)
+    return a.filter((F.col("__o") == 1) & ~F.coalesce(F.col("__seg")["r"] < F.col(rank), F.lit(False))).select(*cols)
 
 
 def splice_ranked(s: DataFrame, keys, n: int, prefer="first", rank=PRIO, value="value", ts="ts",
