@@ -133,7 +133,7 @@ def _(spark, sf):
 @query("cat12_min_rows", "SELECT o_custkey, o_orderkey, o_totalprice AS value FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) >= 8)")
 def _(spark, sf):
     o = table(spark, sf, "orders").withColumn("v", F.when(F.col("o_orderstatus") != "P", 1))
-    return C.min_rows_filter(o, ["o_custkey"], 8, "v").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("value"))
+    return C.min_rows_filter(o, ["o_custkey"], 8, "v", ts="o_orderdate").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("value"))
 
 
 @query("cat13_infer_unit", """SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'feet' WHEN 1 THEN 'special' WHEN 2 THEN 'uS/cm' WHEN 3 THEN 'ft^3/s' WHEN 4 THEN 'unknown' ELSE 'deg_f' END AS unit FROM orders""")
@@ -279,11 +279,4 @@ def _(spark, sf):
 
 @query("prd17_select_steps", f"WITH {OBS} SELECT station, count(*) AS n FROM obs WHERE station NOT IN ('view') GROUP BY station")
 def _(spark, sf):
-    o = obs(spark, sf)
-    known = [r[0] for r in o.select("station").distinct().orderBy("station").collect()]
-    steps = {s: (lambda d, s=s: d.filter(F.col("station") == s)) for s in known}
-    out = None
-    for s in ST.select_steps(known, exclude=["view"]):
-        p = o.transform(steps[s])
-        out = p if out is None else out.unionByName(p)
-    return out.groupBy("station").agg(F.count(F.lit(1)).alias("n"))
+    return ST.select_rows(obs(spark, sf), "station", exclude=["view"]).groupBy("station").agg(F.count(F.lit(1)).alias("n"))

@@ -90,10 +90,10 @@ def _(spark, sf):
     return SE.read_series(provider_obs(spark, sf), K, order_of(spark, sf), 3, "2024-01-03 00:00:00", "2024-01-25 00:00:00", seconds=width(spark, sf))
 
 
-@query("mrg7_read_series_multi", f"WITH {PROV}, t AS (SELECT station, param, ts, p, CASE WHEN p = 2 THEN value * 2 ELSE value END AS value FROM pv WHERE p <> 1) SELECT station, param, ts, first(value ORDER BY p) FILTER (value IS NOT NULL) AS value FROM t GROUP BY ALL")
+@query("mrg7_read_series_multi", f"WITH {PROV}, t AS (SELECT station, param, ts, p, CASE p WHEN 2 THEN value * 2 WHEN 1 THEN round(value) ELSE value END AS value FROM pv) SELECT station, param, ts, first(value ORDER BY p) FILTER (value IS NOT NULL) AS value FROM t GROUP BY ALL")
 def _(spark, sf):
     return SE.read_series_multi(provider_obs(spark, sf), K, [
-        (F.col("provider") == "ncro", None), (F.col("provider") == "usgs", lambda d: d.withColumn("value", F.col("value") * 2))])
+        (F.col("provider") == "ncro", None), (F.col("provider") == "cdec", lambda d: d.withColumn("value", F.round("value"))), (F.col("provider") == "usgs", lambda d: d.withColumn("value", F.col("value") * 2))])
 
 
 @query("mrg8_latest_wins", f"WITH {PROV} SELECT station, param, ts, arg_max_null(value, p) AS value FROM pv WHERE p < 2 GROUP BY ALL")

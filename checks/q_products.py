@@ -41,12 +41,26 @@ def _(spark, sf):
     return rounded(P.regression_impute(y, x, K, F.dayofmonth("ts") > 3, width(spark, sf)), "value", "predicted")
 
 
-@query("prd2_tidal_gap_fill")
+_TIDAL = f"""{HOURLY}, src AS (SELECT station, param, ts, CASE WHEN day(ts) NOT IN (11, 12) THEN coalesce(value, 20.0) END AS o, coalesce(value, 20.0) AS p, coalesce(value, 20.0) * 2 + 1 AS n FROM hourly),
+tap AS (SELECT j, (CASE WHEN j = 0 THEN 1 ELSE sin(pi() * 2 * j / 12.0) / (pi() * 2 * j / 12.0) END) * (CASE WHEN j = 0 THEN 1 ELSE sin(pi() * j / 19.0) / (pi() * j / 19.0) END) AS w0 FROM range(-18, 19) t(j)),
+tapn AS (SELECT j, w0 / (SELECT sum(w0) FROM tap) AS w FROM tap),
+f AS (SELECT a.station, a.param, a.ts, a.o, CASE WHEN count(b.o) = 37 THEN sum(b.o * w) END AS so, CASE WHEN count(b.n) = 37 THEN sum(b.n * w) END AS sn, CASE WHEN count(b.p) = 37 THEN a.p - sum(b.p * w) END AS tide
+ FROM src a CROSS JOIN tapn LEFT JOIN src b ON b.station = a.station AND b.param = a.param AND b.ts = a.ts + to_hours(j) GROUP BY a.station, a.param, a.ts, a.o, a.p),
+fit AS (SELECT station, param, regr_slope(so, sn) AS m, regr_intercept(so, sn) AS c FROM f GROUP BY ALL), x AS (SELECT f.*, so AS p, m * sn + c AS s, epoch_us(ts) AS t FROM f JOIN fit USING (station, param)),
+e AS (SELECT *, last_value(CASE WHEN p IS NOT NULL THEN {{'d': p - s, 't': t}} END IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS a,
+ first_value(CASE WHEN p IS NOT NULL THEN {{'d': p - s, 't': t}} END IGNORE NULLS) OVER ({WH} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS b FROM x),
+g AS (SELECT *, least(6 * 3600000000, coalesce(b.t - a.t, 6 * 3600000000)) AS len FROM e),
+bl AS (SELECT station, param, ts, o, tide, coalesce(p, s + coalesce(greatest(1 - (t - a.t) / len, 0.0) * a.d, 0) + coalesce(greatest(1 - (b.t - t) / len, 0.0) * b.d, 0)) AS value, row_number() OVER ({WH}) AS pos FROM g),
+fl AS (SELECT *, last_value(value IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS va, last_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS pa,
+ first_value(value IGNORE NULLS) OVER ({WH} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS vb, first_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER ({WH} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS pb FROM bl)"""
+
+
+@query("prd2_tidal_gap_fill", f"WITH {_TIDAL} SELECT station, param, ts, round(coalesce(o, coalesce(value, va + (vb - va) * (pos - pa) / (pb - pa), va) + tide), 4) AS value FROM fl")
 def _(spark, sf):
     y, x = yx(spark, sf)
     full = y.withColumn("value", F.coalesce("value", F.lit(20.0)))
     holed = full.withColumn("value", F.when(~F.dayofmonth("ts").isin(11, 12), F.col("value")))
-    return P.tidal_gap_fill(holed, full, full.withColumn("value", F.col("value") * 2 + 1), K, 3600, 12 * 3600, 6 * 3600, seconds=width(spark, sf))
+    return P.tidal_gap_fill(holed, full, full.withColumn("value", F.col("value") * 2 + 1), K, 3600, 12 * 3600, 6 * 3600, seconds=width(spark, sf)).withColumn("value", F.round("value", 4))
 
 
 @query("prd3_neighbour_fill", f"""WITH {HOURLY}, x AS (SELECT station, param, ts - INTERVAL 2 HOUR AS ts, coalesce(value, hour(ts)) * 3 + 1 AS value FROM hourly),
@@ -128,7 +142,7 @@ f AS (SELECT *, last_value(value IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS a
 v AS (SELECT station, param, ts, coalesce(value, CASE WHEN pos - pa <= 3 THEN coalesce(a + (b - a) * (pos - pa) / (pb - pa), a) END) AS v FROM f)
 SELECT station, param, ts, round(CASE WHEN v < 50 OR v IS NULL THEN 0 ELSE v END, 6) AS value FROM v""")
 def _(spark, sf):
-    return rounded(P.threshold_zero_flow(hourly(spark, sf), K, 1800, 50.0, 3), "value")
+    return rounded(P.threshold_zero_flow(hourly(spark, sf), K, 1800, 50.0, 3, seconds=width(spark, sf)), "value")
 
 
 @query("prd7_interpolated_flow", f"""WITH {HOURLY}, n AS (SELECT *, row_number() OVER ({WH}) AS pos FROM hourly),

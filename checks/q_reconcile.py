@@ -104,6 +104,26 @@ def _(spark, sf):
     return R.plan_update(s.filter(F.dayofyear("ts") % 2 == 0), r, K, YEAR, p3=1.0, p10=1.0, escalate=False)
 
 
+def _ragged(d):
+    """Days of a shard with no step of their own."""
+    return d.filter((F.dayofyear("ts") % 7).isin(0, 1, 3))
+
+
+for _name, _status, _action in (("dst_irregular", "dst_irregular", "replace_write"), ("src_irregular", "src_irregular", "quarantine_skip"),
+                                ("both_irregular", "both_irregular", "quarantine_skip"), ("steps_replace", "both_regular_different", "replace_write")):
+    @query(f"rec6_{_name}", f"""WITH {SIDES}, odd AS (SELECT DISTINCT station, param, shard FROM staged WHERE CAST(shard AS INT) BETWEEN 1996 AND 2000)
+SELECT station, param, shard, '{_action}' AS action, '{_status}' AS reason FROM odd UNION ALL SELECT DISTINCT station, param, shard, 'write', 'missing_in_repo' FROM staged WHERE shard = '2001'""")
+    def _(spark, sf, name=_name):
+        s, r = sides(spark, sf)
+        if name in ("src_irregular", "both_irregular"):
+            s = _ragged(s).withColumn("value", F.col("value") + 1)
+        if name in ("dst_irregular", "both_irregular"):
+            r = _ragged(r)
+        if name == "steps_replace":
+            s = s.filter(F.dayofyear("ts") % 2 == 0)
+        return R.plan_update(s, r, K, YEAR, p3=1.0, p10=1.0, escalate=False, freq_mismatch="replace" if name == "steps_replace" else "quarantine")
+
+
 @query("rec7_escalate", f"WITH {SIDES} SELECT * FROM full_plan")
 def _(spark, sf):
     s, r = sides(spark, sf)

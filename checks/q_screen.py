@@ -73,7 +73,18 @@ def _(spark, sf):
     return S.med_outliers(_u(spark, sf), K, level=1.0, scale=120.0, filt_len=7, quantiles=(0.05, 0.95), bounds=(0, 250), seconds=width(spark, sf))
 
 
-@query("scr8_detect_lof")
+_LOF = f"""WITH {_U}, d AS (SELECT station, param, value, count(*) AS n FROM u WHERE value IS NOT NULL GROUP BY ALL),
+x AS (SELECT station, param, value, c, row_number() OVER (PARTITION BY station, param ORDER BY value, c) AS i, count(*) OVER (PARTITION BY station, param) AS m FROM (SELECT *, unnest(range(least(n, 6))) AS c FROM d)),
+nb AS (SELECT a.station, a.param, a.i, b.i AS j, abs(b.value - a.value) AS dist, row_number() OVER (PARTITION BY a.station, a.param, a.i ORDER BY abs(b.value - a.value), b.i) AS r, a.m FROM x a JOIN x b ON a.station = b.station AND a.param = b.param AND b.i BETWEEN a.i - 5 AND a.i + 5 AND b.i <> a.i),
+near AS (SELECT * FROM nb WHERE r <= least(5, m - 1)), kd AS (SELECT station, param, i, max(dist) AS k FROM near GROUP BY ALL),
+den AS (SELECT n.station, n.param, n.i, 1 / (avg(greatest(n.dist, kd.k)) + 1e-10) AS de FROM near n JOIN kd ON kd.station = n.station AND kd.param = n.param AND kd.i = n.j GROUP BY ALL),
+lf AS (SELECT n.station, n.param, n.i, avg(e.de) AS around FROM near n JOIN den e ON e.station = n.station AND e.param = n.param AND e.i = n.j GROUP BY ALL),
+lof AS (SELECT x.station, x.param, x.value, coalesce(around / de, 1) AS lof FROM x LEFT JOIN lf USING (station, param, i) LEFT JOIN den USING (station, param, i) WHERE c = 0),
+cut AS (SELECT station, param, quantile_cont(-lof, 0.02) AS cut FROM u JOIN lof USING (station, param, value) GROUP BY ALL)
+SELECT u.station, u.param, u.ts, u.value, coalesce(-lof < cut, false) AS anomaly FROM u LEFT JOIN lof USING (station, param, value) LEFT JOIN cut USING (station, param)"""
+
+
+@query("scr8_detect_lof", _LOF)
 def _(spark, sf):
     return S.detect_lof(_u(spark, sf), K, 5, 0.02)
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import (
+    ORACLE,
     DAILY, HB, HOURLY, K, OBS, UP, W, WH, daily, hourly, hourly_rows, obs, query, r6, table, width,
 )
 from tidewell.operators import aggs as A, filters as FL, grid as G, windows as WN
@@ -232,7 +233,7 @@ f AS (SELECT x.station, x.param, x.ts, x.value, CASE WHEN count(b.value) = 17 TH
  FROM full_s x JOIN lim USING (station, param) CROSS JOIN tapn LEFT JOIN full_s b ON b.station = x.station AND b.param = x.param AND b.ts = least(greatest(x.ts + to_hours(j), lim.a), lim.b) GROUP BY ALL)
 SELECT station, param, ts, value, round(filtered, 6) AS filtered FROM f""")
 def _(spark, sf):
-    return WN.gaussian_smooth(_full(spark, sf), K, 3600, 2.0).withColumn("filtered", r6(F.col("filtered")))
+    return WN.gaussian_smooth(_full(spark, sf), K, 3600, 2.0, seconds=width(spark, sf)).withColumn("filtered", r6(F.col("filtered")))
 
 
 PUMPS = {"T/IS": 1, "I/S": 1, "I/P": 1, "S/D": 0, "SED": 0, "SO/S": 0, "FOG": 0}
@@ -324,6 +325,16 @@ def _(spark, sf):
     return G.interp_to(obs(spark, sf), K, 900, seconds=width(spark, sf)).withColumn("value", r6(F.col("value")))
 
 
+_DEC = "dec AS (SELECT station, param, CAST(least(floor(median(length(rtrim(split_part(CAST(CAST(value AS DECIMAL(38, 10)) AS VARCHAR), '.', 2), '0')))), 4) AS INTEGER) AS d FROM obs WHERE value IS NOT NULL GROUP BY ALL)"
+
+
+@query("tim4_interp_decimals", ORACLE["tim4_interp_to"].replace("SELECT station, param, make_timestamp(us) AS ts, round(coalesce(value, a + (b - a) * (us - ta) / (tb - ta), a), 6) AS value FROM f WHERE g = 1",
+       f", {_DEC} SELECT station, param, make_timestamp(us) AS ts, round(coalesce(value, a + (b - a) * (us - ta) / (tb - ta), a) * power(10, d)) / power(10, d) AS value FROM f JOIN dec USING (station, param) WHERE g = 1"))
+def _(spark, sf):
+    o = obs(spark, sf)
+    return G.interp_to(o, K, 900, A.series_decimals(o, K), seconds=width(spark, sf))
+
+
 def two_steps(spark, sf):
     """Each series as an hourly part 0 and a two-hourly part 1."""
     h = hourly(spark, sf)
@@ -336,7 +347,7 @@ SELECT g.station, g.param, g.part, g.ts, p.value FROM g LEFT JOIN p USING (stati
 def _(spark, sf):
     p = two_steps(spark, sf)
     fr = G.infer_freq(p, [*K, "part"], seconds=width(spark, sf)).select(*K, "part", "freq")
-    return G.resolve_freq(p, K, fr, "as_freq_finer", (3600,)).select(*K, "part", "ts", "value")
+    return G.resolve_freq(p, K, fr, "as_freq_finer", (3600,), seconds=width(spark, sf)).select(*K, "part", "ts", "value")
 
 
 @query("tim5_freq_choice", f"""WITH {OBS} SELECT station, param, CAST(7200 AS BIGINT) AS freq, true AS mixed FROM obs GROUP BY ALL""")
@@ -359,7 +370,7 @@ f AS (SELECT *, last_value(value IGNORE NULLS) OVER ({WH} {UP} 1 PRECEDING) AS a
  first_value(value IGNORE NULLS) OVER ({WH} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS b, first_value(CASE WHEN value IS NOT NULL THEN pos END IGNORE NULLS) OVER ({WH} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS pb FROM x)
 SELECT station, param, ts, value, round(coalesce(value, CASE WHEN pos - pa <= 3 THEN coalesce(a + (b - a) * (pos - pa) / (pb - pa), a) END), 6) AS filled FROM f""")
 def _(spark, sf):
-    return G.resample_interp(hourly(spark, sf), K, 1800, 3).withColumn("filled", r6(F.col("filled")))
+    return G.resample_interp(hourly(spark, sf), K, 1800, 3, seconds=width(spark, sf)).withColumn("filled", r6(F.col("filled")))
 
 
 DISAGG = """s AS (SELECT station, param, ts, value AS a, lag(value) OVER w AS p, lag(ts) OVER w AS tp, lead(value) OVER w AS q, lead(ts) OVER w AS tq FROM daily WINDOW w AS (PARTITION BY station, param ORDER BY ts)),

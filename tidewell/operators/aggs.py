@@ -29,12 +29,12 @@ def bucket_of(description, sensor_id=None, special: dict | None = None) -> Colum
     return out
 
 
-def sublocation_means(df, keys, bucket="subloc", value="value", ts="ts") -> DataFrame:
+def sublocation_means(df, keys, bucket="subloc", value="value", ts="ts", seconds=DEFAULT_SECONDS) -> DataFrame:
     """AGG-2.  Mean of the sensors of a bucket at each time; a bucket without
     any valid value is dropped."""
     m = df.groupBy(*keys, bucket, ts).agg(F.avg(value).alias(value))
-    alive = df.filter(F.col(value).isNotNull()).select(*keys, bucket).distinct()
-    return m.join(alive, [*keys, bucket], "left_semi")
+    alive = df.filter(F.col(value).isNotNull()).select(*keys, bucket).distinct().withColumn("__alive", F.lit(True))
+    return attach(m, alive, [*keys, bucket], seconds, ts).filter("__alive").drop("__alive")
 
 
 def gate_reduce(gates, thresh: float) -> tuple[Column, Column]:

@@ -131,7 +131,7 @@ def interp_to(df, keys, step_seconds: int, decimals: DataFrame | None = None, va
     out = s.filter("__g = 1").select(*keys, ts, F.coalesce(F.col(value), line, a["v"]).alias(value))
     if decimals is None:
         return out
-    d = out.join(decimals, list(keys), "left")
+    d = attach(out, decimals, keys, seconds, ts)
     scale = F.pow(F.lit(10.0), F.col("decimals"))
     return d.withColumn(value, F.coalesce(F.round(F.col(value) * scale) / scale, F.col(value))).drop("decimals")
 
@@ -178,19 +178,19 @@ def freq_choice(freqs: DataFrame, keys, policy: str | None, order="part") -> Dat
 
 
 def resolve_freq(df, keys, freqs: DataFrame, policy: str | None, steps: tuple[int, ...], part="part",
-                 value="value", ts="ts") -> DataFrame:
+                 value="value", ts="ts", seconds=DEFAULT_SECONDS) -> DataFrame:
     """TIM-5.  Bring every part of every series to the step of its series.
 
     ``steps``: the steps that occur, known from ``freqs``; one grid operation
     per step over all the series that use it.
     """
     choice = freq_choice(freqs, keys, policy, part)
-    tagged = attach(df, choice.select(*keys, "freq"), keys, ts=ts)
+    tagged = attach(df, choice.select(*keys, "freq"), keys, seconds, ts)
     parts = []
     for s in steps:
         sub = tagged.filter(F.col("freq") == s).drop("freq")
         if policy and policy.startswith("interp"):
-            parts.append(interp_to(sub, [*keys, part], s, value=value, ts=ts))
+            parts.append(interp_to(sub, [*keys, part], s, value=value, ts=ts, seconds=seconds))
         else:
             parts.append(asfreq(sub, [*keys, part], s, (value,), ts))
     out = parts[0]
@@ -325,9 +325,9 @@ def on_steps(df, keys, facts: DataFrame, value="value", ts="ts", seconds=DEFAULT
     return stay.unionByName(out)
 
 
-def resample_interp(df, keys, step_seconds: int, limit: int | None, value="value", ts="ts", out="filled"):
+def resample_interp(df, keys, step_seconds: int, limit: int | None, value="value", ts="ts", out="filled", seconds=DEFAULT_SECONDS):
     """TIM-7.  TIM-3 grid, then WIN-1."""
-    return interpolate(asfreq(df, keys, step_seconds, (value,), ts), keys, limit, value, out, (ts,))
+    return interpolate(asfreq(df, keys, step_seconds, (value,), ts), keys, limit, value, out, (ts,), seconds)
 
 
 def disaggregate(df, keys, period_seconds: int, step_seconds: int, value="value", ts="ts",

@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.operators.checks import require_empty
+from tidewell.operators.chunks import DEFAULT_SECONDS, attach
 from tidewell.operators.grid import freq_class, infer_freq
 from tidewell.operators.merge import ts_merge, ts_splice
+from tidewell.session import stage
 
 SINGLE = "__single__"
 VALUE, FLAG = "value", "user_flag"
@@ -103,11 +105,6 @@ def vet_shards(staged, repo, keys, cols, this_year, recent_years=3, p3=0.15, p10
                     ((F.col("s_n") == F.col("r_n")) & (F.col("s_digest") == F.col("r_digest"))).alias("equal"))
 
 
-def _shard_freqs(side, todo, keys):
-    d = side.join(todo, [*keys, "shard"], "left_semi")
-    return infer_freq(d, [*keys, "shard"]).select(*keys, "shard", "freq")
-
-
 def freq_gate(status: Column, freq_mismatch="quarantine") -> Column:
     """Action that the frequency classes force, NULL to go on."""
     return (F.when(status == "dst_irregular", "replace_write")
@@ -116,7 +113,7 @@ def freq_gate(status: Column, freq_mismatch="quarantine") -> Column:
 
 
 def plan_update(staged, repo, keys, this_year: int, recent_years=3, p3=0.15, p10=0.05, atol=0.0, rtol=0.0,
-                regular=True, freq_mismatch="quarantine", allow_new_series=True, escalate=True) -> DataFrame:
+                regular=True, freq_mismatch="quarantine", allow_new_series=True, escalate=True, seconds=DEFAULT_SECONDS) -> DataFrame:
     """REC-6 and REC-7.  (keys, shard, action, reason).
 
     Digests and the inspection rule come first; only the rows of shards that
@@ -129,8 +126,13 @@ def plan_update(staged, repo, keys, this_year: int, recent_years=3, p3=0.15, p10
     vet = vet_shards(staged, repo, keys, [VALUE], this_year, recent_years, p3, p10)
     new = vet.filter("missing").select(*sh, F.lit("write").alias("action"), F.lit("missing_in_repo").alias("reason"))
     todo = vet.filter("NOT missing AND inspected AND NOT equal").select(*sh)
-    a, b = staged.join(todo, sh, "left_semi"), repo.join(todo, sh, "left_semi")
-    t = _two_sided(a, b, keys, [VALUE])
+    # rows of the shards that differ, of both sides: compared and asked for their steps
+    cols = [*sh, "ts", VALUE]
+    side = lambda d, i: d.select(*cols).join(todo, sh, "left_semi").withColumn("side", F.lit(i))
+    rows = side(staged, 0).unionByName(side(repo, 1))
+    rows = stage(rows) if regular else rows
+    t = rows.groupBy(*sh, "ts").agg(
+        *[F.max(F.when(F.col("side") == i, F.struct(VALUE))).alias(n) for i, n in ((0, "s"), (1, "r"))])
     s, r = F.col("s"), F.col("r")
     ins, inr = s.isNotNull(), r.isNotNull()
     ts = F.col("ts")
@@ -146,8 +148,7 @@ def plan_update(staged, repo, keys, this_year: int, recent_years=3, p3=0.15, p10
               .when(F.col("changed") > 0, "overlap_values_changed"))
     f = f.select(*sh, reason.alias("reason"))
     if regular:
-        fr = _shard_freqs(staged, todo, keys).withColumnRenamed("freq", "sf").join(
-            _shard_freqs(repo, todo, keys).withColumnRenamed("freq", "rf"), sh)
+        fr = infer_freq(rows, [*sh, "side"], seconds=seconds).groupBy(*sh).agg(*[F.max(F.when(F.col("side") == i, F.col("freq"))).alias(n) for i, n in ((0, "sf"), (1, "rf"))])
         fr = fr.select(*sh, freq_class(F.col("sf"), F.col("rf")).alias("status"))
         f = f.join(fr, sh)
         forced = freq_gate(F.col("status"), freq_mismatch)
@@ -168,7 +169,7 @@ def escalated(plan, shards, keys, this_year: int, recent_years=3) -> DataFrame:
     return plan.unionByName(rest.select(*sh, F.lit("splice_write").alias("action"), F.lit("escalated_due_to_old_change").alias("reason")))
 
 
-def apply_update(staged, repo, plan, keys, prefer="staged", regular=True) -> DataFrame:
+def apply_update(staged, repo, plan, keys, prefer="staged", regular=True, seconds=DEFAULT_SECONDS) -> DataFrame:
     """REC-8.  New content of the touched shards only (keys, shard, ts, value)."""
     sh = [*keys, "shard"]
     whole = plan.filter(F.col("action").isin("write", "replace_write")).select(*sh)
@@ -178,10 +179,10 @@ def apply_update(staged, repo, plan, keys, prefer="staged", regular=True) -> Dat
     s, r = staged.join(mixed, sh, "left_semi").select(*cols), repo.join(mixed, sh, "left_semi").select(*cols)
     first = [s, r] if prefer == "staged" else [r, s]
     if regular:
-        both = ts_merge(first, sh, VALUE, strict_priority=True)
+        both = ts_merge(first, sh, VALUE, strict_priority=True, seconds=seconds)
     else:
         # later times win from their first valid time: the preferred side goes last
-        both = ts_splice([r, s], sh, "last" if prefer == "staged" else "first", VALUE)
+        both = ts_splice([r, s], sh, "last" if prefer == "staged" else "first", VALUE, seconds=seconds)
     return full.unionByName(both.select(*cols))
 
 
@@ -274,6 +275,7 @@ def failure_mask(failures) -> DataFrame:
     return failures.agg(F.coalesce(F.bit_or("code"), F.lit(0)).alias("mask"))
 
 
-def only_series(df, chosen, keys) -> DataFrame:
-    """REC-16."""
-    return df.join(chosen.select(*keys).distinct(), list(keys), "left_semi")
+def only_series(df, chosen, keys, seconds=DEFAULT_SECONDS, ts="ts") -> DataFrame:
+    """REC-16.  The choice meets the chunks of a series, so a hot one stays spread."""
+    picked = chosen.select(*keys).distinct().withColumn("__picked", F.lit(True))
+    return attach(df, picked, keys, seconds, ts).filter("__picked").drop("__picked")

@@ -202,7 +202,7 @@ def gaussian_weights(sigma_steps: float, truncate: float = 4.0) -> np.ndarray:
 
 
 def fir(df, keys, step_seconds: int, weights: np.ndarray, value="value", out="filtered", ts="ts",
-        edge="null", block=MAX_BLOCK) -> DataFrame:
+        edge="null", block=MAX_BLOCK, seconds=DEFAULT_SECONDS) -> DataFrame:
     """Symmetric filter of a gridded series.  NULL where a tap is missing or
     absent; ``edge="nearest"`` repeats the first and last value instead of
     running off the ends.
@@ -216,7 +216,7 @@ def fir(df, keys, step_seconds: int, weights: np.ndarray, value="value", out="fi
     step = step_seconds * MICROS
     g = df.select(*keys, ts, F.col(value).cast("double").alias(value), (micros(ts) / F.lit(step)).cast("long").alias("__i"))
     if edge == "nearest":
-        g = scan(g, keys, {"__lo": overall("min", "__i"), "__hi": overall("max", "__i")}, (ts,))
+        g = scan(g, keys, {"__lo": overall("min", "__i"), "__hi": overall("max", "__i")}, (ts,), seconds)
     else:
         g = g.withColumn("__lo", F.lit(0).cast("long")).withColumn("__hi", F.lit(0).cast("long"))
     rows = halo_blocks(g, keys, "__i", k, k, block)
@@ -250,9 +250,9 @@ def lowpass(df, keys, step_seconds: int, cutoff_seconds: int, value="value", out
     return fir(df, keys, step_seconds, lanczos_weights(cutoff_seconds / step_seconds), value, out, ts, block=block)
 
 
-def gaussian_smooth(df, keys, step_seconds: int, sigma_steps: float, value="value", out="filtered", ts="ts", block=MAX_BLOCK):
+def gaussian_smooth(df, keys, step_seconds: int, sigma_steps: float, value="value", out="filtered", ts="ts", block=MAX_BLOCK, seconds=DEFAULT_SECONDS):
     """WIN-10.  Gaussian filter, edge values repeated, cut at four sigma."""
-    return fir(df, keys, step_seconds, gaussian_weights(sigma_steps), value, out, ts, "nearest", block)
+    return fir(df, keys, step_seconds, gaussian_weights(sigma_steps), value, out, ts, "nearest", block, seconds)
 
 
 def subtidal_split(df, keys, step_seconds: int, cutoff_seconds: int, value="value", ts="ts", block=MAX_BLOCK):

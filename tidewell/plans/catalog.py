@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.names import series_id, wildcard_name
 from tidewell.operators.checks import require_empty
+from tidewell.operators.chunks import DEFAULT_SECONDS, attach
 
 OPEN_END = 9999
 # Columns of the registry and the file list that no inventory shows
@@ -117,10 +118,10 @@ def drop_held(request: DataFrame, catalog: DataFrame, keys=("station_id", "param
     return request.join(existing_series(catalog, keys), list(keys), "left_anti")
 
 
-def min_rows_filter(df: DataFrame, keys, n=8, value="value") -> DataFrame:
+def min_rows_filter(df: DataFrame, keys, n=8, value="value", ts="ts", seconds=DEFAULT_SECONDS) -> DataFrame:
     """CAT-12.  Series with fewer than ``n`` valid points dropped."""
     good = df.groupBy(*keys).agg(F.count(value).alias("__n")).filter(F.col("__n") >= n)
-    return df.join(good.select(*keys), list(keys), "left_semi")
+    return attach(df, good, keys, seconds, ts).filter("__n IS NOT NULL").drop("__n")
 
 
 # CAT-13.  Fixed values: unit texts (lower case) and the unit a parameter has by default

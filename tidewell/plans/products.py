@@ -11,7 +11,7 @@ from tidewell.operators.chunks import DEFAULT_SECONDS, attach, prev, scan
 from tidewell.operators.checks import require_empty, set_aside
 from tidewell.operators.filters import mask_range
 from tidewell.operators.grid import disaggregate, infer_freq, ingest_plan, on_steps, regularize, resample_interp
-from tidewell.operators.merge import dedupe, fill_from, merge_shards, ts_blend, ts_merge, ts_splice
+from tidewell.operators.merge import concat, dedupe, fill_from, merge_shards, ts_blend, ts_merge, ts_splice
 from tidewell.operators.windows import active_ffill, cumulative_level, gaussian_smooth, interpolate, lowpass, subtidal_split
 from tidewell.plans.catalog import enrich_meta, min_rows_filter
 from tidewell.sources.shards import live_shards, missing_year_meta, with_shard_year
@@ -35,9 +35,11 @@ def regression_impute(y, x, keys, within: Column | None = None, seconds=DEFAULT_
 def tidal_gap_fill(obs, prediction, neighbour, keys, step_seconds: int, cutoff_seconds: int, blend_seconds: int, limit=None, seconds=DEFAULT_SECONDS) -> DataFrame:
     """PRD-2.  Subtidal part of the observations imputed from a neighbour and
     blended, tide from the prediction added, gaps of the raw series filled."""
-    so = subtidal_split(obs, keys, step_seconds, cutoff_seconds).select(*keys, "ts", F.col("subtidal").alias("value"))
-    sn = subtidal_split(neighbour, keys, step_seconds, cutoff_seconds).select(*keys, "ts", F.col("subtidal").alias("value"))
-    tide = subtidal_split(prediction, keys, step_seconds, cutoff_seconds).select(*keys, "ts", F.col("tidal").alias("value"))
+    # three series of one grid are filtered in one pass, which is written for its three readers
+    named = [d.select(*keys, "ts", F.col("value").cast("double").alias("value"), F.lit(n).alias("__role")) for n, d in (("obs", obs), ("near", neighbour), ("tide", prediction))]
+    split = stage(subtidal_split(concat(*named), [*keys, "__role"], step_seconds, cutoff_seconds))
+    part = lambda role, column: split.filter(F.col("__role") == role).select(*keys, "ts", F.col(column).alias("value"))
+    so, sn, tide = part("obs", "subtidal"), part("near", "subtidal"), part("tide", "tidal")
     pred = regression_impute(so, sn, keys, seconds=seconds).select(*keys, "ts", F.col("predicted").alias("value"))
     blended = _filled(ts_blend(so, pred, keys, blend_seconds, seconds=seconds), keys, limit, seconds)
     built = series_arith(blended, tide, "+", keys)
@@ -107,9 +109,9 @@ def daily_to_fine_flow(daily, params, keys, period_seconds: int, step_seconds: i
     return f.select(*keys, "ts", F.least(F.greatest(v, F.col("low")), F.col("high")).alias("value"))
 
 
-def threshold_zero_flow(df, keys, step_seconds: int, threshold: float, limit=20) -> DataFrame:
+def threshold_zero_flow(df, keys, step_seconds: int, threshold: float, limit=20, seconds=DEFAULT_SECONDS) -> DataFrame:
     """PRD-6.  Fine grid, short gaps filled, below the threshold and missing -> 0."""
-    r = resample_interp(df, keys, step_seconds, limit)
+    r = resample_interp(df, keys, step_seconds, limit, seconds=seconds)
     v = F.col("filled")
     return r.select(*keys, "ts", F.when((v < threshold) | v.isNull(), F.lit(0.0)).otherwise(v).alias("value"))
 
