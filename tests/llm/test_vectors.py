@@ -130,3 +130,13 @@ def test_odd_vectors_and_repeats(spark):
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert sorted((r.vec_id or -1, r.n_links) for r in got.collect())[:4] == [(-1, 0), (3, 2), (3, 2), (4, 2)]
     assert rp.near_vectors(frame(spark, [])).collect() == []
+
+
+def test_vectors_of_another_length_and_repeated_ids(spark):
+    rows = [(i, "a", [1.0, float(i % 4), 0.5]) for i in range(12)] + [(50, "a", [1.0, 2.0]), (51, "a", [1.0, 2.0]), (3, "a", [9.0, 9.0, 9.0]), (None, "a", [1.0, 0.0, 0.5])]
+    d = spark.createDataFrame(rows, "vec_id long, label string, embedding array<float>").repartition(5)
+    first = sorted(map(tuple, ann.nearest(d, k=3).collect()))
+    assert first == sorted(map(tuple, ann.nearest(d.repartition(2), k=3).collect()))
+    assert {r[0] for r in first} == set(range(12))
+    near = {r.vec_id: (r.n_links, r.component_id) for r in rp.near_vectors(d).collect() if r.vec_id in (50, 51)}
+    assert near == {50: (0, 50), 51: (0, 51)}

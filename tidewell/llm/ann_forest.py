@@ -23,7 +23,8 @@ candidates (they still may be queries).  A query that needs a prefix shorter tha
 `depth` for its m candidates, or finds fewer than k rows, is compared with all rows.
 
 Defined cases: unusable vectors (null, zero, null or non-finite components) and rows
-without an id take no part; repeated ids count once; ties go to the smaller id; with
+without an id take no part, nor do vectors of another length than the most frequent one;
+of repeated ids the vector with the smallest hash counts, and it asks if any of them does; ties go to the smaller id; with
 fewer than k candidates all are returned; an empty table gives an empty one; other
 columns are not read.
 """
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewell.llm.tables import written
-from tidewell.llm.vectors import matrix, packed, unpacked, usable
+from tidewell.llm.vectors import matrix, packed, unpacked, usable, usual_length
 
 BITS = 32
 CHUNK_ROWS = 20_000
@@ -132,7 +133,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding
     """(query_id, rank, vec_id, score) of the k rows with the largest inner product found for
     each query (rows where `query` holds; all, if none is given)."""
     rows = vectors.filter(F.col(id_col).isNotNull() & usable(column)).select(F.col(id_col).cast("long").alias("id"), F.col(column).alias("v"), (F.lit(True) if query is None else query).alias("asks"))
-    rows = written(rows.dropDuplicates(["id"]), "vectors")
+    rows = rows.filter(F.size("v") == usual_length(rows, "v"))
+    # of rows that repeat an id always the same one, however often a task runs
+    rows = written(rows.groupBy("id").agg(F.min_by("v", F.xxhash64("v")).alias("v"), F.bool_or("asks").alias("asks")), "vectors")
     spark = vectors.sparkSession
     kind = np.float32 if rows.schema["v"].dataType.elementType.simpleString() == "float" else np.float64  # vectors travel as they are stored
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -16,8 +16,8 @@ count for each row and one edge for each row to the smallest row it is connected
 Large leaves are dealt into cells of two chunks each, so no task holds a leaf.  Equal
 vectors of a label are one class with a size, and are never compared.
 
-Defined cases: vectors that are null, zero or hold null or non-finite components, and
-rows without a label, link with nothing and are their own component; null ids keep
+Defined cases: vectors that are null, zero, hold null or non-finite components or have
+another length than the most frequent one, and rows without a label, link with nothing and are their own component; null ids keep
 their row with a null component; repeated ids are versions of one row; an empty table
 gives an empty one; other columns are not read.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewell.llm.graph import components
 from tidewell.llm.tables import written
-from tidewell.llm.vectors import matrix, usable
+from tidewell.llm.vectors import matrix, usable, usual_length
 
 SAMPLE = 8_000
 LEAF_ROWS = 1_000
@@ -146,7 +146,9 @@ def _pairs_in_leaf(threshold: float, trees: int):
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding", label: str = "label", *, cosine: float = 0.98, trees: int = 4, spill: float = 0.04, seed: int = 11) -> DataFrame:
     """(id, n_links, component_id, kept) for every row."""
     every = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label).alias("label"), F.col(column).alias("v"))
-    able = every.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & usable("v"))
+    known = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & usable("v"), F.lit(False))
+    fit = known & (F.size("v") == usual_length(every.filter(known), "v"))
+    able = every.filter(fit)
     # equal vectors of a label are one class, named by its smallest id
     able = written(able.withColumn("h", F.xxhash64("v")), "able")
     classes = able.groupBy("label", "v", "h").agg(F.min("id").alias("c"), F.countDistinct("id").alias("size"))
@@ -184,6 +186,6 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "embe
     of_class = classes.select("label", "v", "h", "c", "size").join(counts, "c", "left").join(comp, "c", "left")
     of_class = of_class.select("c", (F.coalesce("others", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "c").alias("component_id"), "label", "h", "v")
     linked = able.join(of_class, ["label", "h", "v"]).select("id", "n_links", "component_id")
-    alone = every.filter(~(F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & usable("v"), F.lit(False)))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    alone = every.filter(~F.coalesce(fit, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def usable(column: str) -> Column:
@@ -14,6 +14,13 @@ def usable(column: str) -> Column:
     return c.isNotNull() & (F.size(c) > 0) & ~bad & F.exists(c, lambda x: x != 0)
 
 
+def usual_length(rows: DataFrame, column: str) -> int:
+    """The most frequent number of components (the smaller of two as frequent), 0 for an
+    empty table: vectors of another length cannot be compared with these."""
+    found = rows.groupBy(F.size(column).alias("d")).count().orderBy(F.desc("count"), "d").first()
+    return found["d"] if found else 0
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """Rows of equal length as a matrix of doubles."""
     n = len(column)
