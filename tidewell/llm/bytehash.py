@@ -45,18 +45,33 @@ def _powers(n: int, base: np.uint64) -> np.ndarray:
     return out
 
 
-_INVERSE = U(pow(int(_ODD), -1, 2**64))
+@lru_cache(maxsize=2)
+def _shared(key: int) -> tuple[np.ndarray, np.uint64]:
+    """Letters and base that all tasks of a run have in common."""
+    rng = np.random.default_rng([key, 1])
+    return rng.integers(1, 2**63, 256, dtype=np.uint64) | U(1), U(int(rng.integers(1, 2**62)) << 1 | 1)
+
+
+_KEPT = 1 << 18  # powers of one base that a worker keeps
+
+
+@lru_cache(maxsize=4)
+def _kept_powers(base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_KEPT, base), _powers(_KEPT, U(pow(int(base), -1, 2**64)))
 
 
 class Rolling:
     """Hash of any range of one buffer, of bytes or of other numbers, from prefix sums; for candidates only."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, key: int | None = None):
+        """With a key, hashes are the same in all tasks that have it."""
         n = len(data)
         self.prefix = np.zeros(n + 1, U)
-        letters = _BYTE[data] if data.dtype == np.uint8 else mix(data.astype(U) + _ODD)
-        np.cumsum(letters * _powers(n, _ODD), out=self.prefix[1:])
-        self.inverse = _powers(n + 1, _INVERSE)
+        table, base = (_BYTE, _ODD) if key is None else _shared(key)
+        letters = table[data] if data.dtype == np.uint8 else mix(data.astype(U) + base)
+        power, inverse = _kept_powers(base) if n < _KEPT else (_powers(n, base), _powers(n + 1, U(pow(int(base), -1, 2**64))))
+        np.cumsum(letters * power[:n], out=self.prefix[1:])
+        self.inverse = inverse[:n + 1]
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.prefix[end] - self.prefix[start]) * self.inverse[start]

@@ -44,10 +44,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.bytehash import PLACE_BITS, Keyed, U, joined, mix, new_key, slabs, sliding_argmin
+from tidewell.llm.bytehash import PLACE_BITS, Keyed, Rolling, U, joined, mix, new_key, slabs, sliding_argmin
 from tidewell.llm.tables import written
 
-SLAB = 1 << 20
+SLAB = 1 << 17  # so that the arrays of a slab stay in the cache
 PIECE = 1 << (PLACE_BITS - 2)  # longer documents are hashed in pieces that overlap by a window
 BLOCK_BYTES = 8 << 20
 GROUP_CONTEXTS = 2000  # contexts a suffix array is built of
@@ -64,7 +64,7 @@ def _runs(texts: list[bytes], length: int, key: int) -> Iterator[tuple[np.ndarra
             if len(data) < length:
                 continue
             roll = Keyed(data, key)
-            grams = roll.windows(half)
+            grams = Rolling(data, key).windows(half)  # these only choose and group anchors; contexts tell what is equal
             anchor = sliding_argmin(grams, length - half + 1)
             sizes = np.diff(starts)
             of = np.repeat(np.arange(len(part)), sizes)[: len(anchor)]
