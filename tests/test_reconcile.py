@@ -62,6 +62,22 @@ def test_frequency_gate(spark):
     assert one(odd, quarter) == [("quarantine_skip", "src_irregular")]
 
 
+def test_flagged_plan_and_update(spark):
+    days = lambda *y: [(x, pd.Timestamp(f"{x}-01-01")) for x in y]
+    one = lambda y, t, v, f: shard(spark, range(10), v, y, f, t)
+    none, flags, v = [None] * 10, [1, 0, *[None] * 8], range(10)
+    # 2020 equal, 2021 only flags the repository has, 2022 new flags, 2023 not in the repository, 2024 by every second day
+    (a, b, c, d, e) = days("2020", "2021", "2022", "2023", "2024")
+    repo = one(*a, v, none).unionByName(one(*b, v, flags)).unionByName(one(*c, v, none)).unionByName(one(*e, v, none))
+    half = shard(spark, range(0, 20, 2), v, "2024", none, e[1])
+    staged = one(*a, v, none).unionByName(one(*b, v, none)).unionByName(one(*c, v, flags)).unionByName(one(*d, v, flags)).unionByName(half)
+    plan = R.plan_flagged(staged, repo, K, 2024)
+    merged = [("2022", "write", "flag_or_value_merge_changed"), ("2023", "write", "missing_in_repo")]
+    assert actions(plan) == [*merged, ("2024", "quarantine_skip", "both_regular_different")]
+    out = sorted((r.shard, r.value, r.user_flag) for r in R.apply_flagged(staged, repo, plan, K).collect())
+    assert out == [(y, float(i), f) for y in ("2022", "2023") for i, f in zip(v, flags)]
+
+
 def test_irregular_topoff(spark):
     at = lambda *m: [T0 + pd.Timedelta(minutes=x) for x in m]
     repo, staged = shard(spark, at(0, 10, 15), [1, 2, 3]), shard(spark, at(15, 40, 65), [3, 4, 5])
