@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.base import K, OBS, obs, query, table
 from tidewell.sources import lines as L, payloads as P, shards as SH
-from tidewell.session import scratch
+from tidewell.session import scratch, stage
 
 
 def _fmt(pattern, c="ts"):
@@ -119,7 +119,7 @@ def _(spark, sf):
 x AS (SELECT format('f{{:02d}}.csv', k) AS file, layout, ts, id, CASE WHEN open OR (q <> 'X' AND NOT (q = '70' AND layout IN ('wdl2', 'wdl3'))) THEN v END AS value FROM l)
 SELECT file, ts, first(value ORDER BY id) AS value FROM (SELECT file, ts, id, value FROM x) GROUP BY file, ts""".replace("first(value ORDER BY id)", "arg_min_null(value, id)"))
 def _(spark, sf):
-    t = text_files(spark, sf)
+    t = stage(text_files(spark, sf))  # written once, as a provider's files are: what reads it does not make the text again
     known = L.describe_files(t)  # a tide file has no signature; its layout is given
     known = known.withColumn("layout", F.when(F.col("file") == f"f{len(KINDS) - 1:02d}.csv", "vtide").otherwise(F.col("layout")))
     return L.read_provider(t, described=known).select("file", "ts", "value")

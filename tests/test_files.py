@@ -163,3 +163,15 @@ def test_usgs_units(spark):
     parms = spark.createDataFrame([("00060", "ft3/s")], "parm_cd string, parm_unit string")
     raw = spark.createDataFrame([("00060", None), ("99999", None), ("00060", "cfs")], "param_code string, raw_unit string")
     assert sorted((r.param_code, r.raw_unit or "") for r in C.usgs_raw_unit(raw, parms).collect()) == [("00060", "cfs"), ("00060", "ft3/s"), ("99999", "")]
+
+
+def test_patterns_are_literals_and_one_time_format_is_tried(spark, capsys):
+    t = make(spark, [("a.csv", 0, "# format: x-1.0"), ("a.csv", 1, "datetime,value"), ("a.csv", 2, "2024-01-01 00:00,1")], "file string, line_no long, line string")
+    L.parse_lines(t, L.describe_files(t)).explain()
+    plan = capsys.readouterr().out
+    assert "RLIKE data#" not in plan and "split(line" in plan and ", sep#" not in plan.split("split(line", 1)[1].split(")", 1)[0]
+    texts = ["2024-01-02", "2024-01-02T03:04", "2024-01-02 03:04:05", "1/2/2024", "12/31/2024 3:04", "1/2/2024 13:04:05", "20240102 0304", "20240102 03:04", "20240102030405",
+             "20240102 030405", "202401020304", "1-2-2024", "2024/01/02", "x", "", "-20240102 0304", "1/2-2024", "-1", None]
+    every = F.coalesce(*[F.try_to_timestamp("t", F.lit(f)).cast("timestamp_ntz") for f in L.TIME_FORMATS])
+    rows = make(spark, [(x,) for x in texts], "t string").select(L._parse_time(F.col("t")).cast("string").alias("a"), every.cast("string").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] and sum(r.a is not None for r in rows) >= 9

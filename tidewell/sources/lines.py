@@ -165,9 +165,11 @@ def strict_cast(df: DataFrame, raw: str, out="value", quarantine=False):
     return df.withColumn(out, F.when(bad, stop).otherwise(number)).drop(raw)
 
 
-def _parse_time(text: Column, formats) -> Column:
-    t = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*t) if len(t) > 1 else t[0]
+def _parse_time(text: Column) -> Column:
+    """A time in one of TIME_FORMATS.  The signs of the text tell which one can fit,
+    so it is tried alone: a format that fails costs far more than one that fits."""
+    dashes, slashes, digits = (F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIME_FORMATS)
+    return F.when(text.contains("/"), slashes).when(F.locate("-", text, 2) > 0, dashes).otherwise(digits)
 
 
 HEADERS = sorted({l.header for l in LAYOUTS.values() if l.header})
@@ -185,7 +187,18 @@ def layout_table(spark: SparkSession) -> DataFrame:
 
 
 def _unquoted(c: Column) -> Column:
-    return F.regexp_replace(F.trim(c), r'^"|"$', "")
+    t = F.trim(c)
+    return F.when(t.contains('"'), F.regexp_replace(t, r'^"|"$', "")).otherwise(t)
+
+
+def _by_pattern(column: str, patterns, use) -> Column:
+    """``use(pattern)`` of the pattern that ``column`` names: as literals they are
+    compiled once, and not at every row."""
+    out = None
+    for p in sorted(set(patterns)):
+        hit, then = F.col(column) == p, use(F.lit(p))
+        out = F.when(hit, then) if out is None else out.when(hit, then)
+    return out
 
 
 def file_fields(described: DataFrame) -> DataFrame:
@@ -228,14 +241,16 @@ def parse_lines(lines: DataFrame, described: DataFrame, tokens=None) -> DataFram
     it.  Header lines do not look like data lines, so nothing is skipped by count.
     """
     tokens = NULL_TOKENS + STATUS_TOKENS if tokens is None else tokens
-    body = with_file_facts(_placed(lines), file_fields(described)).filter(~F.col("line").startswith("#") & F.expr("line RLIKE data"))
-    body = body.withColumn("f", F.split("line", F.col("sep")))
+    body = with_file_facts(_placed(lines), file_fields(described))
+    is_data = _by_pattern("data", [l.data for l in LAYOUTS.values()], lambda p: F.rlike("line", p))
+    body = body.filter(~F.col("line").startswith("#") & is_data)
+    body = body.withColumn("f", _by_pattern("sep", [l.sep for l in LAYOUTS.values()], lambda p: F.split("line", p)))
     field = lambda pos: _unquoted(F.try_element_at("f", F.col(pos) + 1))
     clock = F.when(F.col("pad") & ~field("t1").contains(":"), F.lpad(field("t1"), 4, "0")).otherwise(field("t1"))
     d = body.select("file", "sensor", "line_no", "at", "codes",
                     F.when(F.col("t1").isNull(), field("t0")).otherwise(F.concat(field("t0"), F.col("glue"), clock)).alias("t"),
                     null_tokens(field("vpos"), tokens).alias("raw"), field("qpos").alias("quality"), field("zpos").alias("zone"))
-    ts = _parse_time(F.col("t"), TIME_FORMATS)
+    ts = _parse_time(F.col("t"))
     hour = F.expr("INTERVAL 1 HOUR")
     blank = F.col("quality").isNull() | (F.col("quality") == "")
     ok = F.col("codes").isNull() | blank | F.array_contains("codes", F.col("quality"))
@@ -350,7 +365,7 @@ def read_headed(lines: DataFrame, comment="#", time="datetime", value="value", f
     d = d.withColumn("cells", F.filter(cells, lambda x: x["n"] != time))
     is_text = lambda x: told(x["n"])
     odd = F.filter("cells", lambda x: ~is_text(x) & x["t"].isNotNull() & x["t"].try_cast("double").isNull())
-    stamp = _parse_time(named(time), TIME_FORMATS)
+    stamp = _parse_time(named(time))
     reason = (F.when(~F.array_contains("names", time), F.lit("no time column")).when(F.size("f") != F.size("names"), F.lit("wrong number of fields"))
               .when(stamp.isNull(), F.lit("bad time")).when(F.size(odd) > 0, F.concat(F.lit("text in numeric column "), F.try_element_at(odd, F.lit(1))["n"])))
     d = d.withColumn("ts", stamp).withColumn("reason", reason)
