@@ -94,3 +94,19 @@ def test_nulls_repeats_extra_columns_and_empty(spark):
     assert sd.removal_digest(empty).collect() == []
     with pytest.raises(ValueError):
         sd.remove_copies(d, length=5)
+
+
+def test_passages_are_decided_in_suffix_order(spark, monkeypatch):
+    rng = random.Random(7)
+    docs = [(i, "".join(rng.choice(["a", "b", "ab"]) * rng.choice([1, 1, 2]) + rng.choice([" ", " ", "  ", "\n"]) for _ in range(rng.randint(0, 50)))) for i in range(100)]
+    want = brute.passages_kept(docs, 4)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = lambda: {r.doc_id: r.text.encode() for r in sd.without_passages(d, words=4).collect()}
+
+    def hashed(*_):
+        raise AssertionError("decided by hashes")
+    with monkeypatch.context() as m:
+        m.setattr(sd, "_word_windows", hashed)
+        assert got() == want
+    monkeypatch.setattr(sd, "GROUP_CONTEXTS", 4)
+    assert got() == want
