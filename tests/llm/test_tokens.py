@@ -28,3 +28,23 @@ def test_given_texts(spark):
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         e = tk.Encoder(tk.vocabulary(name))
         assert all(x.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids for t, x in zip(texts, e.encode_all(texts), strict=True))
+
+
+def test_a_word_is_encoded_once_whatever_sign_follows():
+    for name, most in (("word_bpe_49k.json", 1), ("byte_bpe_50k.json", 4)):  # this one tells case and the space before a word apart
+        e = tk.Encoder(tk.vocabulary(name))
+        asked, real = [], e.tokenize
+        e.tokenize = lambda w: asked.append(w) or real(w)  # noqa: B023
+        texts = ["harbour harbour, harbour. harbour;", "Harbour Harbour! harbour### Harbour,$$$ harbour"]
+        for t, ids in zip(texts, e.encode_all(texts), strict=True):
+            assert ids.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+        assert sum("arbour" in w for w in asked) <= most
+
+
+def test_lower_case_is_that_of_the_tokenizer():
+    e = tk.Encoder(tk.vocabulary("word_bpe_49k.json"))
+    letters = [c for c in map(chr, range(0x250)) if tk.re.fullmatch(f"[{tk.LETTERS}]", c)]
+    assert len(letters) > 400 and all(e.tokenizer.normalizer.normalize_str(c) == c.lower() for c in letters)
+    marks = [chr(m) for m in range(0x300, 0x370)]
+    for t in [*(f"x {c}{m}. {c.lower()}{m},{c}" for c in map(chr, range(65, 91)) for m in marks), "<|EndOfText|>a", "A.̸ B≠", "ΑΣ, aΣ."]:
+        assert e.encode_all([t])[0].tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, ascii(t)
