@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -110,3 +111,28 @@ def test_passages_are_decided_in_suffix_order(spark, monkeypatch):
         assert got() == want
     monkeypatch.setattr(sd, "GROUP_CONTEXTS", 4)
     assert got() == want
+
+
+def test_anchor_with_many_contexts_takes_no_second_exchange_of_texts(spark, monkeypatch):
+    rng = random.Random(11)
+    text = lambda k: "".join(chr(rng.randrange(33, 127)) for _ in range(k))
+    passage = text(90)
+    texts = [text(6000) + passage + text(6000) for _ in range(60)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+
+    def shuffled():
+        """MB that the run shuffles."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        time.sleep(0.5)
+        return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite() / 1e6
+
+    def run():
+        before = shuffled()
+        got = sorted(tuple(r) for r in sd.removal_digest(d, length=64).drop("text").collect())
+        return got, shuffled() - before
+    few, base = run()
+    assert min(r[2] for r in few) >= 90
+    monkeypatch.setattr(sd, "GROUP_CONTEXTS", 3)
+    many, mb = run()
+    assert many == few
+    assert mb < base + 0.3 * sum(map(len, texts)) / 1e6
