@@ -113,6 +113,13 @@ def test_passages_are_decided_in_suffix_order(spark, monkeypatch):
     assert got() == want
 
 
+def shuffled(spark):
+    """MB shuffled so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    time.sleep(0.5)
+    return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite() / 1e6
+
+
 def test_anchor_with_many_contexts_takes_no_second_exchange_of_texts(spark, monkeypatch):
     rng = random.Random(11)
     text = lambda k: "".join(chr(rng.randrange(33, 127)) for _ in range(k))
@@ -120,19 +127,33 @@ def test_anchor_with_many_contexts_takes_no_second_exchange_of_texts(spark, monk
     texts = [text(6000) + passage + text(6000) for _ in range(60)]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
 
-    def shuffled():
-        """MB that the run shuffles."""
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-        time.sleep(0.5)
-        return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite() / 1e6
-
     def run():
-        before = shuffled()
+        before = shuffled(spark)
         got = sorted(tuple(r) for r in sd.removal_digest(d, length=64).drop("text").collect())
-        return got, shuffled() - before
+        return got, shuffled(spark) - before
     few, base = run()
     assert min(r[2] for r in few) >= 90
     monkeypatch.setattr(sd, "GROUP_CONTEXTS", 3)
     many, mb = run()
     assert many == few
     assert mb < base + 0.3 * sum(map(len, texts)) / 1e6
+
+
+def test_passages_with_many_contexts_take_no_further_exchange_of_texts(spark, monkeypatch):
+    rng = random.Random(12)
+    text = lambda k: " ".join("".join(chr(rng.randrange(33, 127)) for _ in range(12)) for _ in range(k))
+    passage = text(8)
+    texts = [f"{text(500)} {passage} {text(500)}" for _ in range(60)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+
+    def run():
+        before = shuffled(spark)
+        got = sorted(tuple(r) for r in sd.without_passages(d, words=5).collect())
+        return got, shuffled(spark) - before
+    few, base = run()
+    assert sum(len(r[1]) < len(texts[r[0]]) for r in few) == 59
+    monkeypatch.setattr(sd, "GROUP_CONTEXTS", 3)
+    many, mb = run()
+    assert many == few
+    # the neighbours that differ are shuffled too
+    assert mb < base + 1.5 * sum(map(len, texts)) / 1e6
